@@ -601,9 +601,7 @@ def hero_counts(spark, sf_dir):
 
 @query
 def emotion_distribution(spark, sf_dir):
-    return reports.emotion_distribution(joined(spark, sf_dir)).withColumn(
-        "position", F.col("position").cast("bigint")
-    )
+    return reports.emotion_distribution(joined(spark, sf_dir))
 
 
 @query

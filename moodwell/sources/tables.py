@@ -51,7 +51,9 @@ def empty_batch(spark: SparkSession, path: str, schema: T.StructType, batch_id:
     Every folder of the batch is overwritten with no rows; returns how many went.
     """
     posts = read_posts(spark, path, schema).where(F.col("batch_id") == batch_id)
-    folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]+$", "")
+    # The file path is an escaped URI; url_decode would read a plus sign as a space.
+    file = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    folder = F.regexp_replace(file, "/[^/]+$", "")
     folders = posts.groupBy(folder.alias("folder")).agg(F.count("*").alias("rows")).collect()
     kept = T.StructType([f for f in schema.fields if f.name != "batch_id"])
     for row in folders:
