@@ -36,6 +36,7 @@ URL = rf"(?i)https?://{SOLID}+|www\.{SOLID}+"
 MENTION = rf"@{WORD}+"
 SEPARATOR = r"[-=*~_]{4,}"
 ASCII_ART = r"[|/\\<>^]{3,}"
+UNTIDY = rf"(?=[-=*~_|/\\<>^!?.])(?:{SEPARATOR}|{ASCII_ART}|!!|\?\?|\.{{4}})"
 PLACEHOLDER = rf"_{WORD}+_"
 MIN_WORDS = 3
 CAPS_SHARE = 0.7
@@ -91,8 +92,24 @@ def collapse_punct(text: Column) -> Column:
     return without(text, r"[!?.](?:(?<=!)(?=!)|(?<=\?)(?=\?)|(?<=\.)(?=\.{3}))")
 
 
+def tidy(text: Column) -> Column:
+    """Separators, ASCII art and repeated marks, in that order."""
+    # Most texts hold none of them, which one pass finds out instead of three.
+    tidied = collapse_punct(strip_ascii_art(strip_separators(text)))
+    return F.when(text.rlike(UNTIDY), tidied).otherwise(text)
+
+
+def breaks_to_spaces(text: Column) -> Column:
+    return F.replace(F.replace(text, F.lit("\n"), F.lit(" ")), F.lit("\t"), F.lit(" "))
+
+
+def collapse_spaces(text: Column) -> Column:
+    return F.when(text.contains("  "), F.regexp_replace(text, " {2,}", " ")).otherwise(text)
+
+
 def collapse_whitespace(text: Column) -> Column:
-    return F.regexp_replace(text, r"[ \t\n]+", " ")
+    """Runs of spaces, tabs and line feeds to one space; other white space stays."""
+    return collapse_spaces(breaks_to_spaces(text))
 
 
 def without_placeholders(text: Column) -> Column:

@@ -136,9 +136,11 @@ SETTLED = [
     (0xFF01, 0xFF5E),
 ]
 
-# The same below U+0300, where the test costs least.
-NOT_LATIN = r"[\xa6\xa9\xae\xb0\x{300}-\x{10ffff}]"
-UNSETTLED = "[^{}]".format("".join(rf"\x{{{a:x}}}-\x{{{b:x}}}" for a, b in SETTLED))
+# Below U+0300 only four characters are not settled; testing for this first is what is cheap.
+NOT_LATIN = r"\xa6\xa9\xae\xb0\x{300}-\x{10ffff}"
+UNSETTLED = "[{}&&[^{}]]".format(
+    NOT_LATIN, "".join(rf"\x{{{a:x}}}-\x{{{b:x}}}" for a, b in SETTLED)
+)
 
 
 SPELLED = T.StructType(
@@ -202,20 +204,24 @@ def _composing_udf():
     return F.pandas_udf(compose_batch, T.StringType())
 
 
-def _unsettled(text: Column) -> Column:
+def unsettled(text: Column) -> Column:
+    """The text if it may change under NFC or holds symbols, else null."""
     # From cheap to exact: equal byte and character counts mean ASCII.
     ascii_only = F.octet_length(text) == F.length(text)
-    return F.when(~ascii_only & text.rlike(NOT_LATIN) & text.rlike(UNSETTLED), text)
+    return F.when(~ascii_only & text.rlike(UNSETTLED), text)
 
 
 def compose(text: Column) -> Column:
     """Unicode NFC."""
-    return F.coalesce(_composing_udf()(_unsettled(text)), text)
+    return F.coalesce(_composing_udf()(unsettled(text)), text)
+
 
+def name_symbols(text: Column, suspect: Column | None = None) -> Column:
+    """NFC, then every symbol as ``_its_name_ ``: struct of ``text`` and ``named``.
 
-def name_symbols(text: Column) -> Column:
-    """NFC, then every symbol as ``_its_name_ ``: struct of ``text`` and ``named``."""
-    spelled = _spelling_udf()(_unsettled(text))
+    ``suspect`` may pass ``unsettled(text)`` as a column of its own.
+    """
+    spelled = _spelling_udf()(unsettled(text) if suspect is None else suspect)
     return F.struct(
         F.coalesce(spelled["text"], text).alias("text"),
         F.coalesce(spelled["named"], F.lit(False)).alias("named"),

@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 from moodwell.functions import rules
 from moodwell.functions.chars import is_blank, strip, without
 from moodwell.functions.language import DEFAULT_LANGUAGE
-from moodwell.functions.symbols import name_symbols
+from moodwell.functions.symbols import name_symbols, unsettled
 from moodwell.operators.language import LanguageModel, detect_language
+from moodwell.operators.once import compute_once
 from moodwell.schemas import FLAGS
 
 # Rules that set a flag: each of them changes the text whenever it applies.
@@ -19,10 +20,9 @@ FLAGGED_RULES = {
 }
 
 QUIET_RULES = [
-    rules.strip_separators,
-    rules.strip_ascii_art,
-    rules.collapse_punct,
-    rules.collapse_whitespace,
+    rules.tidy,
+    rules.breaks_to_spaces,
+    rules.collapse_spaces,
     strip,
 ]
 
@@ -30,7 +30,9 @@ QUIET_RULES = [
 def normalize_text(df: DataFrame, text_col: str) -> DataFrame:
     """Add ``_text``, the text after all rewriting rules, and one column per flag."""
     text = F.col(text_col)
-    out = df.withColumn("_spelled", name_symbols(F.when(~is_blank(text), text)))
+    out = df.withColumn("_given", F.when(~is_blank(text), text))
+    out = compute_once(out.withColumn("_suspect", unsettled(F.col("_given"))), "_given", "_suspect")
+    out = out.withColumn("_spelled", name_symbols(F.col("_given"), F.col("_suspect")))
     out = out.withColumn("_text", F.col("_spelled.text")).withColumn(
         "_had_emojis", F.col("_spelled.named")
     )
@@ -42,10 +44,7 @@ def normalize_text(df: DataFrame, text_col: str) -> DataFrame:
         )
     for rule in QUIET_RULES:
         out = out.withColumn("_text", rule(F.col("_text")))
-    # The generator is a fence: without it the optimizer copies the whole chain of
-    # rules into the input of a Python UDF further up, once per mention of the text.
-    kept = [c for c in out.columns if c not in ("_spelled", "_next", "_text")]
-    return out.select(*kept, F.explode(F.array("_text")).alias("_text"))
+    return out.drop("_given", "_suspect", "_spelled", "_next")
 
 
 def status_of(text: Column, spaced: Column, letters: Column) -> Column:
@@ -73,7 +72,11 @@ def clean_posts(
         )
     else:
         out = detect_language(
-            out.withColumn("_plain", without(F.col("_text"), rules.PLACEHOLDER)),
+            compute_once(
+                out.withColumn("_plain", without(F.col("_text"), rules.PLACEHOLDER)),
+                "_text",
+                "_plain",
+            ),
             model,
             "_plain",
             "language",
@@ -86,14 +89,16 @@ def clean_posts(
         .withColumn("_all_caps", rules.is_all_caps(text, letters))
         .withColumn("status", status_of(text, F.col("_spaced"), letters))
     )
-    return out.select(
-        *df.columns,
+    results = ["cleaned_text", "language", "emoji_converted", "status", "flags"]
+    out = out.select(
+        *[c for c in df.columns if c not in results],
         F.when(F.col("status").isin("ok", "non_latin_script"), text).alias("cleaned_text"),
         "language",
         F.col("_had_emojis").alias("emoji_converted"),
         "status",
         F.array_compact(F.array(*[F.when(F.col(f"_{f}"), f) for f in FLAGS])).alias("flags"),
     )
+    return compute_once(out, *results)
 
 
 def in_batch(df: DataFrame, batch_id: str | None) -> DataFrame:

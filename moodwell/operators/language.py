@@ -17,6 +17,7 @@ from moodwell.functions.language import (
     pair_scorer,
     second_share,
 )
+from moodwell.operators.once import compute_once
 
 
 @dataclass(frozen=True)
@@ -75,7 +76,7 @@ def with_language_costs(
 ) -> DataFrame:
     """Add the costs per language, most likely first: no join and no shuffle of the texts."""
     costs = pair_scorer(model.costs)(letters_only(F.col(text_col)))
-    return df.withColumn(out, language_costs(costs, model.langs))
+    return compute_once(df.withColumn(out, language_costs(costs, model.langs)), out)
 
 
 def detect_language(

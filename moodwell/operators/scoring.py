@@ -14,6 +14,7 @@ from moodwell.functions.emotions import (
     top_score,
 )
 from moodwell.operators.cleaning import in_batch
+from moodwell.operators.once import compute_once
 from moodwell.schemas import EMOTIONS
 
 Scorer = Callable[[Column], Column]
@@ -46,7 +47,7 @@ def score_posts(
     scorer = scorer or lexicon_scorer()
     text = F.col(text_col)
     blank = is_blank(text)
-    scored = df.withColumn("_scores", scorer(F.when(~blank, text)))
+    scored = compute_once(df.withColumn("_scores", scorer(F.when(~blank, text))), "_scores")
     failed = scored.withColumn("scoring_failed", ~blank & F.col("_scores").isNull())
     return label_scores(failed, "_scores").drop("_scores")
 

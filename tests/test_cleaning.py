@@ -109,16 +109,16 @@ def test_long_tag_and_long_runs(spark):
 
 def test_rules_run_once_and_python_once(spark, posts):
     plan = clean_posts(posts)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("[-=*~_]{4,}") == 1
+    assert plan.count("[-=*~_]{4,}, , 1") == 1
     assert plan.count("ArrowEvalPython") == 1
     assert "Exchange" not in plan
 
 
 def test_ascii_texts_skip_python(spark):
     df = spark.createDataFrame([("plain",), ("naïve façade ñ",), ("“quoted”",), ("😠",)], "t string")
-    from moodwell.functions.symbols import _unsettled
+    from moodwell.functions.symbols import unsettled
 
-    assert [r[0] for r in df.select(_unsettled(F.col("t"))).collect()] == [None, None, None, "😠"]
+    assert [r[0] for r in df.select(unsettled(F.col("t"))).collect()] == [None, None, None, "😠"]
 
 
 def test_stage_skips_cleaned_posts_and_keeps_empty_text(spark, posts):
@@ -140,3 +140,9 @@ def test_stage_skips_cleaned_posts_and_keeps_empty_text(spark, posts):
 
 def test_normalize_keeps_rows_in_place(posts):
     assert normalize_text(posts, "raw_text").count() == posts.count()
+
+
+def test_filters_on_results_do_not_repeat_the_rules(posts):
+    found = clean_posts(posts).where("status = 'ok' AND cleaned_text LIKE '%love%'")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("[-=*~_]{4,}, , 1") == 1 and plan.count("ArrowEvalPython") == 1

@@ -53,6 +53,16 @@ def test_collapse_punct(samples):
     check(samples, rules.collapse_punct(F.col("t")), runs)
 
 
+def test_tidy(samples):
+    def passes(text):
+        text = re.sub("[-=*~_]{4,}", "", text)
+        text = re.sub(r"[|/\\\\<>^]{3,}", "", text)
+        text = re.sub("!{2,}", "!", text)
+        return re.sub(r"\.{4,}", "...", re.sub(r"\?{2,}", "?", text))
+
+    check(samples, rules.tidy(F.col("t")), passes)
+
+
 def test_hashtags(samples):
     def walk(text):
         out, i = "", 0

@@ -130,7 +130,7 @@ def test_stream_equals_batch_and_survives_replay(spark, small, tmp_path):
     first, second = posts.where("id < 120"), posts.where("id >= 120")
 
     def run(checkpoint):
-        stream = watch_raw_posts(spark, raw, max_files=3)
+        stream = watch_raw_posts(spark, raw, max_files=50)
         clean_and_score_stream(stream, cleaned, enriched, str(tmp_path / checkpoint)).awaitTermination()
 
     append_posts(first.repartition(4), raw)
