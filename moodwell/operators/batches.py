@@ -34,14 +34,6 @@ def assign_batch(raw: DataFrame, matched: DataFrame, batch_id: str) -> DataFrame
     )
 
 
-def moved_batches(raw: DataFrame, matched: DataFrame, batch_id: str) -> DataFrame:
-    """Every row of the batches that an assignment changes, for a rewrite of just these."""
-    changed = matched.select("batch_id").distinct()
-    old = raw.join(changed, "batch_id", "left_semi").select(*raw.columns)
-    target = raw.join(changed, "batch_id", "left_anti").where(F.col("batch_id") == batch_id)
-    return assign_batch(old.unionByName(target.select(*raw.columns)), matched, batch_id)
-
-
 def assignment_preview(matched: DataFrame) -> DataFrame:
     """The first matches as they were before the move."""
     return newest(matched, PREVIEW_ROWS)

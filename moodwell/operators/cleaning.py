@@ -1,5 +1,7 @@
 """Cleaning of posts and the choice of the posts to clean."""
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,6 +49,13 @@ def normalize_text(df: DataFrame, text_col: str) -> DataFrame:
     return out.drop("_given", "_suspect", "_spelled", "_next")
 
 
+def flags_of(is_set: Callable[[str], Column]) -> Column:
+    """The flags that are set, in their fixed order."""
+    found = F.array(*[F.when(is_set(flag), flag) for flag in FLAGS])
+    # Unlike array_compact, which runs a lambda, this stays inside generated code.
+    return F.array_except(found, F.array(F.lit(None).cast("string")))
+
+
 def status_of(text: Column, spaced: Column, letters: Column) -> Column:
     """Status of a rewritten text; the first test that applies decides."""
     return (
@@ -96,7 +105,7 @@ def clean_posts(
         "language",
         F.col("_had_emojis").alias("emoji_converted"),
         "status",
-        F.array_compact(F.array(*[F.when(F.col(f"_{f}"), f) for f in FLAGS])).alias("flags"),
+        flags_of(lambda flag: F.col(f"_{flag}")).alias("flags"),
     )
     return compute_once(out, *results)
 

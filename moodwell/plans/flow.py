@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moodwell.functions.ids import ingest_batch_id
-from moodwell.operators.batches import moved_batches, newest, search_posts
+from moodwell.functions.moments import moment
+from moodwell.operators.batches import assign_batch, newest, search_posts
 from moodwell.operators.cleaning import clean_stage, in_batch
 from moodwell.operators.ingest import match_comments, to_raw_posts
 from moodwell.operators.language import LanguageModel
@@ -38,7 +39,7 @@ def run_ingestion(
     spark = source.sparkSession
     batch_id = spark.range(1).select(ingest_batch_id(F.lit(keyword), F.lit(suffix))).first()[0]
     comments = match_comments(source, keyword, mode=mode, limit=limit)
-    posts = to_raw_posts(comments, batch_id, keyword, platform, F.lit(created_at))
+    posts = to_raw_posts(comments, batch_id, keyword, platform, moment(created_at))
     inserted = append_posts(posts, raw_path)
     if not inserted:
         return {**outcome, "message": f"no comments found for keyword '{keyword}'"}
@@ -65,16 +66,14 @@ def run_assignment(
     if not found:
         raise ValueError(f"no posts found for keyword: {keyword}")
     matched = spark.createDataFrame(found, "id bigint, batch_id string")
-    left = {
-        r.batch_id
-        for r in raw.where(F.col("batch_id").isin([r.batch_id for r in found]))
-        .where(~F.col("id").isin([r.id for r in found]))
-        .select("batch_id")
-        .distinct()
-        .collect()
-    }
-    overwrite_batches(moved_batches(raw, matched, batch_id), raw_path)
-    for emptied in {r.batch_id for r in found} - left - {batch_id}:
+    losing = {r.batch_id for r in found} - {batch_id}
+    # Named batches, so that the scan is pruned to their folders.
+    old = raw.where(F.col("batch_id").isin(list(losing)))
+    left = old.where(~F.col("id").isin([r.id for r in found])).select("batch_id").distinct()
+    left = {r.batch_id for r in left.collect()}
+    changed = raw.where(F.col("batch_id").isin([*losing, batch_id]))
+    overwrite_batches(assign_batch(changed, matched, batch_id), raw_path)
+    for emptied in losing - left:
         empty_batch(spark, raw_path, RAW_POSTS, emptied)
     return len(found)
 
@@ -94,7 +93,7 @@ def run_cleaning(
         raise ValueError(f"no raw posts found for batch {batch_id}")
     ensure_table(spark, cleaned_path, CLEANED_POSTS)
     cleaned = None if reclean else read_posts(spark, cleaned_path, CLEANED_POSTS)
-    rows = clean_stage(raw, cleaned, F.lit(processed_at), batch_id, model)
+    rows = clean_stage(raw, cleaned, moment(processed_at), batch_id, model)
     write = overwrite_batches if reclean else append_posts
     return {"batch_id": batch_id, "total_processed": write(rows, cleaned_path)}
 
@@ -114,7 +113,7 @@ def run_analysis(
         raise ValueError(f"no cleaned posts found for batch {batch_id}")
     ensure_table(spark, enriched_path, ENRICHED_POSTS)
     enriched = read_posts(spark, enriched_path, ENRICHED_POSTS)
-    rows = enrich_stage(cleaned, enriched, F.lit(analyzed_at), scorer, batch_id, skip_empty)
+    rows = enrich_stage(cleaned, enriched, moment(analyzed_at), scorer, batch_id, skip_empty)
     return {"batch_id": batch_id, "processed": append_posts(rows, enriched_path)}
 
 
@@ -124,11 +123,11 @@ def run_all(
     cleaned_path: str,
     enriched_path: str,
     batch_id: str,
-    moment: datetime,
+    at: datetime,
     model: LanguageModel | None = None,
     scorer: Scorer | None = None,
 ) -> dict:
     """Clean, then score a batch."""
-    cleaned = run_cleaning(spark, raw_path, cleaned_path, batch_id, moment, model)
-    scored = run_analysis(spark, cleaned_path, enriched_path, batch_id, moment, scorer)
+    cleaned = run_cleaning(spark, raw_path, cleaned_path, batch_id, at, model)
+    scored = run_analysis(spark, cleaned_path, enriched_path, batch_id, at, scorer)
     return {**cleaned, **scored}

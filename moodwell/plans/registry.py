@@ -10,6 +10,7 @@ from moodwell.functions import rules
 from moodwell.functions.chars import is_blank, strip
 from moodwell.functions.emotions import model_scorer
 from moodwell.functions.ids import ingest_batch_id, search_batch_id
+from moodwell.functions.moments import moment
 from moodwell.functions.symbols import compose, name_symbols
 from moodwell.operators import (
     batches,
@@ -114,7 +115,7 @@ def batch_slug_ingest(spark, sf_dir):
 @query
 def ingest_batch(spark, sf_dir):
     found = ingest.match_comments(comments(spark, sf_dir), "de")
-    rows = ingest.to_raw_posts(found, "de-0a1b2c3d", "de", "csv", F.lit(MOMENT))
+    rows = ingest.to_raw_posts(found, "de-0a1b2c3d", "de", "csv", moment(MOMENT))
     return rows.select(
         "id", "batch_id", "platform", "keyword", "raw_text", stated("created_at"), "raw_json"
     )
@@ -379,7 +380,7 @@ def clean_flags(spark, sf_dir):
 def clean_stage(spark, sf_dir):
     """Posts not cleaned yet, as rows of the cleaned table."""
     rows = cleaning.clean_stage(
-        raw_posts(spark, sf_dir, spread=True), cleaned_posts(spark, sf_dir), F.lit(MOMENT)
+        raw_posts(spark, sf_dir, spread=True), cleaned_posts(spark, sf_dir), moment(MOMENT)
     )
     return rows.select(
         "id", "raw_post_id", "batch_id", "cleaned_text", "emoji_converted", "status",
@@ -389,7 +390,7 @@ def clean_stage(spark, sf_dir):
 
 @query
 def clean_answer(spark, sf_dir):
-    rows = cleaning.clean_stage(raw_posts(spark, sf_dir, spread=True), None, F.lit(MOMENT))
+    rows = cleaning.clean_stage(raw_posts(spark, sf_dir, spread=True), None, moment(MOMENT))
     return cleaning.clean_response(rows).select("post_id", "batch_id", "cleaned_text", "status")
 
 
@@ -522,7 +523,7 @@ def enrich_record(spark, sf_dir):
     labelled = scoring.label_scores(
         scored.select(F.col("doc_id").alias("id"), F.col("source").alias("batch_id"), "scores")
     )
-    rows = scoring.to_enriched(labelled, F.lit(MOMENT))
+    rows = scoring.to_enriched(labelled, moment(MOMENT))
     return rows.select(
         "cleaned_post_id", "batch_id", "emotion_label", as_number("confidence"),
         as_number("emotion_intensity"), F.col("emotion_distribution_data.joy").alias("joy"),
@@ -533,7 +534,7 @@ def enrich_record(spark, sf_dir):
 @query
 def enrich_stage(spark, sf_dir):
     rows = scoring.enrich_stage(
-        cleaned_posts(spark, sf_dir), enriched_posts(spark, sf_dir), F.lit(MOMENT)
+        cleaned_posts(spark, sf_dir), enriched_posts(spark, sf_dir), moment(MOMENT)
     )
     return rows.select("cleaned_post_id", "batch_id", "emotion_label", as_number("confidence"))
 
@@ -647,7 +648,7 @@ def fleet_status(spark, sf_dir):
 @query
 def unanalyzed_limit(spark, sf_dir):
     rows = scoring.enrich_stage(
-        cleaned_posts(spark, sf_dir), enriched_posts(spark, sf_dir), F.lit(MOMENT), limit=100
+        cleaned_posts(spark, sf_dir), enriched_posts(spark, sf_dir), moment(MOMENT), limit=100
     )
     return rows.select("cleaned_post_id", "batch_id", "emotion_label")
 

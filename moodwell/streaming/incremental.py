@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from moodwell.functions.moments import moment
 from moodwell.operators.cleaning import clean_stage
 from moodwell.operators.language import LanguageModel
 from moodwell.operators.scoring import Scorer, enrich_stage
@@ -52,16 +53,16 @@ def clean_and_score_stream(
 
     def handle(posts: DataFrame, _: int) -> None:
         spark = posts.sparkSession
-        moment = F.lit(datetime.now(timezone.utc).replace(tzinfo=None))
+        now = moment(datetime.now(timezone.utc))
         posts = posts.persist()
         try:
             cleaned = _same_batches(posts, read_posts(spark, cleaned_path, CLEANED_POSTS))
-            append_posts(clean_stage(posts, cleaned, moment, model=model), cleaned_path)
+            append_posts(clean_stage(posts, cleaned, now, model=model), cleaned_path)
 
             cleaned = _same_batches(posts, read_posts(spark, cleaned_path, CLEANED_POSTS))
             enriched = _same_batches(posts, read_posts(spark, enriched_path, ENRICHED_POSTS))
             arrived = cleaned.join(posts.select("id", "batch_id"), ["id", "batch_id"], "left_semi")
-            append_posts(enrich_stage(arrived, enriched, moment, scorer), enriched_path)
+            append_posts(enrich_stage(arrived, enriched, now, scorer), enriched_path)
         finally:
             posts.unpersist()
 
