@@ -47,11 +47,11 @@ def joined_posts(
 
 
 def batch_results(enriched: DataFrame, batch_id: str | None = None) -> DataFrame:
-    """Scores with the number of results of their batch; one batch comes latest first."""
-    totals = in_batch(enriched, batch_id).groupBy("batch_id").agg(
-        F.count("*").alias("total_results")
-    )
-    rows = in_batch(enriched, batch_id).join(totals, "batch_id")
+    """Scores with the number of results; those of one batch come latest first."""
+    rows = in_batch(enriched, batch_id)
+    counted = rows.agg(F.count("*").alias("n"))
+    # A scalar subquery: no join by batch, which a large batch would skew.
+    rows = rows.withColumn("total_results", counted.scalar())
     return rows if batch_id is None else rows.orderBy(F.desc("analyzed_at"), F.desc("id"))
 
 

@@ -436,7 +436,7 @@ ORACLES: dict[str, str] = {
  e AS (SELECT batch_id, count(*) AS analyzed FROM enriched_posts GROUP BY ALL)
  SELECT batch_id, coalesce(total_posts, 0) AS total_posts, coalesce(analyzed, 0) AS analyzed,
  coalesce(total_posts, 0) - coalesce(analyzed, 0) AS pending FROM c FULL JOIN e USING (batch_id)""",
-    "batch_results": f"""WITH {ENRICHED} SELECT batch_id, count(*) OVER (PARTITION BY batch_id) AS total_results,
+    "batch_results": f"""WITH {ENRICHED} SELECT batch_id, (SELECT count(*) FROM enriched_posts) AS total_results,
  id, emotion_label, CAST(confidence AS DOUBLE) AS confidence, CAST(analyzed_at AS VARCHAR) AS analyzed_at
  FROM enriched_posts""",
     "hero_counts": f"""WITH {JOINED} SELECT batch_id, count(*) AS total, count(emotion_label) AS analyzed,
