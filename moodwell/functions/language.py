@@ -19,6 +19,9 @@ from pyspark.sql import types as T
 
 BUCKETS = 4093
 COST_UNIT = 1000.0
+
+# The language of text without letters, and the probability from
+# which a second language counts.
 DEFAULT_LANGUAGE = "en"
 MIXED_FROM = 0.2
 

@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# The most posts one search may move, and the rows of a preview.
 MAX_SEARCH = 200
 PREVIEW_ROWS = 8
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from moodwell.functions.chars import SPACE, strip
 
+# Lengths of shortened texts, and the label of a post without a score.
 RAW_CHARS = 180
 CLEANED_CHARS = 160
 NO_LABEL = "pending"

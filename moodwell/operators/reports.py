@@ -177,13 +177,17 @@ def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+# The first line of the batch report.
+TOTAL_LINE = "Total Raw Posts"
+
+
 def batch_count_report(raw: DataFrame, labels: Mapping[str, str]) -> DataFrame:
     """Posts in all and in each labelled batch, 0 included, from a single scan."""
     totals = raw.agg(
         F.count("*").alias("total"),
         *[F.count_if(F.col("batch_id") == b).alias(f"n{i}") for i, b in enumerate(labels)],
     )
-    entries = [F.struct(F.lit("Total Raw Posts").alias("metric"), F.col("total").alias("posts"))]
+    entries = [F.struct(F.lit(TOTAL_LINE).alias("metric"), F.col("total").alias("posts"))]
     entries += [
         F.struct(F.lit(label).alias("metric"), F.col(f"n{i}").alias("posts"))
         for i, label in enumerate(labels.values())

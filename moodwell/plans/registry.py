@@ -758,7 +758,7 @@ def stream_clean(spark, sf_dir):
     """The raw table cleaned and scored as a stream that stops when it has caught up."""
     folder = work_folder(spark, "stream")
     raw, cleaned, enriched = f"{folder}/raw", f"{folder}/cleaned", f"{folder}/enriched"
-    append_posts(raw_posts(spark, sf_dir), raw)
+    append_posts(raw_posts(spark, sf_dir, spread=True), raw, compact=True)
     started = clean_and_score_stream(
         watch_raw_posts(spark, raw), cleaned, enriched, f"{folder}/checkpoint"
     )

@@ -2,12 +2,13 @@
 
 import random
 import re
+import sys
 
 import pytest
 from pyspark.sql import functions as F
 
 from moodwell.functions import rules
-from moodwell.functions.chars import is_blank, strip
+from moodwell.functions.chars import ODD_SPACE, SPACE, WORD, is_blank, strip
 
 ALPHABET = list("aAbBzZ09_#@&;!?.-=|<> \t\n\r\x0b  éÉжЖ字") + [
     "#f4f", "#RT", "&amp;", "&lt;", "http://x", "www.y", "ok", "is", "....", "--", "||",
@@ -135,3 +136,22 @@ def test_latin(spark):
     )
     got = df.withColumn("got", rules.is_latin(F.col("t"), rules.letter_count(F.col("t"))))
     assert got.where("got <> want").count() == 0
+
+
+def test_classes_agree_with_python_on_all_characters(spark):
+    """Where they differ, the JVM does not know the character yet."""
+    codes = [(c, chr(c)) for c in range(1, sys.maxunicode + 1) if not 0xD800 <= c < 0xE000]
+    df = spark.createDataFrame(
+        [(t, t.isalnum() or t == "_", t.isspace(), t.isalpha(), t.isalpha() and t.isupper())
+         for _, t in codes],
+        "t string, word boolean, space boolean, letter boolean, upper boolean",
+    )
+    t = F.col("t")
+    wrong = (
+        (t.rlike(WORD) != F.col("word"))
+        | (t.rlike(SPACE) != F.col("space"))
+        | (t.rlike(r"\p{L}") != F.col("letter"))
+        | (t.rlike(r"\p{Lu}") != F.col("upper"))
+        | (F.col("space") & (t != " ") & ~t.rlike(ODD_SPACE))
+    )
+    assert df.where(wrong & ~t.rlike(r"\p{Cn}")).count() == 0
