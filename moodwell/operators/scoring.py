@@ -22,13 +22,11 @@ Scorer = Callable[[Column], Column]
 
 def label_scores(df: DataFrame, scores_col: str = "scores") -> DataFrame:
     """Add emotion_label, confidence and the seven emotions; null scores mean neutral."""
+    by_emotion = F.when(F.col(scores_col).isNull(), neutral_scores()).otherwise(
+        normalize_scores(F.col(scores_col))
+    )
     return (
-        df.withColumn(
-            "_by",
-            F.when(F.col(scores_col).isNull(), neutral_scores()).otherwise(
-                normalize_scores(F.col(scores_col))
-            ),
-        )
+        compute_once(df.withColumn("_by", by_emotion), "_by")
         .withColumn("emotion_label", top_emotion(F.col("_by")))
         .withColumn("confidence", top_score(F.col("_by")))
         .select(

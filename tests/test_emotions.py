@@ -113,3 +113,10 @@ def test_scoring_adds_no_shuffle(spark):
     df = spark.createDataFrame([("x",)], "cleaned_text string")
     plan = score_posts(df)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan and "INSET" in plan
+
+
+def test_filters_on_labels_do_not_repeat_the_scoring(spark):
+    df = spark.createDataFrame([("x",)], "cleaned_text string")
+    found = score_posts(df).where("emotion_label = 'joy' AND confidence > 0.5")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1

@@ -6,7 +6,7 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
-from moodwell.operators.cleaning import clean_stage
+from moodwell.operators.cleaning import clean_posts, clean_stage
 from moodwell.operators.scoring import enrich_stage
 from moodwell.plans import flow
 from moodwell.plans.testviews import raw_posts
@@ -57,6 +57,15 @@ def test_batch_filter_prunes_folders(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(batch_id" in plan
 
 
+def test_batch_filter_after_cleaning_still_prunes(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    append_posts(frame(spark, [post(1, "a"), post(2, "b")]), path)
+    cleaned = clean_posts(read_posts(spark, path, RAW_POSTS)).where("batch_id = 'a'")
+    plan = cleaned.select("id", "status")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(batch_id" in plan
+    assert "ReadSchema: struct<id:bigint,raw_text:string>" in plan
+
+
 def test_csv(spark, tmp_path):
     rows = [("x", 1, 'a "quoted", text'), ("y", 2, "two\nlines"), ("z", 3, None)]
     df = spark.createDataFrame(rows, COMMENTS)
