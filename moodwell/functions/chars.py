@@ -9,9 +9,15 @@ from functools import lru_cache
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+LETTER = r"\p{L}"
+NO_LETTER = r"\P{L}"
+NO_CAPITAL = r"\P{Lu}"
 WORD = r"[\p{L}\p{N}_]"
-SPACE = r"[\s\p{Z}\x1c-\x1f\x85]"
-SOLID = r"[^\s\p{Z}\x1c-\x1f\x85]"
+
+# ASCII first: Java tests it with a bit set and turns to categories only after that.
+SPACE = r"[\t-\r\x1c-\x20\x85\xa0[\x{1680}-\x{3000}&&\p{Z}]]"
+SOLID = r"[!-~[^\s\p{Z}\x1c-\x1f\x85]]"
+
 # Holds every space but U+0020, and more: one range is quicker to test than ten.
 ODD_SPACE = r"[\t-\r\x1c-\x1f\x85\xa0\x{1680}-\x{3000}]"
 

@@ -17,6 +17,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from moodwell.functions.chars import NO_LETTER
+
 BUCKETS = 4093
 COST_UNIT = 1000.0
 
@@ -28,7 +30,7 @@ MIXED_FROM = 0.2
 
 def letters_only(text: Column) -> Column:
     """Lower-cased text with each run of non-letters as one space."""
-    return F.regexp_replace(F.lower(text), r"\P{L}+", " ")
+    return F.regexp_replace(F.lower(text), f"{NO_LETTER}+", " ")
 
 
 def _pair_reader() -> Callable:

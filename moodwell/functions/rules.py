@@ -3,7 +3,18 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from moodwell.functions.chars import ODD_SPACE, SOLID, SPACE, WORD, latin_letters, strip, without
+from moodwell.functions.chars import (
+    LETTER,
+    NO_CAPITAL,
+    NO_LETTER,
+    ODD_SPACE,
+    SOLID,
+    SPACE,
+    WORD,
+    latin_letters,
+    strip,
+    without,
+)
 
 # Hashtags that carry no meaning.
 NOISE_TAGS = [
@@ -36,7 +47,7 @@ URL = rf"(?i)https?://{SOLID}+|www\.{SOLID}+"
 MENTION = rf"@{WORD}+"
 SEPARATOR = r"[-=*~_]{4,}"
 ASCII_ART = r"[|/\\<>^]{3,}"
-UNTIDY = rf"(?=[-=*~_|/\\<>^!?.])(?:{SEPARATOR}|{ASCII_ART}|!!|\?\?|\.{{4}})"
+MARKS = r"[-=*~_|/\\<>^!?.]{2}"
 PLACEHOLDER = rf"_{WORD}+_"
 MIN_WORDS = 3
 CAPS_SHARE = 0.7
@@ -94,9 +105,9 @@ def collapse_punct(text: Column) -> Column:
 
 def tidy(text: Column) -> Column:
     """Separators, ASCII art and repeated marks, in that order."""
-    # Most texts hold none of them, which one pass finds out instead of three.
+    # All of them need two marks in a row, which most texts do not have.
     tidied = collapse_punct(strip_ascii_art(strip_separators(text)))
-    return F.when(text.rlike(UNTIDY), tidied).otherwise(text)
+    return F.when(text.rlike(MARKS), tidied).otherwise(text)
 
 
 def breaks_to_spaces(text: Column) -> Column:
@@ -118,11 +129,11 @@ def without_placeholders(text: Column) -> Column:
 
 
 def letter_count(text: Column) -> Column:
-    return F.length(text) - F.length(without(text, r"\p{L}+"))
+    return F.length(text) - F.length(without(text, f"{LETTER}+"))
 
 
 def capital_count(text: Column) -> Column:
-    return F.length(without(text, r"\P{Lu}+"))
+    return F.length(without(text, f"{NO_CAPITAL}+"))
 
 
 def is_all_caps(text: Column, letters: Column) -> Column:
@@ -139,12 +150,12 @@ def is_latin(text: Column, letters: Column) -> Column:
 
 def word_count(text: Column) -> Column:
     """Tokens that hold a letter."""
-    return F.regexp_count(text, F.lit(rf"\p{{L}}{SOLID}*+"))
+    return F.regexp_count(text, F.lit(f"{LETTER}{SOLID}*+"))
 
 
 def has_words(text: Column, n: int = MIN_WORDS) -> Column:
     """``word_count(text) >= n`` without reading past the n-th word."""
-    return text.rlike(rf"\A(?:[^\p{{L}}]*+\p{{L}}{SOLID}*+){{{n}}}")
+    return text.rlike(rf"\A(?:{NO_LETTER}*+{LETTER}{SOLID}*+){{{n}}}")
 
 
 def single_spaced(text: Column) -> Column:
@@ -155,8 +166,7 @@ def single_spaced(text: Column) -> Column:
 
 def token_count(spaced: Column) -> Column:
     """Tokens of a ``single_spaced`` text."""
-    gaps = F.length(spaced) - F.length(F.replace(spaced, F.lit(" "), F.lit("")))
-    return F.when(spaced == "", 0).otherwise(gaps + 1)
+    return F.when(spaced == "", 0).otherwise(F.size(F.split(spaced, " ")))
 
 
 def noise_token_count(spaced: Column) -> Column:

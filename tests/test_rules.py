@@ -8,7 +8,17 @@ import pytest
 from pyspark.sql import functions as F
 
 from moodwell.functions import rules
-from moodwell.functions.chars import ODD_SPACE, SPACE, WORD, is_blank, strip
+from moodwell.functions.chars import (
+    LETTER,
+    NO_CAPITAL,
+    NO_LETTER,
+    ODD_SPACE,
+    SOLID,
+    SPACE,
+    WORD,
+    is_blank,
+    strip,
+)
 
 ALPHABET = list("aAbBzZ09_#@&;!?.-=|<> \t\n\r\x0b  éÉжЖ字") + [
     "#f4f", "#RT", "&amp;", "&lt;", "http://x", "www.y", "ok", "is", "....", "--", "||",
@@ -140,7 +150,7 @@ def test_latin(spark):
 
 def test_classes_agree_with_python_on_all_characters(spark):
     """Where they differ, the JVM does not know the character yet."""
-    codes = [(c, chr(c)) for c in range(1, sys.maxunicode + 1) if not 0xD800 <= c < 0xE000]
+    codes = [(c, chr(c)) for c in range(0, sys.maxunicode + 1) if not 0xD800 <= c < 0xE000]
     df = spark.createDataFrame(
         [(t, t.isalnum() or t == "_", t.isspace(), t.isalpha(), t.isalpha() and t.isupper())
          for _, t in codes],
@@ -150,8 +160,10 @@ def test_classes_agree_with_python_on_all_characters(spark):
     wrong = (
         (t.rlike(WORD) != F.col("word"))
         | (t.rlike(SPACE) != F.col("space"))
-        | (t.rlike(r"\p{L}") != F.col("letter"))
-        | (t.rlike(r"\p{Lu}") != F.col("upper"))
+        | (t.rlike(SOLID) == F.col("space"))
+        | (t.rlike(LETTER) != F.col("letter"))
+        | (t.rlike(NO_LETTER) == F.col("letter"))
+        | (t.rlike(NO_CAPITAL) == F.col("upper"))
         | (F.col("space") & (t != " ") & ~t.rlike(ODD_SPACE))
     )
     assert df.where(wrong & ~t.rlike(r"\p{Cn}")).count() == 0
