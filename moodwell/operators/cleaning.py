@@ -121,6 +121,12 @@ def uncleaned(raw: DataFrame, cleaned: DataFrame, batch_id: str | None = None) -
     return in_batch(raw, batch_id).join(done, "id", "left_anti")
 
 
+def not_yet_cleaned(posts: DataFrame, cleaned: DataFrame) -> DataFrame:
+    """Posts that their present batch has no cleaned post for."""
+    done = cleaned.select(F.col("raw_post_id").alias("id"), "batch_id")
+    return posts.join(done, ["id", "batch_id"], "left_anti")
+
+
 def clean_stage(
     raw: DataFrame,
     cleaned: DataFrame | None,
@@ -137,8 +143,7 @@ def clean_stage(
     """
     posts = in_batch(raw, batch_id)
     if cleaned is not None:
-        done = in_batch(cleaned, batch_id).select(F.col("raw_post_id").alias("id"), "batch_id")
-        posts = posts.join(done, ["id", "batch_id"], "left_anti")
+        posts = not_yet_cleaned(posts, in_batch(cleaned, batch_id))
     return clean_posts(posts.select("id", "batch_id", "raw_text"), "raw_text", model).select(
         "id",
         F.col("id").alias("raw_post_id"),

@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from moodwell.functions.ids import ingest_batch_id
 from moodwell.functions.moments import moment
 from moodwell.operators.batches import assign_batch, newest, search_posts
-from moodwell.operators.cleaning import clean_stage, in_batch
+from moodwell.operators.cleaning import clean_stage, in_batch, not_yet_cleaned
 from moodwell.operators.ingest import match_comments, to_raw_posts
 from moodwell.operators.language import LanguageModel
-from moodwell.operators.scoring import Scorer, enrich_stage
+from moodwell.operators.scoring import Scorer, score_posts, to_enriched, unanalyzed
 from moodwell.schemas import CLEANED_POSTS, ENRICHED_POSTS, RAW_POSTS
+from moodwell.session import work_folder
 from moodwell.sources.tables import (
     append_posts,
     empty_batch,
@@ -21,6 +22,9 @@ from moodwell.sources.tables import (
     read_posts,
 )
 
+MAX_SENT_KEYS = 1_000_000
+MAX_NAMED_BATCHES = 1000
+
 
 def run_ingestion(
     source: DataFrame,
@@ -78,22 +82,42 @@ def run_assignment(
     return len(found)
 
 
+def pick(posts: DataFrame, wanted: DataFrame, name: str) -> DataFrame:
+    """The posts whose ``id`` and ``batch_id`` are wanted, without a shuffle if these are few.
+
+    The keys are found first, from two narrow columns, and written once; then
+    the texts of just these posts are read. Their number decides how: up to
+    MAX_SENT_KEYS are sent to every task, more are joined by a shuffle.
+    """
+    spark = posts.sparkSession
+    path = work_folder(spark, name)
+    wanted.select("id", "batch_id").write.parquet(path)
+    keys = spark.read.schema("id bigint, batch_id string").parquet(path)
+    few = keys.limit(MAX_SENT_KEYS + 1).count() <= MAX_SENT_KEYS
+    batches = keys.select("batch_id").distinct().limit(MAX_NAMED_BATCHES + 1).collect()
+    if len(batches) <= MAX_NAMED_BATCHES:
+        posts = posts.where(F.col("batch_id").isin([r.batch_id for r in batches]))
+    return posts.join(F.broadcast(keys) if few else keys, ["id", "batch_id"], "left_semi")
+
+
 def run_cleaning(
     spark: SparkSession,
     raw_path: str,
     cleaned_path: str,
-    batch_id: str,
+    batch_id: str | None,
     processed_at: datetime,
     model: LanguageModel | None = None,
     reclean: bool = False,
 ) -> dict:
-    """Clean the posts of a batch not cleaned yet or, with ``reclean``, all of them anew."""
-    raw = read_posts(spark, raw_path, RAW_POSTS)
-    if in_batch(raw, batch_id).isEmpty():
+    """Clean the posts of a batch, or of all, not cleaned yet; all anew with ``reclean``."""
+    raw = in_batch(read_posts(spark, raw_path, RAW_POSTS), batch_id)
+    if raw.isEmpty():
         raise ValueError(f"no raw posts found for batch {batch_id}")
     ensure_table(spark, cleaned_path, CLEANED_POSTS)
-    cleaned = None if reclean else read_posts(spark, cleaned_path, CLEANED_POSTS)
-    rows = clean_stage(raw, cleaned, moment(processed_at), batch_id, model)
+    if not reclean:
+        cleaned = in_batch(read_posts(spark, cleaned_path, CLEANED_POSTS), batch_id)
+        raw = pick(raw, not_yet_cleaned(raw.select("id", "batch_id"), cleaned), "uncleaned")
+    rows = clean_stage(raw, None, moment(processed_at), model=model)
     write = overwrite_batches if reclean else append_posts
     return {"batch_id": batch_id, "total_processed": write(rows, cleaned_path)}
 
@@ -102,18 +126,19 @@ def run_analysis(
     spark: SparkSession,
     cleaned_path: str,
     enriched_path: str,
-    batch_id: str,
+    batch_id: str | None,
     analyzed_at: datetime,
     scorer: Scorer | None = None,
     skip_empty: bool = False,
 ) -> dict:
-    """Score the posts of a batch not scored yet."""
-    cleaned = read_posts(spark, cleaned_path, CLEANED_POSTS)
-    if in_batch(cleaned, batch_id).isEmpty():
+    """Score the posts of a batch, or of all, not scored yet."""
+    cleaned = in_batch(read_posts(spark, cleaned_path, CLEANED_POSTS), batch_id)
+    if cleaned.isEmpty():
         raise ValueError(f"no cleaned posts found for batch {batch_id}")
     ensure_table(spark, enriched_path, ENRICHED_POSTS)
-    enriched = read_posts(spark, enriched_path, ENRICHED_POSTS)
-    rows = enrich_stage(cleaned, enriched, moment(analyzed_at), scorer, batch_id, skip_empty)
+    enriched = in_batch(read_posts(spark, enriched_path, ENRICHED_POSTS), batch_id)
+    posts = pick(cleaned, unanalyzed(cleaned, enriched, skip_empty=skip_empty), "unanalyzed")
+    rows = to_enriched(score_posts(posts, scorer), moment(analyzed_at))
     return {"batch_id": batch_id, "processed": append_posts(rows, enriched_path)}
 
 
@@ -122,12 +147,12 @@ def run_all(
     raw_path: str,
     cleaned_path: str,
     enriched_path: str,
-    batch_id: str,
+    batch_id: str | None,
     at: datetime,
     model: LanguageModel | None = None,
     scorer: Scorer | None = None,
 ) -> dict:
-    """Clean, then score a batch."""
+    """Clean, then score a batch or, without one, whatever is left to do."""
     cleaned = run_cleaning(spark, raw_path, cleaned_path, batch_id, at, model)
     scored = run_analysis(spark, cleaned_path, enriched_path, batch_id, at, scorer)
     return {**cleaned, **scored}

@@ -110,6 +110,20 @@ def test_runs(spark, tmp_path):
     with pytest.raises(ValueError):
         flow.run_analysis(spark, cleaned, enriched, "absent", MOMENT)
 
+    append_posts(frame(spark, [post(7, "x", "a sad and lonely day"), post(8, "y")]), raw)
+    rest = flow.run_all(spark, raw, cleaned, enriched, None, MOMENT)
+    assert (rest["total_processed"], rest["processed"]) == (2, 2)
+
+
+@pytest.mark.parametrize("few, named", [(1000, 1000), (0, 1000), (1000, 0), (0, 0)])
+def test_pick(spark, monkeypatch, few, named):
+    monkeypatch.setattr(flow, "MAX_SENT_KEYS", few)
+    monkeypatch.setattr(flow, "MAX_NAMED_BATCHES", named)
+    posts = frame(spark, [post(1, "a"), post(2, "a"), post(1, "b")])
+    wanted = spark.createDataFrame([(1, "a"), (9, "c")], "id bigint, batch_id string")
+    picked = flow.pick(posts, wanted, "test")
+    assert [(r.id, r.batch_id) for r in picked.collect()] == [(1, "a")]
+
 
 def test_assignment_rewrites_only_changed_batches(spark, tmp_path):
     raw = str(tmp_path / "raw")
