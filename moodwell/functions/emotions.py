@@ -54,7 +54,7 @@ def lexicon_scorer(lexicon: dict[str, list[str]] | None = None) -> Callable[[Col
     known = sorted({word for words in lexicon.values() for word in words})
 
     def share(hits: Column, words: list[str]) -> Column:
-        return F.size(F.filter(hits, lambda token: token.isin(words))) / F.size(hits)
+        return F.array_size(F.filter(hits, lambda token: token.isin(words))) / F.array_size(hits)
 
     def scores(hits: Column) -> Column:
         return F.array(
@@ -73,8 +73,8 @@ def lexicon_scorer(lexicon: dict[str, list[str]] | None = None) -> Callable[[Col
         return F.get(
             F.transform(
                 F.array(hits),
-                lambda found: F.when(F.size(found) > 0, scores(found)).when(
-                    F.size(found) == 0, nothing
+                lambda found: F.when(F.array_size(found) > 0, scores(found)).when(
+                    F.array_size(found) == 0, nothing
                 ),
             ),
             F.lit(0),

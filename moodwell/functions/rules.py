@@ -166,7 +166,7 @@ def single_spaced(text: Column) -> Column:
 
 def token_count(spaced: Column) -> Column:
     """Tokens of a ``single_spaced`` text."""
-    return F.when(spaced == "", 0).otherwise(F.size(F.split(spaced, " ")))
+    return F.when(spaced == "", 0).otherwise(F.array_size(F.split(spaced, " ")))
 
 
 def noise_token_count(spaced: Column) -> Column:
