@@ -27,6 +27,8 @@ COST_UNIT = 1000.0
 DEFAULT_LANGUAGE = "en"
 MIXED_FROM = 0.2
 
+MAX_LANGUAGES = 1000
+
 
 def letters_only(text: Column) -> Column:
     """Lower-cased text with each run of non-letters as one space."""
@@ -70,7 +72,15 @@ PAIR_COUNTS = T.StructType(
 
 def pair_counter() -> Callable:
     """For ``mapInPandas`` on ``lang, letters``: pair counts of each task."""
-    buckets, read = BUCKETS, _pair_reader()
+    buckets, read, most = BUCKETS, _pair_reader(), MAX_LANGUAGES
+
+    def flush(totals: dict[str, np.ndarray]) -> Iterator[pd.DataFrame]:
+        for lang, total in totals.items():
+            seen = np.flatnonzero(total[:buckets])
+            yield pd.DataFrame(
+                {"lang": lang, "bucket": seen.astype("int32"), "n": total[seen]}
+            )
+        totals.clear()
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         totals: dict[str, np.ndarray] = {}
@@ -79,11 +89,9 @@ def pair_counter() -> Callable:
                 total = totals.setdefault(lang, np.zeros(buckets + 1, dtype=np.int64))
                 for _, _, pairs, _ in read(letters.tolist()):
                     total += np.bincount(pairs, minlength=buckets + 1)
-        for lang, total in totals.items():
-            seen = np.flatnonzero(total[:buckets])
-            yield pd.DataFrame(
-                {"lang": lang, "bucket": seen.astype("int32"), "n": total[seen]}
-            )
+                if len(totals) > most:
+                    yield from flush(totals)
+        yield from flush(totals)
 
     return count
 

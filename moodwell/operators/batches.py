@@ -24,12 +24,13 @@ def newest(posts: DataFrame, limit: int = 50) -> DataFrame:
 def assign_batch(raw: DataFrame, matched: DataFrame, batch_id: str) -> DataFrame:
     """All posts, the matched ones moved to ``batch_id``.
 
-    Of ``matched`` only the ids are read. Those from ``newest`` are few enough
-    for Spark to send them to every task; for any number it can sort and merge.
+    Of ``matched`` only id and present batch are read. Those from ``newest`` are
+    few enough for Spark to send them to every task; for any number it can sort
+    and merge.
     """
-    moved = matched.select("id", F.lit(batch_id).alias("_to")).distinct()
+    moved = matched.select("id", "batch_id", F.lit(batch_id).alias("_to")).distinct()
     return (
-        raw.join(moved, "id", "left")
+        raw.join(moved, ["id", "batch_id"], "left")
         .withColumn("batch_id", F.coalesce("_to", "batch_id"))
         .select(*raw.columns)
     )

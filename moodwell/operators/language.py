@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from moodwell.functions.language import (
     BUCKETS,
     DEFAULT_LANGUAGE,
+    MAX_LANGUAGES,
     MIXED_FROM,
     PAIR_COUNTS,
     bucket_cost,
@@ -66,8 +67,11 @@ def train_profile(df: DataFrame, text_col: str = "text", lang_col: str = "lang")
 
 
 def load_model(profile: DataFrame) -> LanguageModel:
-    """Fetch a trained profile: one row per language, of fixed size."""
-    rows = profile.select("lang", "costs").orderBy("lang").collect()
+    """Fetch a trained profile: one row of fixed size per language. An action."""
+    rows = profile.select("lang", "costs").limit(MAX_LANGUAGES + 1).collect()
+    if len(rows) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages: is it the right column?")
+    rows.sort(key=lambda row: row.lang)
     return LanguageModel([r.lang for r in rows], [r.costs for r in rows])
 
 

@@ -36,7 +36,10 @@ def run_ingestion(
     mode: str = "equals",
     limit: int | None = None,
 ) -> dict:
-    """Append the comments for a keyword as a new batch; the outcome as a plain record."""
+    """Append the comments for a keyword as a new batch; the outcome as a plain record.
+
+    The comments keep their ids, which have to be unique within a batch.
+    """
     outcome = {"status": "error", "batch_id": "", "keyword": keyword, "records_inserted": 0}
     if not keyword or not keyword.strip():
         return {**outcome, "message": "keyword must not be empty"}

@@ -1,6 +1,7 @@
 import collections
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from moodwell.functions.language import BUCKETS
@@ -47,6 +48,19 @@ def test_counts_and_costs_against_a_loop(spark):
             assert [(c.cost, c.lang) for c in row.language_costs] == sums
 
 
+def test_many_languages(spark, monkeypatch):
+    from moodwell.functions import language as functions
+    from moodwell.operators import language as operators
+
+    df = spark.createDataFrame([(f"l{i % 9}", "abc " * i) for i in range(40)], "lang string, text string")
+    want = {tuple(r) for r in pair_counts(df).collect()}
+    monkeypatch.setattr(functions, "MAX_LANGUAGES", 2)
+    monkeypatch.setattr(operators, "MAX_LANGUAGES", 2)
+    assert {tuple(r) for r in pair_counts(df.coalesce(1)).collect()} == want
+    with pytest.raises(ValueError):
+        load_model(train_profile(df))
+
+
 def test_default_language_and_mixed_flag(spark):
     df = spark.createDataFrame([("a", "aaaa"), ("b", "bbbb")], "lang string, text string")
     model = load_model(train_profile(df))
