@@ -3,7 +3,7 @@
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from moodwell.operators.cleaning import in_batch
@@ -65,45 +65,42 @@ def hero_counts(rows: DataFrame) -> DataFrame:
     )
 
 
+def _emotion_counts(rows: DataFrame) -> DataFrame:
+    """One column per emotion with its posts per batch; other labels do not count."""
+    label = F.lower(F.coalesce(F.col("emotion_label"), F.lit("")))
+    return rows.groupBy("batch_id").agg(*[F.count_if(label == e).alias(e) for e in EMOTIONS])
+
+
 def emotion_distribution(rows: DataFrame) -> DataFrame:
     """Posts of each of the seven emotions per batch, 0 included, in fixed order."""
-    label = F.lower("emotion_label")
-    counts = rows.groupBy("batch_id").agg(
-        *[F.count_if(F.coalesce(label == e, F.lit(False))).alias(e) for e in EMOTIONS]
-    )
-    entries = F.array(
-        *[
-            F.struct(
-                F.lit(position).alias("position"),
-                F.lit(e.capitalize()).alias("emotion"),
-                F.col(e).alias("posts"),
-            )
-            for position, e in enumerate(EMOTIONS, 1)
-        ]
-    )
-    return counts.select("batch_id", F.inline(entries))
+    entries = [
+        F.struct(
+            F.lit(position).alias("position"),
+            F.lit(e.capitalize()).alias("emotion"),
+            F.col(e).alias("posts"),
+        )
+        for position, e in enumerate(EMOTIONS, 1)
+    ]
+    return _emotion_counts(rows).select("batch_id", F.inline(F.array(*entries)))
 
 
 def emotion_share(rows: DataFrame) -> DataFrame:
     """``emotion_distribution`` with the share of each emotion in its batch."""
-    label = F.lower("emotion_label")
-    counts = rows.groupBy("batch_id").agg(
-        *[F.count_if(F.coalesce(label == e, F.lit(False))).alias(e) for e in EMOTIONS]
-    )
     total = reduce(lambda a, b: a + b, [F.col(e) for e in EMOTIONS])
-    entries = F.array(
-        *[
-            F.struct(
-                F.lit(e.capitalize()).alias("emotion"),
-                F.col(e).alias("posts"),
-                F.coalesce(F.round(F.try_divide(F.col(e) * 100.0, total), 4), F.lit(0.0)).alias(
-                    "percent"
-                ),
-            )
-            for e in EMOTIONS
-        ]
-    )
-    return counts.select("batch_id", F.inline(entries))
+
+    def percent(e: str) -> Column:
+        share = F.round(F.try_divide(F.col(e) * 100.0, total), 4)
+        return F.coalesce(share, F.lit(0.0))
+
+    entries = [
+        F.struct(
+            F.lit(e.capitalize()).alias("emotion"),
+            F.col(e).alias("posts"),
+            percent(e).alias("percent"),
+        )
+        for e in EMOTIONS
+    ]
+    return _emotion_counts(rows).select("batch_id", F.inline(F.array(*entries)))
 
 
 def emotion_percentage(enriched: DataFrame, batch_id: str | None = None) -> DataFrame:

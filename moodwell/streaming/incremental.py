@@ -41,8 +41,11 @@ def clean_and_score_stream(
     checkpoint: str,
     model: LanguageModel | None = None,
     scorer: Scorer | None = None,
+    every: str | None = None,
 ) -> StreamingQuery:
-    """Start a query that handles what has arrived and stops.
+    """Start a query that handles what has arrived and stops or, with ``every``, goes on.
+
+    ``every`` is an interval such as ``"1 minute"``.
 
     The checkpoint keeps whole files from being read twice. A micro-batch that is
     replayed after a failure finds its own rows in the tables and adds the missing ones.
@@ -66,9 +69,7 @@ def clean_and_score_stream(
         finally:
             posts.unpersist()
 
-    return (
-        raw_stream.writeStream.foreachBatch(handle)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    writer = raw_stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    if every is None:
+        return writer.trigger(availableNow=True).start()
+    return writer.trigger(processingTime=every).start()

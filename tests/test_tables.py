@@ -181,3 +181,18 @@ def test_stream_equals_batch_and_survives_replay(spark, small, tmp_path):
     # A new checkpoint reads every file again: nothing may be added.
     run("two")
     assert state() == want
+
+
+def test_stream_goes_on(spark, tmp_path):
+    raw, cleaned, enriched = (str(tmp_path / n) for n in ("raw", "cleaned", "enriched"))
+    append_posts(frame(spark, [post(1, "a")]), raw)
+    stream = clean_and_score_stream(
+        watch_raw_posts(spark, raw), cleaned, enriched, str(tmp_path / "c"), every="1 second"
+    )
+    try:
+        stream.processAllAvailable()
+        append_posts(frame(spark, [post(2, "a"), post(3, "b")]), raw)
+        stream.processAllAvailable()
+    finally:
+        stream.stop()
+    assert sorted(r.id for r in read_posts(spark, enriched, ENRICHED_POSTS).collect()) == [1, 2, 3]
