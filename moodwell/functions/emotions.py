@@ -5,6 +5,7 @@ A scorer is a function from a text column to a column of
 texts reach it as null.
 """
 
+import re
 from collections.abc import Callable, Iterator
 from functools import reduce
 
@@ -52,6 +53,7 @@ def lexicon_scorer(lexicon: dict[str, list[str]] | None = None) -> Callable[[Col
     """
     lexicon = lexicon or default_lexicon()
     known = sorted({word for words in lexicon.values() for word in words})
+    symbols = "|".join(re.escape(word) for word in known if word.startswith("_"))
 
     def share(hits: Column, words: list[str]) -> Column:
         return F.array_size(F.filter(hits, lambda token: token.isin(words))) / F.array_size(hits)
@@ -67,7 +69,12 @@ def lexicon_scorer(lexicon: dict[str, list[str]] | None = None) -> Callable[[Col
     nothing = F.array(F.struct(F.lit("neutral").alias("label"), F.lit(1.0).alias("score")))
 
     def score(text: Column) -> Column:
-        tokens = F.regexp_extract_all(F.lower(text), F.lit(f"{WORD}+"), F.lit(0))
+        words = F.lower(text)
+        if symbols:
+            # A symbol written right after a word starts a token of its own.
+            parted = F.regexp_replace(words, f"({symbols})", " $1")
+            words = F.when(text.contains("_"), parted).otherwise(words)
+        tokens = F.regexp_extract_all(words, F.lit(f"{WORD}+"), F.lit(0))
         hits = F.filter(tokens, lambda token: token.isin(known))
         # One-element array: the hits are found once and read several times.
         return F.get(

@@ -35,14 +35,12 @@ def normalize_text(df: DataFrame, text_col: str) -> DataFrame:
     out = df.withColumn("_given", F.when(~is_blank(text), text))
     out = compute_once(out.withColumn("_suspect", unsettled(F.col("_given"))), "_given", "_suspect")
     out = out.withColumn("_spelled", name_symbols(F.col("_given"), F.col("_suspect")))
-    out = out.withColumn("_text", F.col("_spelled.text")).withColumn(
-        "_had_emojis", F.col("_spelled.named")
+    out = out.withColumns(
+        {"_text": F.col("_spelled.text"), "_had_emojis": F.col("_spelled.named")}
     )
     for flag, rule in FLAGGED_RULES.items():
-        out = (
-            out.withColumn("_next", rule(F.col("_text")))
-            .withColumn(f"_{flag}", F.col("_next") != F.col("_text"))
-            .withColumn("_text", F.col("_next"))
+        out = out.withColumn("_next", rule(F.col("_text"))).withColumns(
+            {f"_{flag}": F.col("_next") != F.col("_text"), "_text": F.col("_next")}
         )
     for rule in QUIET_RULES:
         out = out.withColumn("_text", rule(F.col("_text")))
@@ -76,8 +74,8 @@ def clean_posts(
     """
     out = normalize_text(df, text_col)
     if model is None:
-        out = out.withColumn("language", F.lit(DEFAULT_LANGUAGE)).withColumn(
-            "_mixed_language", F.lit(False)
+        out = out.withColumns(
+            {"language": F.lit(DEFAULT_LANGUAGE), "_mixed_language": F.lit(False)}
         )
     else:
         out = detect_language(
@@ -92,11 +90,13 @@ def clean_posts(
             "_mixed_language",
         ).drop("_plain")
     text, letters = F.col("_text"), F.col("_letters")
-    out = (
-        out.withColumn("_letters", rules.letter_count(text))
-        .withColumn("_spaced", rules.single_spaced(text))
-        .withColumn("_all_caps", rules.is_all_caps(text, letters))
-        .withColumn("status", status_of(text, F.col("_spaced"), letters))
+    out = out.withColumns(
+        {"_letters": rules.letter_count(text), "_spaced": rules.single_spaced(text)}
+    ).withColumns(
+        {
+            "_all_caps": rules.is_all_caps(text, letters),
+            "status": status_of(text, F.col("_spaced"), letters),
+        }
     )
     results = ["cleaned_text", "language", "emoji_converted", "status", "flags"]
     out = out.select(

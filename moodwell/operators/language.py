@@ -96,12 +96,15 @@ def detect_language(
     """
     return (
         with_language_costs(df, model, text_col, "_costs")
-        .withColumn(
-            language_col,
-            F.coalesce(F.get("_costs", F.lit(0))["lang"], F.lit(DEFAULT_LANGUAGE)),
-        )
-        .withColumn(
-            mixed_col, F.coalesce(second_share(F.col("_costs")) > MIXED_FROM, F.lit(False))
+        .withColumns(
+            {
+                language_col: F.coalesce(
+                    F.get("_costs", F.lit(0))["lang"], F.lit(DEFAULT_LANGUAGE)
+                ),
+                mixed_col: F.coalesce(
+                    second_share(F.col("_costs")) > MIXED_FROM, F.lit(False)
+                ),
+            }
         )
         .drop("_costs")
     )

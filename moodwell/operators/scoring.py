@@ -27,8 +27,9 @@ def label_scores(df: DataFrame, scores_col: str = "scores") -> DataFrame:
     )
     return (
         compute_once(df.withColumn("_by", by_emotion), "_by")
-        .withColumn("emotion_label", top_emotion(F.col("_by")))
-        .withColumn("confidence", top_score(F.col("_by")))
+        .withColumns(
+            {"emotion_label": top_emotion(F.col("_by")), "confidence": top_score(F.col("_by"))}
+        )
         .select(
             *df.columns, "emotion_label", "confidence", *[F.col(f"_by.{e}") for e in EMOTIONS]
         )

@@ -211,12 +211,14 @@ def rule(out: str) -> str:
 
 
 LEXICON = default_lexicon()
+SYMBOLS = "|".join(w for ws in LEXICON.values() for w in ws if w.startswith("_"))
 KNOWN = listed(sorted({w for ws in LEXICON.values() for w in ws}))
 
 
 def lexicon_score(source: str, key: str, text: str) -> str:
     """Relation ``labelled``: the seven scores, label and confidence per key."""
-    hits = f"list_filter(regexp_extract_all(lower({text}), '{WORD}+'), lambda w: w IN ({KNOWN}))"
+    parted = gsub(f"lower({text})", f"({SYMBOLS})", r" \1")
+    hits = f"list_filter(regexp_extract_all({parted}, '{WORD}+'), lambda w: w IN ({KNOWN}))"
     scores = ", ".join(
         "CASE WHEN len(coalesce(hits, [])) = 0 THEN "
         + ("1e0" if e == "neutral" else "0e0")

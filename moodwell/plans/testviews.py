@@ -14,7 +14,7 @@ CYRILLIC = "абцдефгхийклмнопярстувшщыз"
 
 DECORATED = f"""CASE doc_id % 18
  WHEN 0 THEN text
- WHEN 1 THEN text || ' 😠😠 I am so angry'
+ WHEN 1 THEN text || ' 😠😠 I am so angry😡'
  WHEN 2 THEN text || ' https://example.com/a?b=1 WWW.example.org HTTP://x.y'
  WHEN 3 THEN text || ' @user_1 @café a@b.example'
  WHEN 4 THEN text || ' #climateChange ##TwoHashes #happy #été_Été #aB#cD'

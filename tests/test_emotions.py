@@ -39,6 +39,7 @@ def test_lexicon(spark):
     texts = [
         ("I am happy, so HAPPY and angry!",),
         ("_angry_face_ rage and fear of joy",),
+        ("so_crying_face_ and this_loudly_crying_face_",),
         ("nothing here",),
         ("",),
         (None,),
@@ -47,7 +48,8 @@ def test_lexicon(spark):
     got = score_posts(spark.createDataFrame(texts, "cleaned_text string")).collect()
     assert (got[0].emotion_label, got[0].joy, got[0].anger) == ("joy", 0.6667, 0.3333)
     assert (got[1].emotion_label, got[1].confidence) == ("anger", 0.5)
-    assert [r.emotion_label for r in got[2:]] == ["neutral"] * 4
+    assert (got[2].emotion_label, got[2].confidence) == ("sadness", 1.0)
+    assert [r.emotion_label for r in got[3:]] == ["neutral"] * 4
     assert not any(r.scoring_failed for r in got)
     assert set(default_lexicon()) == set(EMOTIONS) - {"neutral"}
 
