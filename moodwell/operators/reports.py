@@ -11,15 +11,23 @@ from moodwell.schemas import EMOTIONS
 
 
 def joined_posts(
-    raw: DataFrame, cleaned: DataFrame, enriched: DataFrame, batch_id: str | None = None
+    raw: DataFrame,
+    cleaned: DataFrame,
+    enriched: DataFrame,
+    batch_id: str | None = None,
+    same_ids: bool = False,
 ) -> DataFrame:
     """Raw posts with their cleaned text and score, if any.
 
     Scores are joined to cleaned posts before the raw posts come in, so the raw
-    text, the widest column, is shuffled once. One batch is listed newest id first.
+    text, the widest column, is shuffled once. With ``same_ids``, right for tables
+    filled by this package, where a cleaned post has the id of its raw post, both
+    joins share their keys and the cleaned text is shuffled once as well. One
+    batch is listed newest id first.
     """
+    key = "raw_post_id" if same_ids else "cleaned_id"
     scores = in_batch(enriched, batch_id).select(
-        F.col("cleaned_post_id").alias("cleaned_id"),
+        F.col("cleaned_post_id").alias(key),
         "batch_id",
         "emotion_label",
         "confidence",
@@ -31,7 +39,7 @@ def joined_posts(
     posts = in_batch(raw, batch_id).select(
         F.col("id").alias("raw_post_id"), "batch_id", "raw_text", "keyword"
     )
-    scored = texts.join(scores, ["cleaned_id", "batch_id"], "left")
+    scored = texts.join(scores, [key, "batch_id"], "left")
     rows = posts.join(scored, ["raw_post_id", "batch_id"], "left").select(
         "raw_post_id",
         "batch_id",

@@ -423,9 +423,8 @@ ORACLES: dict[str, str] = {
     "joined_posts": f"""WITH {JOINED} SELECT raw_post_id, batch_id, raw_text, keyword, cleaned_text,
  language, emotion_label, CAST(confidence AS DOUBLE) AS confidence,
  CAST(analyzed_at AS VARCHAR) AS analyzed_at FROM joined""",
-    "unanalyzed_by_batch": f"""WITH {CLEANED}, {ENRICHED} SELECT c.batch_id, count(c.id) AS unanalyzed
- FROM cleaned_posts c LEFT JOIN enriched_posts e ON c.id = e.cleaned_post_id
- WHERE e.id IS NULL GROUP BY c.batch_id""",
+    "unanalyzed_by_batch": f"""WITH {CLEANED}, {ENRICHED}, {UNANALYZED}
+ SELECT batch_id, count(*) AS unanalyzed FROM unanalyzed GROUP BY ALL""",
     # Counts and reports
     "cleaning_stats": f"""WITH {RAW}, {CLEANED},
  r AS (SELECT batch_id, count(*) AS total_raw FROM raw_posts GROUP BY ALL),

@@ -557,7 +557,7 @@ def uncleaned_posts(spark, sf_dir):
 def joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.joined_posts(
         raw_posts(spark, sf_dir, spread=True), cleaned_posts(spark, sf_dir),
-        enriched_posts(spark, sf_dir),
+        enriched_posts(spark, sf_dir), same_ids=True,
     )
 
 
@@ -767,5 +767,6 @@ def stream_clean(spark, sf_dir):
         read_posts(spark, raw, RAW_POSTS),
         read_posts(spark, cleaned, CLEANED_POSTS),
         read_posts(spark, enriched, ENRICHED_POSTS),
+        same_ids=True,
     )
     return done.select("raw_post_id", "batch_id", "cleaned_text", "emotion_label", as_number("confidence"))

@@ -158,6 +158,20 @@ def test_joined_posts(tables):
     assert reports.joined_posts(*tables).count() == 5
 
 
+def test_joins_by_the_same_ids_shuffle_each_table_once(spark, tables):
+    plain, same = reports.joined_posts(*tables), reports.joined_posts(*tables, same_ids=True)
+    assert sorted(map(repr, plain.collect())) == sorted(map(repr, same.collect()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shuffles = [
+            df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+            for df in (reports.joined_posts(*tables), reports.joined_posts(*tables, same_ids=True))
+        ]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert shuffles == [4, 3]
+
+
 def test_join_repeats_posts_cleaned_twice(tables):
     raw, cleaned, enriched = tables
     twice = cleaned.unionByName(cleaned.withColumn("id", F.col("id") + 100))
