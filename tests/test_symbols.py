@@ -71,3 +71,13 @@ def test_latin_letters_follow_the_names(spark):
              if chr(c).isalpha()]
     df = spark.createDataFrame(chars, "c string, want boolean")
     assert df.where(F.col("c").rlike(latin_letters()) != F.col("want")).count() == 0
+
+
+def test_unsettled_is_the_rest(spark):
+    from moodwell.functions.symbols import NOT_LATIN, UNSETTLED
+
+    settled = {c for a, b in SETTLED for c in range(a, b + 1)}
+    codes = [c for c in range(1, sys.maxunicode + 1) if not 0xD800 <= c < 0xE000]
+    df = spark.createDataFrame([(chr(c), c not in settled) for c in codes], "t string, rest boolean")
+    found = F.col("t").rlike(NOT_LATIN) & F.col("t").rlike(UNSETTLED)
+    assert df.where(found != F.col("rest")).count() == 0
