@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodwell.llm import chat, licenses, pieces, shards, winnow
+from moodwell.llm import bytelang, chat, licenses, ordermin, pieces, sentences, shards, winnow
 from moodwell.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,15 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.piece_digests(docs, pieces.read_model(PIECES)).drop("text")
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from two thirds of them."""
+    docs = table(spark, sf_dir, "documents")
+    kept_back = bytelang.held_out(F.col("doc_id"), 3, 1)
+    tagger = bytelang.train_tagger(docs.where(~kept_back))
+    read = docs.select("doc_id", kept_back.alias("held_out"), "text")
+    return bytelang.identify(read, tagger).drop("text")
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Phrases and notices in every document."""
     return licenses.scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
@@ -57,6 +66,12 @@ def op7_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the passages that an earlier one has."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sentences.remove_repeats(docs)
+
+
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation, and one full of control strings, read back from its tokens."""
     columns = ["conv_id", "turn", "role", "text"]
@@ -72,8 +87,23 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(formatted, ranks, pattern)
 
 
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of near copies that each document belongs to."""
+    found = ordermin.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "class_id", "class_size", "kept")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op3_sentencepiece, op5_license_scan, op6_decontaminate, op7_shard, op9_chat_format)
+    for f in (
+        op3_sentencepiece,
+        op4_language_id,
+        op5_license_scan,
+        op6_decontaminate,
+        op7_shard,
+        op8_substring_dedup,
+        op9_chat_format,
+        op10_near_duplicates,
+    )
 }
 ORACLES: dict[str, str] = {}
