@@ -6,11 +6,32 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from moodwell.llm import pieces, winnow
+from moodwell.llm import bytelang, ordermin, pieces, sentences, winnow
 from moodwell.llm.common import table, written
 
 
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no language can be told (null, or without a letter) go."""
+    tagger = bytelang.train_tagger(docs.where(~bytelang.held_out(F.col("doc_id"), 3, 1)))
+    tagged = bytelang.identify(docs.withColumn("_given", F.col("text")), tagger, "_given")
+    return tagged.where(F.col("lang_pred") != bytelang.UNKNOWN).select(docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near copies the document with the least id stays."""
+    return ordermin.keep_one_each(docs)
+
+
+def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages that an earlier document has go; what is left stays, with its length."""
+    cut = sentences.remove_repeats(docs)
+    shorter = F.when(F.col("n_removed") > 0, F.char_length("text")).otherwise(F.col("n_chars"))
+    kind = docs.schema["n_chars"].dataType
+    return cut.withColumn("n_chars", shorter.cast(kind)).select(docs.columns)
+
+
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents a twentieth of whose words stand in runs of benchmark items go."""
     return winnow.decontaminate(docs, table(spark, sf_dir, "benchmark"))
@@ -23,7 +44,13 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-STAGES: list[tuple[str, Stage]] = [("decontaminate", decontaminate), ("encode", encode)]
+STAGES: list[tuple[str, Stage]] = [
+    ("language", identify_language),
+    ("near_copies", drop_near_copies),
+    ("repeats", drop_repeats),
+    ("benchmark", decontaminate),
+    ("pieces", encode),
+]
 
 ORACLE_SQL = None
 
