@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodwell.llm import bytelang, chat, licenses, ordermin, pieces, sentences, shards, winnow
+from moodwell.llm import bilinear, bytelang, chat, licenses, ordermin, pieces, postings, sentences, shards, winnow
 from moodwell.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,17 @@ PIECES = public_tokenizers.path("piece_bpe_32k.model")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of every document, by a model of six sevenths of them."""
+    docs = table(spark, sf_dir, "documents")
+    return bilinear.score_texts(docs, bytelang.held_out(F.col("doc_id"), 7, 2))
+
+
+def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty nearest vectors of every twentieth one."""
+    return postings.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens and decoded text of every document, by digest."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -96,6 +107,8 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op1_lm_score,
+        op2_nearest_neighbours,
         op3_sentencepiece,
         op4_language_id,
         op5_license_scan,
