@@ -191,15 +191,18 @@ def nearest(
     index = _blocked(
         written(assign_lists(distinct, graph, whole.longest, NEAR, REPLICAS), "index"), "copy"
     ).select("list", "block", "copy", "ids", "vector")
+    index = written(index, "index-blocks")
     asking = rows.where("asks").groupBy("copy").agg(F.first("vector").alias("vector"))
     visits = _blocked(written(assign_lists(asking, graph, None, REACH, None), "visits"), "copy").select(
         "list", F.col("block").alias("q_block"), F.col("blocks").alias("q_blocks"),
         F.col("copy").alias("asked"), "vector",
     )
+    visits = written(visits, "visit-blocks")
     blocks = index.select("list", "block").distinct()
     q_blocks = visits.select("list", "q_block").distinct()
-    left = index.join(q_blocks, "list")
+    left = written(index.join(q_blocks, "list"), "left")
     right = visits.join(blocks, "list").select("list", "block", "q_block", "asked", "vector")
+    right = written(right, "right")
 
     def compare(there: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         out = []
