@@ -25,6 +25,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from moodwell.llm.common import written
+
 RUN = 3  # sentences in a row
 RUN_WORDS = 15  # words that a run has at least
 LONG_SENTENCE = 24  # words beyond which a sentence is cut further
@@ -83,7 +85,7 @@ def _text_hash(column: str) -> Column:
 
 
 def repeated_runs(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """id, text_hash and place of every run that an earlier place has, too."""
+    """id, text_hash and place of every run that an earlier place has, too. Runs jobs."""
     kind = df.schema[id_column].dataType.simpleString()
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,9 +104,10 @@ def repeated_runs(df: DataFrame, id_column: str = "doc_id", text_column: str = "
         F.col(id_column).alias("id"), _text_hash(text_column).alias("text_hash"), text_column
     )
     rows = texts.mapInArrow(hashed, f"id {kind}, text_hash long, place int, h1 long, h2 long")
+    rows = written(rows, "runs")
     # Runs that occur once are most of them: they are left out before anything else travels.
     often = rows.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    again = rows.join(often, ["h1", "h2"], "left_semi")
+    again = written(rows.join(often, ["h1", "h2"], "left_semi"), "repeated-runs")
     order = F.struct("id", "text_hash", "place")
     first = again.groupBy("h1", "h2").agg(F.min(order).alias("first"))
     return again.join(first, ["h1", "h2"]).where(~order.eqNullSafe(F.col("first"))).select(
