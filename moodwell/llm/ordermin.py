@@ -1,11 +1,11 @@
 """Near-duplicate classes by order MinHash.
 
 A text's five-word shingles are labelled by occurrence. Under each of some hash functions the
-three least labelled shingles, in the order of the text, are one sketch, so that texts agree in
+five least labelled shingles, in the order of the text, are one sketch, so that texts agree in
 it if they are alike in content and order. Texts that share a sketch are a bucket: all
-are held against its least member; those that turn out to differ are held against
-each other in finer buckets, by a further sketch at a time, until no bucket
-has two. Two texts are linked if a banded alignment of their shingles (a longest common
+are held against its centre; those that turn out to differ, and are in no class
+with it, are held against each other in finer buckets, by a further sketch at a time, until no
+bucket has two. Two texts are linked if a banded alignment of their shingles (a longest common
 subsequence) covers at least 0.8 of all their shingles together; classes are what links connect.
 
 Defined results: equal texts are one class; null texts are classes of their own; texts without
@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 from moodwell.llm.common import once_per_process, text_key, written
 
 SHINGLE = 5
-SKETCHES = 16
-LEAST = 3
+SKETCHES = 24
+LEAST = 5
 SIMILAR = 0.8
 
 _TABLE = bytes(
@@ -79,8 +79,8 @@ def label_occurrences(hashes: np.ndarray) -> np.ndarray:
     return mix(hashes + occurrence * np.uint64(0x9E3779B97F4A7C15))
 
 
-def sketches(text: str) -> list[int] | None:
-    """The sketches of a text; None without words."""
+def sketches(text: str) -> tuple[int, list[int]] | None:
+    """The number of shingles and the sketches of a text; None without words."""
     words = word_list(text)
     if not words:
         return None
@@ -94,7 +94,7 @@ def sketches(text: str) -> list[int] | None:
     total = np.arange(SKETCHES, dtype=np.uint64)
     for k in range(size):
         total = mix(total * _ODD[k] + labelled[least[:, k]])
-    return total.view(np.int64).tolist()
+    return len(labelled), total.view(np.int64).tolist()
 
 
 def common_length(a: np.ndarray, b: np.ndarray, band: int) -> int:
@@ -146,11 +146,11 @@ def sketch_texts(texts: DataFrame) -> DataFrame:
 
     def sketched(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            seen = [sketches(text) for text in frame["text"]]
-            out = frame[["key"]].assign(sketches=seen)
-            yield out[[s is not None for s in seen]]
+            seen = [(key, sketches(text)) for key, text in zip(frame["key"], frame["text"], strict=True)]
+            rows = [(key, *found) for key, found in seen if found is not None]
+            yield pd.DataFrame(rows, columns=["key", "size", "sketches"])
 
-    return texts.mapInPandas(sketched, "key binary, sketches array<long>")
+    return texts.mapInPandas(sketched, "key binary, size long, sketches array<long>")
 
 
 def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -175,31 +175,37 @@ def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     )
 
 
-def find_links(texts: DataFrame) -> DataFrame:
-    """Pairs (a, b) of keys of alike texts that connect all alike texts. Runs jobs at once."""
+def find_classes(texts: DataFrame) -> DataFrame:
+    """key and root of every text that is like another one. Runs jobs at once."""
     # Copies give the same sketches; the groups are gathered in each task first.
     signed = written(
-        sketch_texts(texts).groupBy("key").agg(F.first("sketches").alias("sketches")), "sketches"
+        sketch_texts(texts)
+        .groupBy("key")
+        .agg(F.first("size").alias("size"), F.first("sketches").alias("sketches")),
+        "sketches",
     )
+    sizes = signed.select("key", "size")
     members = signed.select("key", F.posexplode("sketches").alias("last", "sketch")).select(
         "key", "last", F.xxhash64("last", "sketch").alias("bucket")
     )
-    links = None
+    links = roots = None
     for level in range(SKETCHES):
-        filled = members.groupBy("bucket").agg(F.min("key").alias("b"), F.count("*").alias("n"))
-        filled = filled.where("n > 1").drop("n")
-        held = written(members.join(filled, "bucket"), f"members-{level}")
-        others = held.where(F.col("key") != F.col("b"))
-        pairs = others.select(F.col("key").alias("a"), "b").distinct()
+        held = written(_with_centre(members, f"level-{level}"), f"members-{level}")
+        if roots is not None:  # what is one class already needs no further link
+            held = written(_of_other_class(held, roots), f"apart-{level}")
+        pairs = _of_like_size(held.select(F.col("key").alias("a"), "b").distinct(), sizes)
         if links is not None:
             pairs = pairs.join(links.select("a", "b"), ["a", "b"], "left_anti")
         judged = written(verify(pairs, texts), f"judged-{level}")
         new = judged.where("alike").select("a", "b")
-        links = new if links is None else written(links.unionByName(new), f"links-{level}")
-        # What differs from its bucket's least member may still be like others there.
-        apart = others.join(links, (others.key == links.a) & (others.b == links.b), "left_anti")
-        left = written(apart.select("key", "last", "bucket"), f"apart-{level}")
+        if links is None or not new.isEmpty():
+            links = new if links is None else written(links.unionByName(new), f"links-{level}")
+            roots = connect(links)
+        # What differs from its bucket's centre may still be like others there.
+        left = written(_of_other_class(held, roots).select("key", "last", "bucket"), f"left-{level}")
         again = left.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+        if again.isEmpty():
+            break
         members = (
             left.join(again, "bucket", "left_semi")
             .join(signed, "key")
@@ -211,9 +217,39 @@ def find_links(texts: DataFrame) -> DataFrame:
                 F.xxhash64("bucket", "next", "sketch").alias("bucket"),
             )
         )
-        if left.limit(2).count() < 2 or again.isEmpty():
-            break
-    return links
+    return roots
+
+
+def _of_like_size(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose numbers of shingles let them be alike."""
+    a = sizes.select(F.col("key").alias("a"), F.col("size").alias("size_a"))
+    b = sizes.select(F.col("key").alias("b"), F.col("size").alias("size_b"))
+    least, most = F.least("size_a", "size_b"), F.greatest("size_a", "size_b")
+    return pairs.join(a, "a").join(b, "b").where(least >= most * SIMILAR).select("a", "b")
+
+
+def _with_centre(members: DataFrame, name: str) -> DataFrame:
+    """Members of buckets of two or more, with the bucket's centre as ``b``; without the centres.
+
+    The centre is the member that meets most others over all its buckets: copies
+    that differ from an original in places of their own all have that one in common.
+    """
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    shared = written(members.join(sizes, "bucket"), f"shared-{name}")
+    met = shared.groupBy("key").agg(F.sum("n").alias("met"))
+    ranked = written(shared.join(met, "key").select("key", "last", "bucket", "met"), f"ranked-{name}")
+    centres = ranked.groupBy("bucket").agg(F.max(F.struct("met", "key")).alias("m"))
+    centres = centres.select("bucket", F.col("m.key").alias("b"))
+    return ranked.drop("met").join(centres, "bucket").where(F.col("key") != F.col("b"))
+
+
+def _of_other_class(held: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members that are not yet in the class of their bucket's centre."""
+    own = roots.select("key", F.col("root").alias("own_root"))
+    centre = roots.select(F.col("key").alias("b"), F.col("root").alias("centre_root"))
+    placed = held.join(own, "key", "left").join(centre, "b", "left")
+    apart = ~F.col("own_root").eqNullSafe(F.col("centre_root")) | F.col("own_root").isNull()
+    return placed.where(apart).select(held.columns)
 
 
 def connect(links: DataFrame) -> DataFrame:
@@ -251,7 +287,7 @@ def near_duplicates(
     """``id, key, class_id`` (its least id), ``class_size`` and ``kept`` (has that id) per row."""
     rows = df.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     texts = rows.where("text IS NOT NULL").select(text_key(F.col("text")).alias("key"), "text")
-    roots = connect(find_links(texts))
+    roots = find_classes(texts)
     own = rows.select("id", text_key(F.col("text")).alias("key"), F.col("text").isNull().alias("none"))
     placed = own.join(roots, "key", "left").select(
         "id", "key", "none", F.coalesce("root", "key").alias("root")
