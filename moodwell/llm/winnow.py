@@ -115,15 +115,12 @@ def find_contamination(
         met.where(~lengths).groupBy("key").agg(F.collect_set("hash").alias("hits")), "suspects"
     )
     near = worded.join(sent_if_small(suspects), "key")
-    places = F.concat(
-        *[
-            F.transform(
-                _near(_gram_hashes(F.col("words"), gram), F.col("hits"), size - gram + 1),
-                lambda p, size=size: F.struct(p.alias("start"), F.lit(size).alias("size")),
-            )
-            for size, gram in [(RUN, GRAM), *[(size, size) for size in short]]
-        ]
-    )
+
+    def tries(size: int, gram: int) -> Column:
+        starts = _near(_gram_hashes(F.col("words"), gram), F.col("hits"), size - gram + 1)
+        return F.transform(starts, lambda p: F.struct(p.alias("start"), F.lit(size).alias("size")))
+
+    places = F.concat(tries(RUN, GRAM), *[tries(size, size) for size in short])
     tried = near.select("key", "words", F.inline(places)).select(
         "key",
         "start",
