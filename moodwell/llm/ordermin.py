@@ -313,9 +313,12 @@ def near_duplicates(
 def keep_one_each(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``df`` with one row of each class: that of the least id."""
     kept = near_duplicates(df, id_column, text_column).where("kept")
-    rows = written(kept.groupBy("id", "key").agg(F.count("*").alias("copies")), "kept")
-    same = F.col(id_column).eqNullSafe(F.col("k.id")) & (text_key(F.col(text_column)) == F.col("k.key"))
-    joined = df.join(rows.alias("k"), same).withColumn("_copies", F.col("k.copies"))
+    by = [F.col("id").alias("_kept_id"), F.col("key").alias("_kept_key")]
+    rows = written(kept.groupBy(*by).agg(F.count("*").alias("_copies")), "kept")
+    same = F.col(id_column).eqNullSafe(F.col("_kept_id")) & (
+        text_key(F.col(text_column)) == F.col("_kept_key")
+    )
+    joined = df.join(rows, same)
     null_text = F.col(text_column).isNull()
     single = joined.where(null_text | (F.col("_copies") == 1)).select(df.columns)
     # Rows equal in id and text, of which the class keeps one.

@@ -118,7 +118,8 @@ def repeated_runs(df: DataFrame, id_column: str = "doc_id", text_column: str = "
 def remove_repeats(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``df`` with the rest of each text, ``n_sentences`` (null if nothing went) and ``n_removed``."""
     found = repeated_runs(df, id_column, text_column)
-    places = found.groupBy("id", "text_hash").agg(F.collect_set("place").alias("_places"))
+    by = [F.col("id").alias("_run_id"), F.col("text_hash").alias("_run_hash")]
+    places = found.groupBy(*by).agg(F.collect_set("place").alias("_places"))
 
     @F.pandas_udf("text string, n_sentences long, n_removed long")
     def cut(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
@@ -131,8 +132,8 @@ def remove_repeats(df: DataFrame, id_column: str = "doc_id", text_column: str =
             yield frame.astype({"n_sentences": "Int64"})
 
     hit = F.col("_places").isNotNull()
-    same = F.col(id_column).eqNullSafe(F.col("p.id")) & (_text_hash(text_column) == F.col("p.text_hash"))
-    joined = df.join(places.alias("p"), same, "left").withColumn(
+    same = F.col(id_column).eqNullSafe(F.col("_run_id")) & (_text_hash(text_column) == F.col("_run_hash"))
+    joined = df.join(places, same, "left").withColumn(
         "_cut", cut(F.when(hit, F.col(text_column)), F.col("_places"))
     )
     out = joined.withColumn(text_column, F.when(hit, F.col("_cut.text")).otherwise(F.col(text_column)))
