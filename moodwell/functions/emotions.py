@@ -6,8 +6,12 @@ texts reach it as null.
 """
 
 import re
+import logging
+import sys
+import uuid
 from collections.abc import Callable, Iterator
 from functools import reduce
+from types import ModuleType
 
 import pandas as pd
 from pyspark.sql import Column
@@ -93,12 +97,13 @@ def lexicon_scorer(lexicon: dict[str, list[str]] | None = None) -> Callable[[Col
 def model_scorer(
     factory: Callable[[], Callable[[list[str]], list]], batch_size: int = 32
 ) -> Callable[[Column], Column]:
-    """Adapter for a Python model, loaded once per worker and fed in batches.
+    """Adapter for a Python model, loaded once per worker process and fed in batches.
 
     ``factory()`` returns a function from a list of texts to one list of
     ``{"label", "score"}`` per text. If a batch fails, its texts are tried one by
-    one, so that one bad text does not cost the others their scores.
+    one, so that one bad text does not cost the others their scores; what fails is logged.
     """
+    name = f"model-{uuid.uuid4().hex}"
 
     def run(model, texts: list[str]) -> list:
         try:
@@ -107,12 +112,17 @@ def model_scorer(
                 return results
         except Exception:
             if len(texts) == 1:
+                logging.getLogger("moodwell").exception("a text could not be scored")
                 return [None]
         return [None] if len(texts) == 1 else [r for t in texts for r in run(model, [t])]
 
     @F.pandas_udf(SCORES)
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        model = factory()
+        # Kept by the worker process, which outlives its tasks.
+        held = sys.modules.setdefault("_moodwell_models", ModuleType("_moodwell_models")).__dict__
+        if name not in held:
+            held[name] = factory()
+        model = held[name]
         for batch in batches:
             results = pd.Series([None] * len(batch), dtype=object)
             places = [i for i, text in enumerate(batch) if text is not None]

@@ -3,8 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# The most posts one search may move, and the rows of a preview.
-MAX_SEARCH = 200
+# Fixed value: the rows of a preview.
 PREVIEW_ROWS = 8
 
 
@@ -16,21 +15,19 @@ def search_posts(raw: DataFrame, keyword: str) -> DataFrame:
 
 def newest(posts: DataFrame, limit: int = 50) -> DataFrame:
     """The newest posts, undated ones first; each task keeps no more than ``limit`` rows."""
-    if not 1 <= limit <= MAX_SEARCH:
-        raise ValueError(f"limit must lie between 1 and {MAX_SEARCH}")
+    if limit < 1:
+        raise ValueError("limit must be at least 1")
     return posts.orderBy(F.desc_nulls_first("created_at"), F.desc("id")).limit(limit)
 
 
 def assign_batch(raw: DataFrame, matched: DataFrame, batch_id: str) -> DataFrame:
     """All posts, the matched ones moved to ``batch_id``.
 
-    Of ``matched`` only id and present batch are read. Those from ``newest`` are
-    few enough for Spark to send them to every task; for any number it can sort
-    and merge.
+    Of ``matched`` only the id is read, which no two posts of a table share.
     """
-    moved = matched.select("id", "batch_id", F.lit(batch_id).alias("_to")).distinct()
+    moved = matched.select("id", F.lit(batch_id).alias("_to")).distinct()
     return (
-        raw.join(moved, ["id", "batch_id"], "left")
+        raw.join(moved, "id", "left")
         .withColumn("batch_id", F.coalesce("_to", "batch_id"))
         .select(*raw.columns)
     )

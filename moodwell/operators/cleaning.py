@@ -116,17 +116,11 @@ def in_batch(df: DataFrame, batch_id: str | None) -> DataFrame:
 
 
 def uncleaned(raw: DataFrame, cleaned: DataFrame, batch_id: str | None = None) -> DataFrame:
-    """Raw posts without a cleaned post."""
+    """Raw posts without a cleaned post, in whatever batch that may be."""
     done = cleaned.select(F.col("raw_post_id").alias("id"))
     return in_batch(raw, batch_id).join(done, "id", "left_anti")
 
 
-def not_yet_cleaned(posts: DataFrame, cleaned: DataFrame) -> DataFrame:
-    """Posts that their present batch has no cleaned post for."""
-    done = cleaned.select(F.col("raw_post_id").alias("id"), "batch_id")
-    return posts.join(done, ["id", "batch_id"], "left_anti")
-
-
 def clean_stage(
     raw: DataFrame,
     cleaned: DataFrame | None,
@@ -143,7 +137,7 @@ def clean_stage(
     """
     posts = in_batch(raw, batch_id)
     if cleaned is not None:
-        posts = not_yet_cleaned(posts, in_batch(cleaned, batch_id))
+        posts = uncleaned(posts, cleaned)
     return clean_posts(posts.select("id", "batch_id", "raw_text"), "raw_text", model).select(
         "id",
         F.col("id").alias("raw_post_id"),

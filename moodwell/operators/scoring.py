@@ -60,7 +60,7 @@ def unanalyzed(
 ) -> DataFrame:
     """Cleaned posts in ``lang`` without a score.
 
-    A cleaned post is known by its id within its batch. The empty text of a
+    A cleaned post is known by its id, whatever its batch. The empty text of a
     rejected post is scored (as neutral) unless ``skip_empty``.
     """
     posts = in_batch(cleaned, batch_id)
@@ -68,8 +68,8 @@ def unanalyzed(
         posts = posts.where(F.col("language") == lang)
     if skip_empty:
         posts = posts.where(F.col("cleaned_text") != "")
-    done = in_batch(enriched, batch_id).select(F.col("cleaned_post_id").alias("id"), "batch_id")
-    return posts.join(done, ["id", "batch_id"], "left_anti")
+    done = enriched.select(F.col("cleaned_post_id").alias("id"))
+    return posts.join(done, "id", "left_anti")
 
 
 def to_enriched(scored: DataFrame, analyzed_at: Column) -> DataFrame:
@@ -96,9 +96,12 @@ def enrich_stage(
     skip_empty: bool = False,
     limit: int | None = None,
 ) -> DataFrame:
-    """Rows for the enriched table: all posts to score, or the first ``limit`` by id."""
+    """Rows for the enriched table: all posts to score, or the first ``limit`` by id.
+
+    A post whose scoring failed has no row, so that a later run tries it again.
+    """
     posts = unanalyzed(cleaned, enriched, batch_id, skip_empty=skip_empty)
     if limit is not None:
         posts = posts.orderBy("id", "batch_id").limit(limit)
     scored = score_posts(posts.select("id", "batch_id", "cleaned_text"), scorer)
-    return to_enriched(scored, analyzed_at)
+    return to_enriched(scored.where(~F.col("scoring_failed")), analyzed_at)

@@ -2,13 +2,13 @@
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from moodwell.functions.ids import ingest_batch_id
+from moodwell.functions.ids import ingest_batch_id, table_id
 from moodwell.functions.moments import moment
 from moodwell.operators.batches import assign_batch, newest, search_posts
-from moodwell.operators.cleaning import clean_stage, in_batch, not_yet_cleaned
+from moodwell.operators.cleaning import clean_stage, in_batch, uncleaned
 from moodwell.operators.ingest import match_comments, to_raw_posts
 from moodwell.operators.language import LanguageModel
 from moodwell.operators.scoring import Scorer, score_posts, to_enriched, unanalyzed
@@ -38,24 +38,26 @@ def run_ingestion(
 ) -> dict:
     """Append the comments for a keyword as a new batch; the outcome as a plain record.
 
-    The comments keep their ids, which have to be unique within a batch.
+    Ids that are unique in the source give ids that are unique in the table, also if
+    a source is read again for another batch.
     """
     outcome = {"status": "error", "batch_id": "", "keyword": keyword, "records_inserted": 0}
     if not keyword or not keyword.strip():
-        return {**outcome, "message": "keyword must not be empty"}
+        return {**outcome, "message": "no keyword given"}
     spark = source.sparkSession
     batch_id = spark.range(1).select(ingest_batch_id(F.lit(keyword), F.lit(suffix))).first()[0]
     comments = match_comments(source, keyword, mode=mode, limit=limit)
     posts = to_raw_posts(comments, batch_id, keyword, platform, moment(created_at))
+    posts = posts.withColumn("id", table_id(F.col("batch_id"), F.col("id")))
     inserted = append_posts(posts, raw_path)
     if not inserted:
-        return {**outcome, "message": f"no comments found for keyword '{keyword}'"}
+        return {**outcome, "message": f"nothing in the source for {keyword!r}"}
     return {
         "status": "success",
         "batch_id": batch_id,
         "keyword": keyword,
         "records_inserted": inserted,
-        "message": f"inserted {inserted} comments for keyword '{keyword}'",
+        "message": f"{inserted} new posts for {keyword!r}",
     }
 
 
@@ -64,25 +66,28 @@ def run_assignment(
 ) -> int:
     """Move the newest posts for a keyword to a batch; returns how many.
 
-    Only the batches that lose or gain posts are rewritten. The matches are
-    read once more while their batches are replaced, hence the list of ids,
-    which ``newest`` bounds.
+    Only the batches that lose or gain posts are rewritten. The matches' keys are
+    written first, since their batches are replaced while they are read; the
+    batches' names, at most ``limit``, prune the scan.
     """
     raw = read_posts(spark, raw_path, RAW_POSTS)
-    found = newest(search_posts(raw, keyword), limit).select("id", "batch_id").collect()
-    if not found:
+    path = work_folder(spark, "matched")
+    newest(search_posts(raw, keyword), limit).select("id", "batch_id").write.parquet(path)
+    matched = spark.read.schema("id bigint, batch_id string").parquet(path)
+    moved = matched.count()
+    if not moved:
         raise ValueError(f"no posts found for keyword: {keyword}")
-    matched = spark.createDataFrame(found, "id bigint, batch_id string")
-    losing = {r.batch_id for r in found} - {batch_id}
+    names = matched.select("batch_id").distinct().collect()
+    losing = {r.batch_id for r in names} - {batch_id}
     # Named batches, so that the scan is pruned to their folders.
     old = raw.where(F.col("batch_id").isin(list(losing)))
-    left = old.where(~F.col("id").isin([r.id for r in found])).select("batch_id").distinct()
+    left = old.join(matched, ["id", "batch_id"], "left_anti").select("batch_id").distinct()
     left = {r.batch_id for r in left.collect()}
     changed = raw.where(F.col("batch_id").isin([*losing, batch_id]))
     overwrite_batches(assign_batch(changed, matched, batch_id), raw_path)
     for emptied in losing - left:
         empty_batch(spark, raw_path, RAW_POSTS, emptied)
-    return len(found)
+    return moved
 
 
 def pick(posts: DataFrame, wanted: DataFrame, name: str) -> DataFrame:
@@ -118,13 +123,23 @@ def run_cleaning(
         raise ValueError(f"no raw posts found for batch {batch_id}")
     ensure_table(spark, cleaned_path, CLEANED_POSTS)
     if not reclean:
-        cleaned = in_batch(read_posts(spark, cleaned_path, CLEANED_POSTS), batch_id)
-        raw = pick(raw, not_yet_cleaned(raw.select("id", "batch_id"), cleaned), "uncleaned")
+        cleaned = read_posts(spark, cleaned_path, CLEANED_POSTS)
+        raw = pick(raw, uncleaned(raw.select("id", "batch_id"), cleaned), "uncleaned")
     rows = clean_stage(raw, None, moment(processed_at), model=model)
     write = overwrite_batches if reclean else append_posts
     return {"batch_id": batch_id, "total_processed": write(rows, cleaned_path)}
 
 
+def drop_scores(spark: SparkSession, enriched_path: str, batch_id: str | None) -> int:
+    """Remove the scores of a batch, or of all, whose posts are cleaned anew; returns how many."""
+    ensure_table(spark, enriched_path, ENRICHED_POSTS)
+    scores = in_batch(read_posts(spark, enriched_path, ENRICHED_POSTS), batch_id)
+    names = [batch_id] if batch_id is not None else [
+        r.batch_id for r in scores.select("batch_id").distinct().collect()
+    ]
+    return sum(empty_batch(spark, enriched_path, ENRICHED_POSTS, name) for name in names)
+
+
 def run_analysis(
     spark: SparkSession,
     cleaned_path: str,
@@ -134,15 +149,21 @@ def run_analysis(
     scorer: Scorer | None = None,
     skip_empty: bool = False,
 ) -> dict:
-    """Score the posts of a batch, or of all, not scored yet."""
+    """Score the posts of a batch, or of all, not scored yet.
+
+    Posts whose scoring failed are counted and left for a later run.
+    """
     cleaned = in_batch(read_posts(spark, cleaned_path, CLEANED_POSTS), batch_id)
     if cleaned.isEmpty():
         raise ValueError(f"no cleaned posts found for batch {batch_id}")
     ensure_table(spark, enriched_path, ENRICHED_POSTS)
-    enriched = in_batch(read_posts(spark, enriched_path, ENRICHED_POSTS), batch_id)
+    enriched = read_posts(spark, enriched_path, ENRICHED_POSTS)
     posts = pick(cleaned, unanalyzed(cleaned, enriched, skip_empty=skip_empty), "unanalyzed")
-    rows = to_enriched(score_posts(posts, scorer), moment(analyzed_at))
-    return {"batch_id": batch_id, "processed": append_posts(rows, enriched_path)}
+    counted, failed = Observation(), F.col("scoring_failed")
+    scored = score_posts(posts, scorer).observe(counted, F.count_if(failed).alias("failed"))
+    rows = to_enriched(scored.where(~failed), moment(analyzed_at))
+    processed = append_posts(rows, enriched_path)
+    return {"batch_id": batch_id, "processed": processed, "failed": counted.get["failed"]}
 
 
 def run_all(
@@ -154,8 +175,11 @@ def run_all(
     at: datetime,
     model: LanguageModel | None = None,
     scorer: Scorer | None = None,
+    reclean: bool = False,
 ) -> dict:
-    """Clean, then score a batch or, without one, whatever is left to do."""
-    cleaned = run_cleaning(spark, raw_path, cleaned_path, batch_id, at, model)
+    """Clean, then score a batch or, without one, whatever is left to do; all anew with ``reclean``."""
+    cleaned = run_cleaning(spark, raw_path, cleaned_path, batch_id, at, model, reclean)
+    if reclean:
+        drop_scores(spark, enriched_path, batch_id)
     scored = run_analysis(spark, cleaned_path, enriched_path, batch_id, at, scorer)
     return {**cleaned, **scored}

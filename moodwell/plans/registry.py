@@ -44,13 +44,13 @@ def query(build: Query) -> Query:
 
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """origin, id and text of all posts, pages and conversation turns."""
-    posts = raw_posts(spark, sf_dir, spread=True).select(
+    posts = raw_posts(spark, sf_dir).select(
         F.lit("post").alias("origin"), "id", F.col("raw_text").alias("text")
     )
-    pages = read_table(spark, sf_dir, "pages", spread=True).select(
+    pages = read_table(spark, sf_dir, "pages").select(
         F.lit("page").alias("origin"), F.col("page_id").alias("id"), F.col("html").alias("text")
     )
-    turns = read_table(spark, sf_dir, "conversations", spread=True).select(
+    turns = read_table(spark, sf_dir, "conversations").select(
         F.lit("turn").alias("origin"), (F.col("conv_id") * 1000 + F.col("turn")).alias("id"), "text"
     )
     return posts.unionByName(pages).unionByName(turns)
@@ -73,7 +73,7 @@ def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     comment = F.when(F.col("n_chars") % 40 == 0, "").otherwise(
         F.concat(F.lit(" "), F.col("text"), F.lit(" \n"))
     )
-    return read_table(spark, sf_dir, "documents", spread=True).select(
+    return read_table(spark, sf_dir, "documents").select(
         device.alias("device"), F.col("doc_id").alias("comment_id"), comment.alias("comment")
     )
 
@@ -166,7 +166,7 @@ def export_csv_roundtrip(spark, sf_dir):
 
 @query
 def simple_clean_first_emoji(spark, sf_dir):
-    raw = raw_posts(spark, sf_dir, spread=True)
+    raw = raw_posts(spark, sf_dir)
     bounds = raw.agg(F.min("id").alias("lo"), F.max("id").alias("hi")).first()
     return ingest.simple_clean_posts(raw, bounds.lo, bounds.hi)
 
@@ -199,19 +199,19 @@ def delete_batch_cascade(spark, sf_dir):
 
 @query
 def search_posts(spark, sf_dir):
-    found = batches.search_posts(raw_posts(spark, sf_dir, spread=True), "HA_PY")
+    found = batches.search_posts(raw_posts(spark, sf_dir), "HA_PY")
     return found.select("id", "platform", "keyword", "raw_text", "batch_id", stated("created_at"))
 
 
 @query
 def search_topk(spark, sf_dir):
-    found = batches.search_posts(raw_posts(spark, sf_dir, spread=True), "En")
+    found = batches.search_posts(raw_posts(spark, sf_dir), "En")
     return batches.newest(found, 50).select("id", "batch_id", "keyword", stated("created_at"))
 
 
 @query
 def assign_batch(spark, sf_dir):
-    raw = raw_posts(spark, sf_dir, spread=True)
+    raw = raw_posts(spark, sf_dir)
     matched = batches.newest(batches.search_posts(raw, "happy"), 200)
     return batches.assign_batch(raw, matched, "frontend-happy-1700000000").select(
         "id", "batch_id", "keyword"
@@ -220,7 +220,7 @@ def assign_batch(spark, sf_dir):
 
 @query
 def assign_preview(spark, sf_dir):
-    raw = raw_posts(spark, sf_dir, spread=True)
+    raw = raw_posts(spark, sf_dir)
     matched = batches.newest(batches.search_posts(raw, "happy"), 50)
     counted = matched.agg(F.count("*").alias("n"))
     return (
@@ -338,14 +338,14 @@ def gibberish_score(spark, sf_dir):
 
 
 def trained(spark: SparkSession, sf_dir: str) -> language.LanguageModel:
-    documents = read_table(spark, sf_dir, "documents", spread=True)
+    documents = read_table(spark, sf_dir, "documents")
     return language.load_model(language.train_profile(documents))
 
 
 @query
 def clean_batch(spark, sf_dir):
     """The flagship: every post cleaned by all rules, its language detected."""
-    posts = raw_posts(spark, sf_dir, spread=True).select("id", "batch_id", "raw_text")
+    posts = raw_posts(spark, sf_dir).select("id", "batch_id", "raw_text")
     cleaned = clean_posts(posts, model=trained(spark, sf_dir))
     return cleaned.select(
         F.col("id").alias("post_id"), "batch_id", "cleaned_text", "language",
@@ -380,7 +380,7 @@ def clean_flags(spark, sf_dir):
 def clean_stage(spark, sf_dir):
     """Posts not cleaned yet, as rows of the cleaned table."""
     rows = cleaning.clean_stage(
-        raw_posts(spark, sf_dir, spread=True), cleaned_posts(spark, sf_dir), moment(MOMENT)
+        raw_posts(spark, sf_dir), cleaned_posts(spark, sf_dir), moment(MOMENT)
     )
     return rows.select(
         "id", "raw_post_id", "batch_id", "cleaned_text", "emoji_converted", "status",
@@ -390,13 +390,13 @@ def clean_stage(spark, sf_dir):
 
 @query
 def clean_answer(spark, sf_dir):
-    rows = cleaning.clean_stage(raw_posts(spark, sf_dir, spread=True), None, moment(MOMENT))
+    rows = cleaning.clean_stage(raw_posts(spark, sf_dir), None, moment(MOMENT))
     return cleaning.clean_response(rows).select("post_id", "batch_id", "cleaned_text", "status")
 
 
 @query
 def status_breakdown(spark, sf_dir):
-    posts = raw_posts(spark, sf_dir, spread=True)
+    posts = raw_posts(spark, sf_dir)
     return reports.status_breakdown(clean_posts(posts))
 
 
@@ -405,7 +405,7 @@ def status_breakdown(spark, sf_dir):
 
 @query
 def langid_profile(spark, sf_dir):
-    documents = read_table(spark, sf_dir, "documents", spread=True)
+    documents = read_table(spark, sf_dir, "documents")
     profile = language.train_profile(documents)
     return profile.select("lang", F.posexplode("costs").alias("bucket", "cost")).select(
         "lang", F.col("bucket").cast("bigint").alias("bucket"), F.col("cost").cast("bigint").alias("cost")
@@ -414,7 +414,7 @@ def langid_profile(spark, sf_dir):
 
 @query
 def langid_detect(spark, sf_dir):
-    documents = read_table(spark, sf_dir, "documents", spread=True)
+    documents = read_table(spark, sf_dir, "documents")
     scored = language.with_language_costs(documents, trained(spark, sf_dir), "text")
     return scored.select("doc_id", F.inline("language_costs")).select("doc_id", "lang", "cost")
 
@@ -427,7 +427,7 @@ def langid_mixed(spark, sf_dir):
 
 @query
 def langid_confusion(spark, sf_dir):
-    documents = read_table(spark, sf_dir, "documents", spread=True)
+    documents = read_table(spark, sf_dir, "documents")
     found = language.detect_language(documents, trained(spark, sf_dir))
     return language.language_confusion(found)
 
@@ -454,7 +454,7 @@ def score_fallback(spark, sf_dir):
         ok = F.length(text) % 2 == 0
         return F.when(ok, F.array(F.struct(F.lit("fear").alias("label"), F.lit(0.75).alias("score"))))
 
-    posts = raw_posts(spark, sf_dir, spread=True)
+    posts = raw_posts(spark, sf_dir)
     return scoring.score_posts(posts, flaky, "raw_text").select(
         "id", "scoring_failed", *emotion_columns()
     )
@@ -502,7 +502,7 @@ def score_model_stub(spark, sf_dir):
 
         return vowels
 
-    turns = read_table(spark, sf_dir, "conversations", spread=True)
+    turns = read_table(spark, sf_dir, "conversations")
     return scoring.score_posts(turns, model_scorer(load), "text").select(
         "conv_id", "turn", *emotion_columns()
     )
@@ -556,7 +556,7 @@ def uncleaned_posts(spark, sf_dir):
 
 def joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.joined_posts(
-        raw_posts(spark, sf_dir, spread=True), cleaned_posts(spark, sf_dir),
+        raw_posts(spark, sf_dir), cleaned_posts(spark, sf_dir),
         enriched_posts(spark, sf_dir), same_ids=True,
     )
 
@@ -758,7 +758,7 @@ def stream_clean(spark, sf_dir):
     """The raw table cleaned and scored as a stream that stops when it has caught up."""
     folder = work_folder(spark, "stream")
     raw, cleaned, enriched = f"{folder}/raw", f"{folder}/cleaned", f"{folder}/enriched"
-    append_posts(raw_posts(spark, sf_dir, spread=True), raw, compact=True)
+    append_posts(raw_posts(spark, sf_dir), raw, compact=True)
     started = clean_and_score_stream(
         watch_raw_posts(spark, raw), cleaned, enriched, f"{folder}/checkpoint"
     )

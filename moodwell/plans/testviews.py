@@ -39,13 +39,8 @@ EMOTION_OF_DOC = """CASE doc_id % 7 WHEN 0 THEN 'joy' WHEN 1 THEN 'anger' WHEN 2
 CONFIDENCE_OF_DOC = "CAST(CAST(doc_id % 101 AS DOUBLE) / 100 AS DECIMAL(3,2))"
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """A test table; ``spread`` over all cores if it comes in fewer files than there are."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if spread and len(df.inputFiles()) < cores:
-        return df.repartition(cores)
-    return df
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _hours(start: str, modulus: int) -> str:
@@ -54,9 +49,9 @@ def _hours(start: str, modulus: int) -> str:
     )
 
 
-def raw_posts(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+def raw_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     created = _hours("2024-01-01 00:00:00", 97)
-    return read_table(spark, sf_dir, "documents", spread).selectExpr(
+    return read_table(spark, sf_dir, "documents").selectExpr(
         "doc_id AS id",
         "source AS batch_id",
         "'web' AS platform",

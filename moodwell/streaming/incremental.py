@@ -13,8 +13,6 @@ from moodwell.operators.scoring import Scorer, enrich_stage
 from moodwell.schemas import CLEANED_POSTS, ENRICHED_POSTS, RAW_POSTS
 from moodwell.sources.tables import append_posts, ensure_table, read_posts
 
-MAX_PRUNED_BATCHES = 1000
-
 
 def watch_raw_posts(
     spark: SparkSession, raw_path: str, max_files: int | None = None
@@ -26,14 +24,6 @@ def watch_raw_posts(
     return reader.parquet(raw_path)
 
 
-def _same_batches(posts: DataFrame, stored: DataFrame) -> DataFrame:
-    """Stored rows in the folders that ``posts`` may touch; all folders if these are many."""
-    found = posts.select("batch_id").distinct().limit(MAX_PRUNED_BATCHES + 1).collect()
-    if len(found) > MAX_PRUNED_BATCHES:
-        return stored
-    return stored.where(F.col("batch_id").isin([r.batch_id for r in found]))
-
-
 def clean_and_score_stream(
     raw_stream: DataFrame,
     cleaned_path: str,
@@ -59,12 +49,12 @@ def clean_and_score_stream(
         now = moment(datetime.now(timezone.utc))
         posts = posts.persist()
         try:
-            cleaned = _same_batches(posts, read_posts(spark, cleaned_path, CLEANED_POSTS))
+            cleaned = read_posts(spark, cleaned_path, CLEANED_POSTS)
             append_posts(clean_stage(posts, cleaned, now, model=model), cleaned_path)
 
-            cleaned = _same_batches(posts, read_posts(spark, cleaned_path, CLEANED_POSTS))
-            enriched = _same_batches(posts, read_posts(spark, enriched_path, ENRICHED_POSTS))
-            arrived = cleaned.join(posts.select("id", "batch_id"), ["id", "batch_id"], "left_semi")
+            cleaned = read_posts(spark, cleaned_path, CLEANED_POSTS)
+            enriched = read_posts(spark, enriched_path, ENRICHED_POSTS)
+            arrived = cleaned.join(posts.select("id"), "id", "left_semi")
             append_posts(enrich_stage(arrived, enriched, now, scorer), enriched_path)
         finally:
             posts.unpersist()

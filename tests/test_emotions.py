@@ -92,10 +92,10 @@ def test_stored_confidence_rounds_half_up(spark):
 
 def test_unanalyzed_and_stage(spark):
     cleaned = spark.createDataFrame(
-        [(1, "a", "en", "I am happy"), (2, "a", "en", ""), (3, "a", "fr", "x"), (1, "b", "en", "sad")],
+        [(1, "a", "en", "I am happy"), (2, "a", "en", ""), (3, "a", "fr", "x"), (4, "b", "en", "sad")],
         "id long, batch_id string, language string, cleaned_text string",
     )
-    enriched = spark.createDataFrame([(1, "b")], "cleaned_post_id long, batch_id string")
+    enriched = spark.createDataFrame([(4, "b")], "cleaned_post_id long, batch_id string")
     moment = F.lit("2024-01-01 00:00:00")
 
     def keys(df):

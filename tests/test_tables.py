@@ -6,7 +6,9 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
-from moodwell.operators.cleaning import clean_posts, clean_stage
+from moodwell.functions.emotions import model_scorer
+from moodwell.operators.batches import drop_batch
+from moodwell.operators.cleaning import clean_posts, clean_stage, uncleaned
 from moodwell.operators.scoring import enrich_stage
 from moodwell.plans import flow
 from moodwell.plans.testviews import raw_posts
@@ -105,8 +107,11 @@ def test_runs(spark, tmp_path):
     anew = flow.run_cleaning(spark, raw, cleaned, "cats-0a1b2c3d", MOMENT, reclean=True)
     assert anew["total_processed"] == 2
     assert read_posts(spark, cleaned, CLEANED_POSTS).count() == 2
-    scores = read_posts(spark, enriched, ENRICHED_POSTS).orderBy("id").collect()
-    assert [r.emotion_label for r in scores] == ["joy", "anger"]
+    scores = read_posts(spark, enriched, ENRICHED_POSTS).collect()
+    assert sorted(r.emotion_label for r in scores) == ["anger", "joy"]
+    anew = flow.run_all(spark, raw, cleaned, enriched, "cats-0a1b2c3d", MOMENT, reclean=True)
+    assert (anew["total_processed"], anew["processed"], anew["failed"]) == (2, 2, 0)
+    assert read_posts(spark, enriched, ENRICHED_POSTS).count() == 2
     with pytest.raises(ValueError):
         flow.run_analysis(spark, cleaned, enriched, "absent", MOMENT)
 
@@ -147,6 +152,68 @@ def test_assignment_rewrites_only_changed_batches(spark, tmp_path):
         flow.run_assignment(spark, raw, "nothing like it", "new")
 
 
+def test_two_batches_of_one_source_lose_nothing(spark, tmp_path):
+    raw, cleaned, enriched = (str(tmp_path / n) for n in ("raw", "cleaned", "enriched"))
+    happy = "a happy cat"
+    one = [("k", 1, happy), ("k", 2, happy), ("k", 3, "a sad cat")]
+    two = [("k", 1, "another cat"), ("k", 2, happy)]
+    for rows, suffix in ((one, "a"), (two, "b")):
+        flow.run_ingestion(spark.createDataFrame(rows, COMMENTS), raw, "k", suffix, MOMENT)
+    assert flow.run_assignment(spark, raw, "happy", "new") == 3
+    posts = read_posts(spark, raw, RAW_POSTS)
+    assert sorted((r.batch_id, r.raw_text) for r in posts.collect()) == [
+        ("k-a", "a sad cat"), ("k-b", "another cat"), *[("new", happy)] * 3,
+    ]
+    assert posts.select("id").distinct().count() == 5
+    assert flow.run_all(spark, raw, cleaned, enriched, "k-a", MOMENT)["processed"] == 1
+    tables = [read_posts(spark, p, t) for p, t in ((raw, RAW_POSTS), (cleaned, CLEANED_POSTS))]
+    assert uncleaned(*tables, "k-b").count() == 1
+    assert flow.run_all(spark, raw, cleaned, enriched, "k-b", MOMENT)["processed"] == 1
+    scores = read_posts(spark, enriched, ENRICHED_POSTS)
+    texts = read_posts(spark, cleaned, CLEANED_POSTS)
+    left = drop_batch(read_posts(spark, raw, RAW_POSTS), texts, scores, "k-a")
+    assert [df.count() for df in left[:3]] == [4, 1, 1]
+
+
+def test_many_posts_move_at_once(spark, tmp_path):
+    raw = str(tmp_path / "raw")
+    append_posts(frame(spark, [post(i, "ab"[i % 2]) for i in range(10_000)]), raw)
+    assert flow.run_assignment(spark, raw, "cats", "new", limit=9_999) == 9_999
+    assert read_posts(spark, raw, RAW_POSTS).groupBy("batch_id").count().count() == 2
+
+
+def test_failed_scores_are_counted_and_tried_again(spark, tmp_path):
+    raw, cleaned, enriched = (str(tmp_path / n) for n in ("raw", "cleaned", "enriched"))
+    append_posts(frame(spark, [post(i, "a") for i in range(5)]), raw)
+
+    def failing():
+        def score(texts):
+            raise RuntimeError("no scores today")
+
+        return score
+
+    run = flow.run_all(spark, raw, cleaned, enriched, "a", MOMENT, scorer=model_scorer(failing))
+    assert (run["total_processed"], run["processed"], run["failed"]) == (5, 0, 5)
+    run = flow.run_all(spark, raw, cleaned, enriched, "a", MOMENT)
+    assert (run["total_processed"], run["processed"], run["failed"]) == (0, 5, 0)
+
+
+def test_model_is_loaded_once_per_worker(spark, tmp_path):
+    loads = str(tmp_path)
+
+    def load():
+        import os
+        import uuid
+
+        open(os.path.join(loads, f"{os.getpid()}-{uuid.uuid4().hex}"), "w").close()
+        return lambda texts: [[{"label": "joy", "score": 1.0}] for _ in texts]
+
+    posts = spark.range(200).repartition(40).select(F.col("id").cast("string").alias("t"))
+    posts.select(model_scorer(load)(F.col("t"))).write.format("noop").mode("overwrite").save()
+    workers = [path.name.split("-")[0] for path in tmp_path.iterdir()]
+    assert 1 <= len(workers) == len(set(workers)) < 40
+
+
 def test_stream_equals_batch_and_survives_replay(spark, small, tmp_path):
     raw, cleaned, enriched = (str(tmp_path / n) for n in ("raw", "cleaned", "enriched"))
     posts = raw_posts(spark, small)
