@@ -153,7 +153,13 @@ def sketch_texts(texts: DataFrame) -> DataFrame:
     return texts.mapInPandas(sketched, "key binary, size long, sketches array<long>")
 
 
-def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def texts_of(keys: DataFrame, texts: DataFrame, name: str) -> DataFrame:
+    """One text for each of the keys, written."""
+    needed = texts.join(keys.distinct(), "key", "left_semi")
+    return written(needed.groupBy("key").agg(F.first("text").alias("text")), name)
+
+
+def verify(pairs: DataFrame, stored: DataFrame) -> DataFrame:
     """The pairs (a, b) with ``alike``, from their texts."""
 
     def aligned(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -164,10 +170,6 @@ def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             ]
             yield frame[["a", "b"]].assign(alike=alike)
 
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    # Copies of a text are equal; one of them is enough.
-    needed = texts.join(wanted, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
-    stored = written(needed, "texts")
     left = stored.select(F.col("key").alias("a"), F.col("text").alias("text_a"))
     right = stored.select(F.col("key").alias("b"), F.col("text").alias("text_b"))
     return pairs.join(left, "a").join(right, "b").mapInPandas(
@@ -184,63 +186,72 @@ def find_classes(texts: DataFrame) -> DataFrame:
         .agg(F.first("size").alias("size"), F.first("sketches").alias("sketches")),
         "sketches",
     )
-    sizes = signed.select("key", "size")
-    members = signed.select("key", F.posexplode("sketches").alias("last", "sketch")).select(
-        "key", "last", F.xxhash64("last", "sketch").alias("bucket")
+    members = _with_company(
+        signed.select("key", "size", F.posexplode("sketches").alias("last", "sketch")).select(
+            "key", "size", "last", F.xxhash64("last", "sketch").alias("bucket")
+        )
     )
     links = roots = None
     for level in range(SKETCHES):
-        held = written(_with_centre(members, f"level-{level}"), f"members-{level}")
+        held = _with_centre(members)
         if roots is not None:  # what is one class already needs no further link
-            held = written(_of_other_class(held, roots), f"apart-{level}")
-        pairs = _of_like_size(held.select(F.col("key").alias("a"), "b").distinct(), sizes)
-        if links is not None:
-            pairs = pairs.join(links.select("a", "b"), ["a", "b"], "left_anti")
-        judged = written(verify(pairs, texts), f"judged-{level}")
+            held = _of_other_class(held, roots)
+        held = written(held, f"members-{level}")
+        # Numbers of shingles have to let the two be alike.
+        least, most = F.least("size", "size_b"), F.greatest("size", "size_b")
+        near = held.where(least >= most * SIMILAR).select(F.col("key").alias("a"), "b")
+        pairs = written(near.distinct(), f"pairs-{level}")
+        if level == 0:
+            stored = texts_of(pairs.select(F.explode(F.array("a", "b")).alias("key")), texts, "texts")
+        elif level == 1:  # later levels hold no other texts
+            keys = held.select("key").unionByName(held.select(F.col("b").alias("key")))
+            stored = texts_of(keys, texts, "texts")
+        judged = written(verify(pairs, stored), f"judged-{level}")
         new = judged.where("alike").select("a", "b")
+        left = held.drop("b", "size_b")
         if links is None or not new.isEmpty():
             links = new if links is None else written(links.unionByName(new), f"links-{level}")
             roots = connect(links)
-        # What differs from its bucket's centre may still be like others there.
-        left = written(_of_other_class(held, roots).select("key", "last", "bucket"), f"left-{level}")
+            # What differs from its bucket's centre may still be like others there.
+            left = written(_of_other_class(held, roots).drop("b", "size_b"), f"left-{level}")
         again = left.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-        if again.isEmpty():
-            break
-        members = (
+        finer = (
             left.join(again, "bucket", "left_semi")
-            .join(signed, "key")
-            .select("key", "last", "bucket", F.posexplode("sketches").alias("next", "sketch"))
+            .join(signed.select("key", "sketches"), "key")
+            .select(*left.columns, F.posexplode("sketches").alias("next", "sketch"))
             .where(F.col("next") > F.col("last"))
-            .select(
-                "key",
-                F.col("next").alias("last"),
-                F.xxhash64("bucket", "next", "sketch").alias("bucket"),
-            )
         )
+        bucket = F.xxhash64("bucket", "next", "sketch")
+        members = written(
+            finer.withColumn("bucket", bucket).withColumn("last", F.col("next")).select(left.columns),
+            f"finer-{level}",
+        )
+        if members.isEmpty():
+            break
     return roots
 
 
-def _of_like_size(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose numbers of shingles let them be alike."""
-    a = sizes.select(F.col("key").alias("a"), F.col("size").alias("size_a"))
-    b = sizes.select(F.col("key").alias("b"), F.col("size").alias("size_b"))
-    least, most = F.least("size_a", "size_b"), F.greatest("size_a", "size_b")
-    return pairs.join(a, "a").join(b, "b").where(least >= most * SIMILAR).select("a", "b")
+def _with_company(members: DataFrame) -> DataFrame:
+    """Members of buckets of two or more, with how many others each text meets in all of them."""
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    shared = written(members.join(sizes, "bucket"), "shared")
+    met = shared.groupBy("key").agg(F.sum("n").alias("met"))
+    return written(shared.drop("n").join(met, "key"), "ranked")
 
 
-def _with_centre(members: DataFrame, name: str) -> DataFrame:
+def _with_centre(members: DataFrame) -> DataFrame:
     """Members of buckets of two or more, with the bucket's centre as ``b``; without the centres.
 
-    The centre is the member that meets most others over all its buckets: copies
+    The centre is the member that meets most others over all its first buckets: copies
     that differ from an original in places of their own all have that one in common.
     """
-    sizes = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    shared = written(members.join(sizes, "bucket"), f"shared-{name}")
-    met = shared.groupBy("key").agg(F.sum("n").alias("met"))
-    ranked = written(shared.join(met, "key").select("key", "last", "bucket", "met"), f"ranked-{name}")
-    centres = ranked.groupBy("bucket").agg(F.max(F.struct("met", "key")).alias("m"))
-    centres = centres.select("bucket", F.col("m.key").alias("b"))
-    return ranked.drop("met").join(centres, "bucket").where(F.col("key") != F.col("b"))
+    centres = members.groupBy("bucket").agg(
+        F.max(F.struct("met", "key", "size")).alias("m"), F.count("*").alias("n")
+    )
+    centres = centres.where("n > 1").select(
+        "bucket", F.col("m.key").alias("b"), F.col("m.size").alias("size_b")
+    )
+    return members.join(centres, "bucket").where(F.col("key") != F.col("b"))
 
 
 def _of_other_class(held: DataFrame, roots: DataFrame) -> DataFrame:
