@@ -215,16 +215,18 @@ def find_classes(texts: DataFrame) -> DataFrame:
             # What differs from its bucket's centre may still be like others there.
             left = written(_of_other_class(held, roots).drop("b", "size_b"), f"left-{level}")
         again = left.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+        # Sketches up to the last one have been used; the rest is not empty, or the row has ended.
+        rest = F.slice("sketches", F.col("last") + 2, SKETCHES)
         finer = (
-            left.join(again, "bucket", "left_semi")
+            left.where(F.col("last") < SKETCHES - 1)
+            .join(again, "bucket", "left_semi")
             .join(signed.select("key", "sketches"), "key")
-            .select(*left.columns, F.posexplode("sketches").alias("next", "sketch"))
-            .where(F.col("next") > F.col("last"))
+            .select(*left.columns, F.posexplode(rest).alias("step", "sketch"))
+            .withColumn("last", F.col("last") + 1 + F.col("step"))
         )
-        bucket = F.xxhash64("bucket", "next", "sketch")
+        bucket = F.xxhash64("bucket", "last", "sketch")
         members = written(
-            finer.withColumn("bucket", bucket).withColumn("last", F.col("next")).select(left.columns),
-            f"finer-{level}",
+            finer.withColumn("bucket", bucket).select(left.columns), f"finer-{level}"
         )
         if members.isEmpty():
             break
