@@ -12,61 +12,61 @@ from moodwell.operators.cleaning import (
 )
 
 GOLDEN = [
-    ("I am angry 😠", "I am angry _angry_face_", "ok", "had_emojis"),
-    ("So angry 😠😠 right now", "So angry _angry_face_ _angry_face_ right now", "ok", "had_emojis"),
-    ("I am 😠", "I am _angry_face_", "ok", "had_emojis"),
+    ("This queue is slow 😠", "This queue is slow _angry_face_", "ok", "had_emojis"),
+    ("Late again 😠😠 this morning", "Late again _angry_face_ _angry_face_ this morning", "ok", "had_emojis"),
+    ("We are 😠", "We are _angry_face_", "ok", "had_emojis"),
     (
-        "Heart 💙 for electric cars 🚗",
-        "Heart _blue_heart_ for electric cars _automobile_",
+        "Paint it 💙 like my old van 🚗",
+        "Paint it _blue_heart_ like my old van _automobile_",
         "ok",
         "had_emojis",
     ),
-    ("Love ❤️ and ⚠️ and ⚠", "Love _red_heart_ and _warning_ and _warning_", "ok", "had_emojis"),
+    ("Tea ❤️ then ⚠️ then ⚠", "Tea _red_heart_ then _warning_ then _warning_", "ok", "had_emojis"),
     ("all rights © reserved 21° here", "all rights _copyright_sign_ reserved 21_degree_sign_ here",
      "ok", "had_emojis"),
     ("odd \U0001fbff code points here", "odd code points here", "ok", ""),
     ("thumbs 👍🏽 up and more", "thumbs _thumbs_up_ 🏽 up and more", "ok", "had_emojis"),
-    ("Go to www.example.com for more details", "Go to for more details", "ok", "had_urls"),
-    ("Go to HTTPS://Example.com/x?y for more", "Go to for more", "ok", "had_urls"),
-    ("Thanks @user1 and @user2 for the help", "Thanks and for the help", "ok", "had_mentions"),
-    ("Thanks @café_1 for the help", "Thanks for the help", "ok", "had_mentions"),
+    ("The map at www.example.com shows every stop", "The map at shows every stop", "ok", "had_urls"),
+    ("Look up HTTPS://Example.com/x?y before noon", "Look up before noon", "ok", "had_urls"),
+    ("Dinner with @user1 and @user2 was late", "Dinner with and was late", "ok", "had_mentions"),
+    ("Dinner with @café_1 was late", "Dinner with was late", "ok", "had_mentions"),
     ("write to me@site.org please now", "write to me.org please now", "ok", "had_mentions"),
-    ("This is great #happy so glad", "This is great happy so glad", "ok", "had_hashtags"),
+    ("Rain stopped #happy we walk home", "Rain stopped happy we walk home", "ok", "had_hashtags"),
     (
-        "Love #ClimateAction and #RenewableEnergy",
-        "Love Climate Action and Renewable Energy",
+        "Notes on #RiverWalks and #WinterLight",
+        "Notes on River Walks and Winter Light",
         "ok",
         "had_hashtags",
     ),
-    ("Follow me #followme #f4f and check", "Follow me and check", "ok", "had_hashtags"),
+    ("My garden grows #followme #f4f every spring", "My garden grows every spring", "ok", "had_hashtags"),
     ("nonHashtag camelCase stays #aB so", "nonHashtag camelCase stays a B so", "ok", "had_hashtags"),
-    ("Salt &amp; pepper are good", "Salt and pepper are good", "ok", "encoding_issue"),
+    ("Bread &amp; cheese travel well", "Bread and cheese travel well", "ok", "encoding_issue"),
     ("A&amp;B is one name", "AandB is one name", "ok", "encoding_issue"),
     ("it&#39;s a fine day", "it&39;s a fine day", "ok", "had_hashtags"),
-    ("Rights &copy; 2024 for all people", "Rights &copy; 2024 for all people", "ok", ""),
-    ("First part ----- second part", "First part second part", "ok", ""),
+    ("Printed &copy; 2019 by two friends", "Printed &copy; 2019 by two friends", "ok", ""),
+    ("Upper shelf ----- lower shelf", "Upper shelf lower shelf", "ok", ""),
     ("one &lt;&lt;&lt; two three", "one two three", "ok", "encoding_issue"),
-    ("Why??????? No action?????? ok..", "Why? No action? ok..", "ok", ""),
-    ("I wonder........what will happen", "I wonder...what will happen", "ok", ""),
-    ("Line one\n\n\nLine\ttwo  here", "Line one Line two here", "ok", ""),
-    ("I HATE this policy and more", "I HATE this policy and more", "ok", ""),
-    ("I HATE THIS SO MUCH", "I HATE THIS SO MUCH", "ok", "all_caps"),
-    ("don't can't won't NOT never", "don't can't won't NOT never", "ok", ""),
+    ("Where??????? Not here?????? hm..", "Where? Not here? hm..", "ok", ""),
+    ("The kettle........then it sang", "The kettle...then it sang", "ok", ""),
+    ("Top row\n\n\nNext\trow  down", "Top row Next row down", "ok", ""),
+    ("We NEED that ladder back soon", "We NEED that ladder back soon", "ok", ""),
+    ("WHO TOOK THE LADDER AWAY", "WHO TOOK THE LADDER AWAY", "ok", "all_caps"),
+    ("isn't shan't couldn't NOR neither", "isn't shan't couldn't NOR neither", "ok", ""),
     (None, None, "too_short", ""),
     ("", None, "too_short", ""),
     ("   \n\t 　", None, "too_short", ""),
     ("hi ok", None, "too_short", ""),
-    ("!@#$%^&*()_+-=[]{}|;:,<>?", None, "too_short", ""),
-    ("这是关于气候变化的中文文本", None, "too_short", ""),
-    ("هذا نص عربي عن الطاقة", "هذا نص عربي عن الطاقة", "non_latin_script", ""),
+    ("?!;:,.()[]{}<>+%$^*", None, "too_short", ""),
+    ("今天早上的面包很好吃", None, "too_short", ""),
+    ("القطار وصل الى المدينة باكرا", "القطار وصل الى المدينة باكرا", "non_latin_script", ""),
     ("half абв half абвг абвгд", "half абв half абвг абвгд", "non_latin_script", ""),
     ("zq xw vk 12 q9 text", None, "gibberish", ""),
     ("a1234567 b1234567 c1234567", None, "gibberish", ""),
-    ("xyzabc qwerty asdfgh zxcvbn qwertyui", "xyzabc qwerty asdfgh zxcvbn qwertyui", "ok", ""),
+    ("plomvu qwazet dufgin zebrok wertulan", "plomvu qwazet dufgin zebrok wertulan", "ok", ""),
     (
-        "OMG @admin 😠😡 check https://bad.com #climateChange is ruining &amp; destroying "
-        "everything!!!!! -----",
-        "OMG _angry_face_ _enraged_face_ check climate Change is ruining and destroying everything!",
+        "Hey @driver 😠😡 see https://bus.example #lateAgain was crowded &amp; noisy "
+        "all day!!!!! -----",
+        "Hey _angry_face_ _enraged_face_ see late Again was crowded and noisy all day!",
         "ok",
         "had_emojis,had_urls,had_mentions,had_hashtags,encoding_issue",
     ),
@@ -135,7 +135,7 @@ def test_stage_skips_cleaned_posts_and_keeps_empty_text(spark, posts):
     moved = some.withColumn("batch_id", F.lit("other"))
     assert clean_stage(posts, moved, moment).count() == len(GOLDEN) - 10
     shown = {r.post_id: r for r in clean_response(first).collect()}
-    assert shown[31].cleaned_text is None and shown[0].cleaned_text == "I am angry _angry_face_"
+    assert shown[31].cleaned_text is None and shown[0].cleaned_text == "This queue is slow _angry_face_"
 
 
 def test_normalize_keeps_rows_in_place(posts):
