@@ -3,10 +3,12 @@
 A text's five-word shingles are labelled by occurrence. Under each of some hash functions the
 five least labelled shingles, in the order of the text, are one sketch, so that texts agree in
 it if they are alike in content and order. Texts that share a sketch are a bucket: all
-are held against its centre; those that turn out to differ, and are in no class
-with it, are held against each other in finer buckets, by a further sketch at a time, until no
-bucket has two. Two texts are linked if a banded alignment of their shingles (a longest common
-subsequence) covers at least 0.8 of all their shingles together; classes are what links connect.
+are held against its centre. In buckets that this leaves with more than one class, all pairs of
+different classes are held against each other, in blocks of members, each pair in the first
+bucket it shares; what two texts share at most is counted before they are aligned. So any two
+that share a sketch are compared, or in one class already. Two texts are linked if a banded
+alignment of their shingles (a longest common subsequence) covers at least 0.8 of all their
+shingles together; classes are what links connect.
 
 Defined results: equal texts are one class; null texts are classes of their own; texts without
 words are alike only if equal; a text of fewer than five words is one shingle; repeated rows
@@ -30,6 +32,7 @@ SHINGLE = 5
 SKETCHES = 24
 LEAST = 5
 SIMILAR = 0.8
+BLOCK = 250  # members of a bucket that are compared at a time
 
 _TABLE = bytes(
     c + 32 if 65 <= c <= 90 else c if c > 127 or chr(c).isalnum() else 32 for c in range(256)
@@ -135,6 +138,12 @@ def similarity(a: str, b: str) -> float:
     most = int(np.minimum(counts[i], more[j]).sum())
     if most < SIMILAR * (both - most):
         return most / (both - most)  # no alignment can cover more
+    return aligned_share(x, y)
+
+
+def aligned_share(x: np.ndarray, y: np.ndarray) -> float:
+    """Shingles on the best alignment, as a share of all, right from SIMILAR on."""
+    both = len(x) + len(y)
     # At that similarity so many shingles at most stand outside the alignment.
     band = int(both * (1 - SIMILAR) / (1 + SIMILAR)) + 1
     covered = common_length(x, y, band)
@@ -191,46 +200,17 @@ def find_classes(texts: DataFrame) -> DataFrame:
             "key", "size", "last", F.xxhash64("last", "sketch").alias("bucket")
         )
     )
-    links = roots = None
-    for level in range(SKETCHES):
-        held = _with_centre(members)
-        if roots is not None:  # what is one class already needs no further link
-            held = _of_other_class(held, roots)
-        held = written(held, f"members-{level}")
-        # Numbers of shingles have to let the two be alike.
-        least, most = F.least("size", "size_b"), F.greatest("size", "size_b")
-        near = held.where(least >= most * SIMILAR).select(F.col("key").alias("a"), "b")
-        pairs = written(near.distinct(), f"pairs-{level}")
-        if level == 0:
-            stored = texts_of(pairs.select(F.explode(F.array("a", "b")).alias("key")), texts, "texts")
-        elif level == 1:  # later levels hold no other texts
-            keys = held.select("key").unionByName(held.select(F.col("b").alias("key")))
-            stored = texts_of(keys, texts, "texts")
-        judged = written(verify(pairs, stored), f"judged-{level}")
-        new = judged.where("alike").select("a", "b")
-        left = held.drop("b", "size_b")
-        if links is None or not new.isEmpty():
-            links = new if links is None else written(links.unionByName(new), f"links-{level}")
-            roots = connect(links)
-            # What differs from its bucket's centre may still be like others there.
-            left = written(_of_other_class(held, roots).drop("b", "size_b"), f"left-{level}")
-        again = left.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-        # Sketches up to the last one have been used; the rest is not empty, or the row has ended.
-        rest = F.slice("sketches", F.col("last") + 2, SKETCHES)
-        finer = (
-            left.where(F.col("last") < SKETCHES - 1)
-            .join(again, "bucket", "left_semi")
-            .join(signed.select("key", "sketches"), "key")
-            .select(*left.columns, F.posexplode(rest).alias("step", "sketch"))
-            .withColumn("last", F.col("last") + 1 + F.col("step"))
-        )
-        bucket = F.xxhash64("bucket", "last", "sketch")
-        members = written(
-            finer.withColumn("bucket", bucket).select(left.columns), f"finer-{level}"
-        )
-        if members.isEmpty():
-            break
-    return roots
+    held = written(_with_centre(members), "members")
+    # Numbers of shingles have to let the two be alike.
+    least, most = F.least("size", "size_b"), F.greatest("size", "size_b")
+    near = held.where(least >= most * SIMILAR).select(F.col("key").alias("a"), "b")
+    pairs = written(near.distinct(), "pairs")
+    stored = texts_of(pairs.select(F.explode(F.array("a", "b")).alias("key")), texts, "texts")
+    links = written(verify(pairs, stored).where("alike").select("a", "b"), "links")
+    roots = connect(links)
+    # What is not one class may still hold alike texts, whether like the centre or not.
+    more = written(_links_within(held, roots, signed, texts), "more-links")
+    return roots if more.isEmpty() else connect(links.unionByName(more))
 
 
 def _with_company(members: DataFrame) -> DataFrame:
@@ -256,13 +236,106 @@ def _with_centre(members: DataFrame) -> DataFrame:
     return members.join(centres, "bucket").where(F.col("key") != F.col("b"))
 
 
-def _of_other_class(held: DataFrame, roots: DataFrame) -> DataFrame:
-    """Members that are not yet in the class of their bucket's centre."""
-    own = roots.select("key", F.col("root").alias("own_root"))
-    centre = roots.select(F.col("key").alias("b"), F.col("root").alias("centre_root"))
-    placed = held.join(own, "key", "left").join(centre, "b", "left")
-    apart = ~F.col("own_root").eqNullSafe(F.col("centre_root")) | F.col("own_root").isNull()
-    return placed.where(apart).select(held.columns)
+def _links_within(held: DataFrame, roots: DataFrame, signed: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) between classes among the members of each bucket, their centres left out.
+
+    All pairs are held against each other, in blocks, so that no task has a large bucket.
+    """
+    placed = held.select("bucket", "last", "key").join(roots, "key", "left").withColumn(
+        "root", F.coalesce("root", "key")
+    )
+    mixed = placed.groupBy("bucket").agg(
+        F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"),
+        F.min("root").alias("least"), F.max("root").alias("most"),
+    ).where("least != most").select("bucket", "blocks")
+    open_ = written(placed.join(mixed, "bucket"), "open")
+    block = F.pmod(F.xxhash64("key", "bucket"), "blocks").cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    dealt = open_.select("bucket", "last", "key", "root", block.alias("block"), other).select(
+        "bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+        "block", "last", "key", "root",
+    )
+    stored = texts_of(open_.select("key"), texts, "open-texts").join(signed, "key")
+    by = ["bucket", "low", "high"]
+
+    def linked(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for group in _whole_groups(frames, by):
+            found = links_of_group(group)
+            if found:
+                yield pd.DataFrame(found, columns=["a", "b"])
+
+    met = dealt.join(stored, "key").repartition(*by).sortWithinPartitions(*by)
+    return met.mapInPandas(linked, "a binary, b binary")
+
+
+def _whole_groups(frames: Iterator[pd.DataFrame], by: list[str]) -> Iterator[pd.DataFrame]:
+    """Runs of rows equal in ``by``, also those that go on in a further frame."""
+    open_: list[pd.DataFrame] = []
+    for frame in frames:
+        if not len(frame):
+            continue
+        marks = frame[by].to_numpy()
+        cuts = np.flatnonzero((marks[1:] != marks[:-1]).any(axis=1)) + 1
+        edges = [0, *cuts.tolist(), len(frame)]
+        if open_ and (open_[0][by].iloc[0].to_numpy() != marks[0]).any():
+            yield pd.concat(open_)
+            open_ = []
+        for start, stop in zip(edges[:-2], edges[1:-1], strict=True):
+            yield pd.concat([*open_, frame.iloc[start:stop]])
+            open_ = []
+        open_.append(frame.iloc[edges[-2] :])
+    if open_:
+        yield pd.concat(open_)
+
+
+def shared_shingles(labelled: list[np.ndarray]) -> np.ndarray:
+    """How many labelled shingles each two texts share."""
+    flat = np.concatenate(labelled)
+    owner = np.repeat(np.arange(len(labelled)), [len(x) for x in labelled])
+    _, column, counts = np.unique(flat, return_inverse=True, return_counts=True)
+    often = counts[column] > 1
+    column = (np.cumsum(counts > 1) - 1)[column[often]]
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[often][order]
+    total = np.zeros((len(labelled), len(labelled)), dtype=np.float32)
+    width = 4096  # columns at a time
+    for start in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        at = slice(*np.searchsorted(column, [start, start + width]))
+        has = np.zeros((len(labelled), width), dtype=np.float32)
+        has[owner[at], column[at] - start] = 1
+        total += has @ has.T
+    return total.astype(np.int64)
+
+
+def links_of_group(group: pd.DataFrame) -> list[tuple[bytes, bytes]]:
+    """Links that join the classes of one bucket's block, or of two of its blocks."""
+    last = int(group["last"].iloc[0])
+    block = group["block"].to_numpy()
+    size = group["size"].to_numpy()
+    _, root = np.unique([bytes(r).hex() for r in group["root"]], return_inverse=True)
+    sketch = np.array(group["sketches"].tolist())
+    wanted = np.triu(root[:, None] != root[None, :], 1)
+    wanted &= np.minimum.outer(size, size) >= np.maximum.outer(size, size) * SIMILAR
+    if int(group["low"].iloc[0]) != int(group["high"].iloc[0]):
+        wanted &= block[:, None] != block[None, :]
+    for k in range(last):  # a pair is compared where it meets first
+        wanted &= sketch[:, k, None] != sketch[None, :, k]
+    if not wanted.any():
+        return []
+    rows = np.flatnonzero(wanted.any(axis=0) | wanted.any(axis=1))
+    wanted, size, root = wanted[np.ix_(rows, rows)], size[rows], root[rows]
+    texts, keys = group["text"].iloc[rows], [bytes(k) for k in group["key"].iloc[rows]]
+    shingles = [shingle_hashes(word_list(text)) for text in texts]
+    shared = shared_shingles([label_occurrences(x) for x in shingles])
+    # No alignment covers more than what is shared.
+    i, j = np.nonzero(wanted & (shared >= SIMILAR * (np.add.outer(size, size) - shared)))
+    classes, out = root.copy(), []
+    for at in np.argsort(-shared[i, j] / (size[i] + size[j]), kind="stable"):
+        x, y = int(i[at]), int(j[at])
+        if classes[x] != classes[y] and aligned_share(shingles[x], shingles[y]) >= SIMILAR:
+            classes[classes == classes[y]] = classes[x]
+            out.append((keys[x], keys[y]))
+    return out
 
 
 def connect(links: DataFrame) -> DataFrame:

@@ -363,6 +363,35 @@ def test_near_copies(spark, small, texts, odd):
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 2, 3, 4, 5, 7, 8, 9]
 
 
+def test_near_copies_of_many_variants(spark):
+    """Variants of variants: many are unlike the centre of a bucket, yet like its other members."""
+    rng = np.random.default_rng(12)
+    texts = [[f"w{x}" for x in rng.integers(0, 400, 140)]]
+    while len(texts) < 1500:
+        words = list(texts[rng.integers(0, len(texts))])
+        for _ in range(rng.integers(1, 6)):
+            words[rng.integers(0, len(words))] = f"w{rng.integers(0, 400)}"
+        texts.append(words)
+    texts = [" ".join(t) for t in texts]
+    hashes = [ordermin.shingle_hashes(ordermin.word_list(t)) for t in texts]
+    sets = [set(h.tolist()) for h in hashes]
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 110 and find(i) != find(j) and ordermin.similarity(texts[i], texts[j]) >= 0.8:
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.id: r.class_id for r in ordermin.near_duplicates(df).collect()}
+    assert got == {i: find(i) for i in range(len(texts))} and len(set(got.values())) > 1
+
+
 @pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_empty_tables(spark, small, tmp_path, name):
     for table in ("documents", "benchmark", "embeddings", "conversations"):
