@@ -3,10 +3,12 @@
 Vectors are clustered on a bounded sample by halving at medians, so that lists are of like
 size. A vector goes to the list of its nearest centroid and, near a boundary, to those of others
 hardly farther. Centroids are searched in memory, along a graph of their neighbours. A
-query visits the lists whose centroids are not much farther than its nearest one; within them,
-products with all vectors are exact. For inner products, vectors get one more
+query visits the lists whose centroids are not much farther than its nearest one, and further
+ones until they hold enough vectors; within them, products with all vectors are exact. How much
+farther is settled for each table: some queries are compared with all vectors, and the reach
+grows until these find enough of their nearest ones, to all lists if need be. For inner products, vectors get one more
 component that makes all of them equally long, which turns the largest product into the least
-distance. Recall against brute force is measured in the tests.
+distance.
 
 Defined results: vectors that are null, zero or hold a null or a number that is not finite take
 no part, nor do those of another length than most; copies of a vector are indexed once,
@@ -29,8 +31,11 @@ PER_LIST = 250  # vectors that a list is meant to hold
 LISTS = 4096  # at most
 REPLICAS = 4  # lists of one vector, at most
 NEAR = 1.06  # how much farther a further list of a vector may be
-REACH = 1.1  # how much farther a list may be that a query visits
+REACH = 1.1  # how much farther a list may be that a query visits, at first
+WIDER = (1.1, 1.15, 1.2, 1.25, 1.3, 1.4, 1.6, 2.0, float("inf"))  # then, among all centroids
 DEGREE, HOPS = 24, 48  # of the graph of centroids, and steps along it
+PROBES = 200  # queries that recall is measured on
+FOUND = 0.92  # recall of these at least: some more than 0.9, as they are a sample
 BLOCK = 2000  # vectors or queries of a list that are compared at a time
 
 
@@ -79,8 +84,11 @@ class CentroidGraph:
         self.links = np.concatenate([np.concatenate(links), far_ones], axis=1)
         self.entries = np.linspace(0, n - 1, min(n, 16)).astype(int)
 
-    def search(self, vectors: np.ndarray) -> np.ndarray:
-        """Distances of each vector to the centroids met on the way, infinite for others."""
+    def search(self, vectors: np.ndarray, hops: int | None = HOPS) -> np.ndarray:
+        """Distances of each vector to the centroids met on the way (None: to all), infinite for others."""
+        if hops is None:
+            gaps = (vectors**2).sum(axis=1)[:, None] + self.squares - 2 * vectors @ self.centroids.T
+            return np.sqrt(np.maximum(gaps, 0))
         rows = np.arange(len(vectors))[:, None]
         own = (vectors**2).sum(axis=1)
         found = np.full((len(vectors), len(self.centroids)), np.inf, dtype=np.float32)
@@ -94,7 +102,7 @@ class CentroidGraph:
             found[rows, ids] = gap
 
         meet(np.tile(self.entries, (len(vectors), 1)))
-        for _ in range(HOPS):
+        for _ in range(hops):
             waiting = np.where(open_, found, np.inf)
             best = waiting.argmin(axis=1)
             if np.isinf(waiting[rows[:, 0], best]).all():
@@ -103,19 +111,34 @@ class CentroidGraph:
             meet(self.links[best])
         return np.sqrt(found)
 
-    def lists(self, vectors: np.ndarray, ratio: float, most: int | None) -> tuple[np.ndarray, np.ndarray]:
-        """Row and list of each vector's lists: those at most ``ratio`` times as far as the nearest."""
-        all_rows, all_lists = [], []
+    def lists(self, vectors: np.ndarray, ratio: float, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row, list and whether it is the nearest, of lists at most ``ratio`` times as far as that."""
+        all_rows, all_lists, all_first = [], [], []
         for start in range(0, len(vectors), 256):
             gaps = self.search(vectors[start : start + 256])
             near = gaps <= gaps.min(axis=1, keepdims=True) * ratio + 1e-6
-            if most is not None:
-                places = gaps.argsort(axis=1, kind="stable").argsort(axis=1, kind="stable")
-                near &= places < most
-            r, c = np.nonzero(near)
+            places = gaps.argsort(axis=1, kind="stable").argsort(axis=1, kind="stable")
+            r, c = np.nonzero(near & (places < most))
             all_rows.append(r + start)
             all_lists.append(c)
-        return np.concatenate(all_rows), np.concatenate(all_lists)
+            all_first.append(places[r, c] == 0)
+        return np.concatenate(all_rows), np.concatenate(all_lists), np.concatenate(all_first)
+
+    def visited(
+        self, vectors: np.ndarray, reach: float, hops: int | None, held: np.ndarray, want: int
+    ) -> np.ndarray:
+        """Whether a query visits a list: those within reach, and further ones until ``want`` are held."""
+        gaps = self.search(vectors, hops)
+        if np.isinf(reach):
+            return np.ones(gaps.shape, dtype=bool)
+        near = gaps <= gaps.min(axis=1, keepdims=True) * reach + 1e-6
+        few = np.flatnonzero(near @ held < want)
+        if len(few):
+            order = self.search(vectors[few], None).argsort(axis=1, kind="stable")
+            before = np.cumsum(held[order], axis=1) - held[order]
+            r, c = np.nonzero(before < want)
+            near[few[r], order[r, c]] = True
+        return near
 
 
 def _widened(vectors: np.ndarray, longest: float) -> np.ndarray:
@@ -124,23 +147,77 @@ def _widened(vectors: np.ndarray, longest: float) -> np.ndarray:
     return np.concatenate([vectors, rest[:, None]], axis=1).astype(np.float32)
 
 
-def assign_lists(df: DataFrame, graph: CentroidGraph, longest: float | None, ratio: float, most: int | None):
-    """A row per vector and list; ``longest`` is None for queries."""
+def assign_lists(df: DataFrame, graph: CentroidGraph, longest: float) -> DataFrame:
+    """A row per vector and list, ``first`` in the list of its nearest centroid."""
 
     def assign(frames):
         for frame in frames:
             vectors = np.array(frame["vector"].tolist(), dtype=np.float64)
-            given = _widened(vectors, longest) if longest is not None else (
-                np.pad(vectors, ((0, 0), (0, 1))).astype(np.float32)
-            )
-            if longest is None:  # a query's length does not change what it finds
-                given *= scale / np.maximum(np.sqrt((given**2).sum(axis=1, keepdims=True)), 1e-30)
-            rows, lists = graph.lists(given, ratio, most)
-            yield frame.iloc[rows].assign(list=lists)
-
-    scale = float(np.sqrt(graph.squares.max())) if longest is None else 0.0
+            rows, lists, first = graph.lists(_widened(vectors, longest), NEAR, REPLICAS)
+            yield frame.iloc[rows].assign(list=lists, first=first)
+
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields)
-    return df.mapInPandas(assign, f"{fields}, list int")
+    return df.mapInPandas(assign, f"{fields}, list int, first boolean")
+
+
+def _as_query(vectors: np.ndarray, graph: CentroidGraph) -> np.ndarray:
+    """Queries as long as the centroids: a query's length does not change what it finds."""
+    given = np.pad(vectors, ((0, 0), (0, 1))).astype(np.float32)
+    scale = float(np.sqrt(graph.squares.max()))
+    return given * (scale / np.maximum(np.sqrt((given**2).sum(axis=1, keepdims=True)), 1e-30)).astype(np.float32)
+
+
+def visit_lists(
+    df: DataFrame, graph: CentroidGraph, reach: float, hops: int | None, held: np.ndarray, want: int
+) -> DataFrame:
+    """A row per query and list that it visits."""
+
+    def visit(frames):
+        for frame in frames:
+            vectors = np.array(frame["vector"].tolist(), dtype=np.float64)
+            for start in range(0, len(frame), 256):
+                part = _as_query(vectors[start : start + 256], graph)
+                rows, lists = np.nonzero(graph.visited(part, reach, hops, held, want))
+                yield frame.iloc[rows + start].assign(list=lists)
+
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields)
+    return df.mapInPandas(visit, f"{fields}, list int")
+
+
+def choose_reach(
+    asking: DataFrame, distinct: DataFrame, index: DataFrame, graph: CentroidGraph, held: np.ndarray, k: int
+) -> tuple[float, int | None]:
+    """Reach and hops with which a sample of queries finds its nearest vectors. Runs jobs."""
+    drawn = asking.orderBy(F.xxhash64("copy"), "copy").limit(PROBES).collect()
+    if not drawn:
+        return REACH, HOPS
+    names, probes = [r["copy"] for r in drawn], np.array([r["vector"] for r in drawn])
+
+    def best_of(frames):
+        for frame in frames:
+            for start in range(0, len(frame), BLOCK):
+                part = frame.iloc[start : start + BLOCK]
+                scores = probes @ np.array(part["vector"].tolist()).T
+                scores[np.array(names)[:, None] == part["copy"].to_numpy()[None, :]] = -np.inf
+                most = np.argpartition(-scores, min(k, len(part)) - 1, axis=1)[:, :k]
+                at = np.repeat(np.arange(len(probes)), most.shape[1])
+                yield pd.DataFrame(
+                    {"probe": at, "copy": part["copy"].to_numpy()[most.ravel()], "score": scores[at, most.ravel()]}
+                )
+
+    order = Window.partitionBy("probe").orderBy(F.desc("score"), "copy")
+    near = distinct.select("copy", "vector").mapInPandas(best_of, "probe int, copy string, score double")
+    near = near.where(F.col("score") > float("-inf")).withColumn("place", F.row_number().over(order))
+    # At most PROBES times k rows, each with at most REPLICAS lists.
+    wanted = F.broadcast(written(near.where(F.col("place") <= k).select("probe", "copy"), "nearest"))
+    met = index.select("copy", "list").join(wanted, "copy").groupBy("probe", "copy")
+    rows = met.agg(F.collect_set("list").alias("lists")).collect()
+    given = _as_query(probes, graph)
+    for reach, hops in [(REACH, HOPS), *((wide, None) for wide in WIDER)]:
+        visits = graph.visited(given, reach, hops, held, k + 1)
+        if sum(bool(visits[r["probe"], r["lists"]].any()) for r in rows) >= FOUND * len(rows):
+            break
+    return reach, hops
 
 
 def _blocked(df: DataFrame, key: str) -> DataFrame:
@@ -188,12 +265,15 @@ def nearest(
     lists = min(LISTS, -(-whole.n // PER_LIST))
     graph = CentroidGraph(halve(_widened(sample, whole.longest), -(-len(sample) // lists)))
 
-    index = _blocked(
-        written(assign_lists(distinct, graph, whole.longest, NEAR, REPLICAS), "index"), "copy"
-    ).select("list", "block", "copy", "ids", "vector")
-    index = written(index, "index-blocks")
-    asking = rows.where("asks").groupBy("copy").agg(F.first("vector").alias("vector"))
-    visits = _blocked(written(assign_lists(asking, graph, None, REACH, None), "visits"), "copy").select(
+    placed = written(assign_lists(distinct, graph, whole.longest), "index")
+    held = np.zeros(len(graph.centroids), dtype=np.int64)
+    for r in placed.where("first").groupBy("list").agg(F.count("*").alias("n")).collect():  # a row per list
+        held[r["list"]] = r["n"]
+    index = written(_blocked(placed, "copy").select("list", "block", "copy", "ids", "vector"), "index-blocks")
+    asking = written(rows.where("asks").groupBy("copy").agg(F.first("vector").alias("vector")), "asking")
+    reach, hops = choose_reach(asking, distinct, placed, graph, held, k)
+    visits = visit_lists(asking, graph, reach, hops, held, k + 1)
+    visits = _blocked(written(visits, "visits"), "copy").select(
         "list", F.col("block").alias("q_block"), F.col("blocks").alias("q_blocks"),
         F.col("copy").alias("asked"), "vector",
     )

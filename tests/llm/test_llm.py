@@ -275,6 +275,29 @@ def test_nearest(spark, small):
     assert hits / n >= 0.9
 
 
+def test_nearest_of_many_vectors(spark):
+    """Vectors in nearly all directions alike, as in sf0.1, in more than a hundred lists."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(0, 0.009, (10, 64))[rng.integers(0, 10, 20_000)] + rng.normal(0, 0.125, (20_000, 64))
+    x /= np.sqrt((x**2).sum(axis=1, keepdims=True))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = postings.nearest(df, F.col("vec_id") % 50 == 0).toPandas().groupby("query_id")["vec_id"].agg(set)
+    hits = 0
+    for q in range(0, 20_000, 50):
+        scores = x @ x[q]
+        scores[q] = -2
+        assert len(got[q]) == 20
+        hits += len(set(np.argpartition(-scores, 20)[:20].tolist()) & got[q])
+    assert hits / (20 * 400) >= 0.9
+
+
+def test_nearest_visits_enough_lists():
+    """One vector a list: a query goes on until enough vectors are met."""
+    graph = postings.CentroidGraph(np.random.default_rng(1).normal(size=(60, 8)).astype(np.float32))
+    visits = graph.visited(graph.centroids[:5], 1.1, postings.HOPS, np.ones(60, dtype=np.int64), 21)
+    assert (visits.sum(axis=1) >= 21).all()
+
+
 def test_nearest_of_odd_vectors(spark):
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, None), (3, [0.0, 0.0]), (4, [None, 1.0]), (5, [float("nan"), 1.0])]
     rows += [(6, [2.0, 0.0]), (7, [1.0]), (20, [-1.0, 0.5])]
