@@ -1,10 +1,14 @@
 """Substring deduplication by sliding spans of sentences.
 
-A text is cut into sentences at full stops, question and exclamation marks and line ends; a sentence
-of many words is cut further, after words chosen by their hash, so that equal passages are
-cut alike wherever they stand. Every run of three sentences in a row that has
-enough words is hashed, equal runs are joined over all documents, and sentences
-that are covered by any run but its first (in order of id, then place) go.
+A text is cut into sentences at full stops, question and exclamation marks and line ends, and these
+into parts after the word of least hash in each window of nine words, wherever sentences
+end, so that equal passages are cut alike but for the nine words at their ends. From
+every cut on, and up to every cut, the shortest run of parts that has 15 words is hashed; so are, from
+every sentence on, the shortest run of whole sentences and that of three, if they have as many. A
+hash stands for the words alone. Equal runs are joined over all documents, and parts that are
+covered by any run but its first (in order of id, then place) go. Any 50 words that two texts
+share, with the same sentence ends, hold a run: a cut stands in at most 16 of them before it,
+the run has at most 23 and nine are left.
 
 Defined results: null, empty and short texts stay as they are; texts are read whole; rows
 equal in id and text count as one document and are all treated as that one is; null ids come first;
@@ -29,53 +33,74 @@ from moodwell.llm.common import written
 
 RUN = 3  # sentences in a row
 RUN_WORDS = 15  # words that a run has at least
-LONG_SENTENCE = 24  # words beyond which a sentence is cut further
-CUT_ONE_IN = 8  # words, of which one ends such a part
+WINDOW = 9  # words in a row, of which one ends a part
 
 _END = re.compile(r"[.!?]+[\"')\]]*\s+|\s*\n\s*")
 _WORD = re.compile(r"\S+\s*")
 
 
+def _cut(text: str) -> tuple[list[int], list[int], set[int], list[str]]:
+    """Where parts end, how many words stand up to there, which ends are a sentence's; the words."""
+    found = list(_WORD.finditer(text))
+    words = [m[0].strip().lower() for m in found]
+    ends = {m.end() for m in _END.finditer(text)} | {len(text)}
+    upto = {m.end(): i + 1 for i, m in enumerate(found)}
+    cuts = set(ends)
+    if len(words) >= WINDOW:
+        hashes = np.array([zlib.crc32(w.encode()) for w in words], dtype=np.uint32)
+        least = np.lib.stride_tricks.sliding_window_view(hashes, WINDOW).argmin(axis=1)
+        cuts |= {found[i].end() for i in np.unique(least + np.arange(len(least))).tolist()}
+    cuts.discard(0)
+    places = sorted(cuts)
+    return places, [upto.get(c, 0) for c in places], ends, words
+
+
 def cut_sentences(text: str) -> list[tuple[int, int, int]]:
-    """start, end and number of words of each sentence; together they are the text."""
-    out, start = [], 0
-    for end in [*(m.end() for m in _END.finditer(text)), len(text)]:
-        if end == start:
-            continue
-        n = len(text[start:end].split())
-        if n <= LONG_SENTENCE:
-            out.append((start, end, n))
-        else:
-            n = 0
-            for m in _WORD.finditer(text, start, end):
-                n += 1
-                if zlib.crc32(m[0].strip().lower().encode()) % CUT_ONE_IN == 0:
-                    out.append((start, m.end(), n))
-                    start, n = m.end(), 0
-            if start < end:
-                out.append((start, end, n))
-        start = end
-    return out
+    """start, end and number of words of each part; together they are the text."""
+    ends, upto, _, _ = _cut(text)
+    return [
+        (s, e, n - m) for s, e, m, n in zip([0, *ends], ends, [0, *upto], upto, strict=False)
+    ]
 
 
-def run_hashes(text: str) -> list[tuple[int, int, int]]:
-    """place and two hashes of every run that has enough words."""
-    cut = cut_sentences(text)
-    if len(cut) < RUN:
+def run_hashes(text: str) -> list[tuple[int, int, int, int]]:
+    """place, number of parts and two hashes of every run that has enough words."""
+    ends, upto, sentence_ends, words = _cut(text)
+    if len(words) < RUN_WORDS:
         return []
-    plain = [" ".join(text[s:e].lower().split()).encode() for s, e, _ in cut]
+    before = [0, *upto]  # words before each part, and after the last
+    spans = set()
+    last = 0
+    for first in range(len(ends)):
+        while last < len(ends) and before[last] - before[first] < RUN_WORDS:
+            last += 1
+        if before[last] - before[first] >= RUN_WORDS:
+            spans.add((first, last))
+    first = 0
+    for last in range(1, len(before)):
+        while before[last] - before[first + 1] >= RUN_WORDS:
+            first += 1
+        if before[last] - before[first] >= RUN_WORDS:
+            spans.add((first, last))
+    starts = [0, *(i + 1 for i, e in enumerate(ends) if e in sentence_ends)]
+    last = 0
+    for at, first in enumerate(starts[:-1]):
+        while last < len(starts) - 1 and before[starts[last]] - before[first] < RUN_WORDS:
+            last += 1
+        for stop in {last, at + RUN}:
+            if stop < len(starts) and before[starts[stop]] - before[first] >= RUN_WORDS:
+                spans.add((first, starts[stop]))
     out = []
-    for i in range(len(cut) - RUN + 1):
-        if sum(n for _, _, n in cut[i : i + RUN]) >= RUN_WORDS:
-            digest = xxhash.xxh3_128_digest(b"\n".join(plain[i : i + RUN]))
-            out.append((i, *np.frombuffer(digest, dtype=np.int64).tolist()))
+    for first, last in sorted(spans):
+        digest = xxhash.xxh3_128_digest(" ".join(words[before[first] : before[last]]).encode())
+        out.append((first, last - first, *np.frombuffer(digest, dtype=np.int64).tolist()))
     return out
 
 
-def without(text: str, places: list[int]) -> tuple[str, int, int]:
-    """The text without the runs at some places; how many sentences it had and lost."""
+def without(text: str, runs: list[tuple[int, int]]) -> tuple[str, int, int]:
+    """The text without some runs (place, number of parts); how many parts it had and lost."""
     cut = cut_sentences(text)
-    gone = {i + k for i in places for k in range(RUN)}
+    gone = {k for place, parts in runs for k in range(place, place + parts)}
     kept = "".join(text[s:e] for i, (s, e, _) in enumerate(cut) if i not in gone)
     return kept, len(cut), len(gone)
 
@@ -85,7 +110,7 @@ def _text_hash(column: str) -> Column:
 
 
 def repeated_runs(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """id, text_hash and place of every run that an earlier place has, too. Runs jobs."""
+    """id, text_hash, place and parts of every run that an earlier place has, too. Runs jobs."""
     kind = df.schema[id_column].dataType.simpleString()
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,16 +119,17 @@ def repeated_runs(df: DataFrame, id_column: str = "doc_id", text_column: str = "
                 part = batch.slice(start, 500)
                 runs = [run_hashes(text) for text in part.column(2).to_pylist()]
                 at = pa.array(np.repeat(np.arange(len(runs)), [len(r) for r in runs]))
-                flat = np.array([x for r in runs for x in r], dtype=np.int64).reshape(-1, 3)
+                flat = np.array([x for r in runs for x in r], dtype=np.int64).reshape(-1, 4)
                 columns = [part.column(0).take(at), part.column(1).take(at)]
-                columns += [pa.array(flat[:, 0].astype(np.int32)), *map(pa.array, flat.T[1:])]
+                columns += [pa.array(x.astype(np.int32)) for x in flat.T[:2]]
+                columns += [pa.array(np.ascontiguousarray(x)) for x in flat.T[2:]]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    names = ["id", "text_hash", "place", "h1", "h2"]
+    names = ["id", "text_hash", "place", "parts", "h1", "h2"]
     texts = df.where(F.col(text_column).isNotNull()).select(
         F.col(id_column).alias("id"), _text_hash(text_column).alias("text_hash"), text_column
     )
-    rows = texts.mapInArrow(hashed, f"id {kind}, text_hash long, place int, h1 long, h2 long")
+    rows = texts.mapInArrow(hashed, f"id {kind}, text_hash long, place int, parts int, h1 long, h2 long")
     rows = written(rows, "runs")
     # Runs that occur once are most of them: they are left out before anything else travels.
     often = rows.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").drop("n")
@@ -111,7 +137,7 @@ def repeated_runs(df: DataFrame, id_column: str = "doc_id", text_column: str = "
     order = F.struct("id", "text_hash", "place")
     first = again.groupBy("h1", "h2").agg(F.min(order).alias("first"))
     return again.join(first, ["h1", "h2"]).where(~order.eqNullSafe(F.col("first"))).select(
-        "id", "text_hash", "place"
+        "id", "text_hash", "place", "parts"
     )
 
 
@@ -119,22 +145,22 @@ def remove_repeats(df: DataFrame, id_column: str = "doc_id", text_column: str =
     """``df`` with the rest of each text, ``n_sentences`` (null if nothing went) and ``n_removed``."""
     found = repeated_runs(df, id_column, text_column)
     by = [F.col("id").alias("_run_id"), F.col("text_hash").alias("_run_hash")]
-    places = found.groupBy(*by).agg(F.collect_set("place").alias("_places"))
+    places = found.groupBy(*by).agg(F.collect_set(F.struct("place", "parts")).alias("_runs"))
 
     @F.pandas_udf("text string, n_sentences long, n_removed long")
-    def cut(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for texts, wanted in batches:
+    def cut(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for texts, places, parts in batches:
             rows = [
-                (None, None, 0) if text is None else without(text, list(places))
-                for text, places in zip(texts, wanted, strict=True)
+                (None, None, 0) if text is None else without(text, list(zip(at, n, strict=True)))
+                for text, at, n in zip(texts, places, parts, strict=True)
             ]
             frame = pd.DataFrame(rows, columns=["text", "n_sentences", "n_removed"])
             yield frame.astype({"n_sentences": "Int64"})
 
-    hit = F.col("_places").isNotNull()
+    hit = F.col("_runs").isNotNull()
     same = F.col(id_column).eqNullSafe(F.col("_run_id")) & (_text_hash(text_column) == F.col("_run_hash"))
     joined = df.join(places, same, "left").withColumn(
-        "_cut", cut(F.when(hit, F.col(text_column)), F.col("_places"))
+        "_cut", cut(F.when(hit, F.col(text_column)), F.col("_runs.place"), F.col("_runs.parts"))
     )
     out = joined.withColumn(text_column, F.when(hit, F.col("_cut.text")).otherwise(F.col(text_column)))
     out = out.withColumn("n_sentences", F.col("_cut.n_sentences"))

@@ -332,6 +332,28 @@ def test_passages_go(spark, odd):
     assert texts[1] is None and texts[5] and not texts[6]
 
 
+@pytest.mark.parametrize("length", [1, 5, 16, 20, 22, 24, 25, 40, 1000])
+def test_any_fifty_shared_words_hold_a_run(length):
+    """At every offset in sentences of some length, in other words before and after."""
+    rng = np.random.default_rng(length)
+
+    def prose(n, at):
+        words = ["".join(rng.choice(list("abcdefgh"), 6)) for _ in range(n)]
+        return [w + "." * ((at + i) % length == length - 1) for i, w in enumerate(words)]
+
+    for offset in range(min(length, 40)):
+        passage = prose(50, offset)
+        a, b = (" ".join([*prose(37 + k, 0), *passage, *prose(30, offset + 50)]) for k in (0, 5))
+        found = [{r[2:]: r[:2] for r in sentences.run_hashes(t)} for t in (a, b)]
+        shared = found[0].keys() & found[1].keys()
+        assert shared
+        for text, runs in zip((a, b), found):
+            cut = sentences.cut_sentences(text)
+            for place, parts in (runs[h] for h in shared):  # brute force: nothing else is shared
+                run = text[cut[place][0] : cut[place + parts - 1][1]].strip()
+                assert run in " ".join(passage) and len(run.split()) >= 15
+
+
 def test_cuts_make_up_the_text(texts):
     for text in texts.text:
         assert "".join(text[a:b] for a, b, _ in sentences.cut_sentences(text)) == text
