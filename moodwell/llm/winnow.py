@@ -77,6 +77,13 @@ def item_runs(items: DataFrame, item_column: str = "item_id", text_column: str =
     return cut.select("item", "size", run).distinct()
 
 
+def row_key(id_column: str, text_column: str) -> Column:
+    """128 bits that stand for a document's id and text."""
+    return F.unhex(
+        F.md5(F.concat_ws("\x00", F.col(id_column).cast("string"), F.lit("|"), F.col(text_column)))
+    )
+
+
 def find_contamination(
     docs: DataFrame,
     items: DataFrame,
@@ -84,7 +91,7 @@ def find_contamination(
     text_column: str = "text",
     item_column: str = "item_id",
 ) -> DataFrame:
-    """``id, n_words, n_hit, items`` (sorted as strings) of every document. Runs jobs at once."""
+    """``id, row_key, n_words, n_hit, items`` (sorted as strings) of every document. Runs jobs at once."""
     spark = docs.sparkSession
     runs = written(item_runs(items, item_column, text_column), "runs")
     # At most RUN - 1 numbers.
@@ -94,11 +101,10 @@ def find_contamination(
     wanted = held.distinct()
     prints = sent_if_small(written(wanted, "fingerprints"))
 
-    key = F.unhex(
-        F.md5(F.concat_ws("\x00", F.col(id_column).cast("string"), F.lit("|"), F.col(text_column)))
-    )
     worded = docs.select(
-        F.col(id_column).alias("id"), key.alias("key"), words_of(F.col(text_column)).alias("words")
+        F.col(id_column).alias("id"),
+        row_key(id_column, text_column).alias("key"),
+        words_of(F.col(text_column)).alias("words"),
     )
     # Under -1, the text's length; it goes along with the hashes, so that texts are read once here.
     length = F.struct(F.lit(_LENGTH).alias("kind"), F.size("words").cast("long").alias("hash"))
@@ -136,6 +142,7 @@ def find_contamination(
     totals = met.where(lengths).select("id", "key", F.col("hash").alias("n_words"))
     return totals.join(per_doc, "key", "left").select(
         F.col("id").alias(id_column),
+        F.col("key").alias("row_key"),
         "n_words",
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
@@ -172,8 +179,12 @@ def is_contaminated() -> Column:
     return (F.col("n_hit") > 0) & (F.col("n_hit") * 20 >= F.col("n_words"))
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, id_column: str = "doc_id") -> DataFrame:
+def decontaminate(
+    docs: DataFrame, items: DataFrame, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
     """The documents that are not contaminated, with all their columns."""
-    found = find_contamination(docs, items, id_column)
-    bad = found.where(is_contaminated()).select(F.col(id_column).alias("_bad")).distinct()
-    return docs.join(sent_if_small(written(bad, "contaminated")), F.col(id_column).eqNullSafe(F.col("_bad")), "left_anti")
+    found = find_contamination(docs, items, id_column, text_column)
+    # Ids may be null or repeated: only rows equal in id and text go together.
+    bad = found.where(is_contaminated()).select(F.col("row_key").alias("_bad")).distinct()
+    same = row_key(id_column, text_column) == F.col("_bad")
+    return docs.join(sent_if_small(written(bad, "contaminated")), same, "left_anti")

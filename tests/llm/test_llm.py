@@ -152,6 +152,15 @@ def test_contamination(spark, small, texts, odd):
     assert kept.columns == odd.columns and 4 not in [r.doc_id for r in kept.collect()]
 
 
+def test_clean_rows_stay_beside_contaminated_ones(spark):
+    item = " ".join(f"w{i}" for i in range(30))
+    rows = [(None, item), (None, "clean one"), (None, None), (1, item), (1, "clean two"), (1, item), (2, "clean one")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = winnow.decontaminate(docs, spark.createDataFrame([(7, item)], "item_id long, text string"))
+    want = [(None, "clean one"), (None, None), (1, "clean two"), (2, "clean one")]
+    assert Counter(map(tuple, kept.collect())) == Counter(want)
+
+
 @pytest.mark.parametrize("copies", [0, 3000])
 def test_shards(spark, odd, copies):
     many = spark.range(copies).selectExpr("id + 100 AS doc_id", "'the same text' AS text")
