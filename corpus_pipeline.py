@@ -13,10 +13,13 @@ from moodwell.llm.common import table, written
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no language can be told (null, or without a letter) go."""
+    """Documents in which no language can be told (null, or without a letter) go; others without
+    a given language get the predicted one."""
     tagger = bytelang.train_tagger(docs.where(~bytelang.held_out(F.col("doc_id"), 3, 1)))
     tagged = bytelang.identify(docs.withColumn("_given", F.col("text")), tagger, "_given")
-    return tagged.where(F.col("lang_pred") != bytelang.UNKNOWN).select(docs.columns)
+    told = tagged.where(F.col("lang_pred") != bytelang.UNKNOWN)
+    kind = docs.schema["lang"].dataType
+    return told.withColumn("lang", F.coalesce("lang", F.col("lang_pred").cast(kind))).select(docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

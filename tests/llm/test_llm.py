@@ -453,6 +453,18 @@ def test_empty_tables(spark, small, tmp_path, name):
     assert registry.QUERIES[name](spark, str(tmp_path)).count() == (1 if name.startswith("op9") else 0)
 
 
+def test_pipeline_fills_languages(spark, small):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    hidden = bytelang.held_out(F.col("doc_id"), 3, 1)
+    blank = docs.withColumn("lang", F.when(~hidden, F.col("lang")))
+    got = corpus_pipeline.identify_language(spark, blank, small)
+    both = got.where(hidden).join(docs.select("doc_id", F.col("lang").alias("given")), "doc_id").collect()
+    assert both and sum(r.lang == r.given for r in both) > 0.9 * len(both)
+    assert got.where(~hidden).select("doc_id", "lang").exceptAll(docs.select("doc_id", "lang")).isEmpty()
+
+
 def test_pipeline(spark, small, texts):
     import corpus_pipeline
 
