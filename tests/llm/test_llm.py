@@ -453,6 +453,17 @@ def test_empty_tables(spark, small, tmp_path, name):
     assert registry.QUERIES[name](spark, str(tmp_path)).count() == (1 if name.startswith("op9") else 0)
 
 
+def test_pipeline_decodes(spark, odd, small):
+    import corpus_pipeline
+
+    library = sentencepiece.SentencePieceProcessor(model_file=registry.PIECES)
+    out = corpus_pipeline.encode(spark, odd, small).collect()
+    assert len(out) == 11
+    for r in out:
+        assert list(r.ids) == library.encode(r.text or "", add_eos=True)
+        assert r.decoded == library.decode(list(r.ids))
+
+
 def test_pipeline_fills_languages(spark, small):
     import corpus_pipeline
 
