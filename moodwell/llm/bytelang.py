@@ -161,8 +161,11 @@ def train_tagger(
     names = sorted(r.lang for r in rows.groupBy("lang").count().orderBy("lang").limit(languages + 1).collect())
     if len(names) > languages:
         raise ValueError(f"more than {languages} languages")
+    # Copies count once, and only hashes travel for that.
     least = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    sample = rows.withColumn("place", least).where(F.col("place") <= per_language)
+    drawn = rows.select("lang", "h").distinct().withColumn("place", least)
+    drawn = drawn.where(F.col("place") <= per_language).select("lang", "h")
+    sample = rows.join(F.broadcast(drawn), ["lang", "h"], "left_semi").distinct()
     tagger = ByteTagger(names)
     picked = sorted(sample.select("lang", "h", "windows").collect())
     texts = [(w.encode()[:WINDOW], names.index(r.lang)) for r in picked for w in r.windows if w]

@@ -270,6 +270,16 @@ def test_languages(spark, small, texts, odd):
     assert unknown == {1, 2, 3, 7}
 
 
+def test_copies_do_not_fill_the_sample(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(bytelang.ByteTagger, "train", lambda self, windows, wanted: seen.append(windows))
+    texts = spark.createDataFrame([(f"text number {i}", "en") for i in range(40)], "text string, lang string")
+    first = texts.orderBy(F.xxhash64("text")).first().text
+    copies = spark.range(500).select(F.lit(first).alias("text"), F.lit("en").alias("lang"))
+    bytelang.train_tagger(texts.unionByName(copies), per_language=20)
+    assert len(np.unique(seen[0], axis=0)) == len(seen[0]) == 20
+
+
 def test_nearest(spark, small):
     rows = pq.read_table(f"{small}/embeddings.parquet").to_pandas()
     x, ids = np.array(rows.embedding.tolist(), dtype=float), rows.vec_id.to_numpy()
