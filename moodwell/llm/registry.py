@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodwell.llm import bilinear, bytelang, chat, licenses, ordermin, pieces, postings, sentences, shards, winnow
+from moodwell.llm import bilinear, bytelang, chat, licenses, ordermin, pieces, postings, sentences, shards, urlrules, winnow
 from moodwell.llm.common import table
+from moodwell.llm.oracles import URL_FILTER_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -104,6 +105,11 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "class_id", "class_size", "kept")
 
 
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict of rules on the address of every page."""
+    return urlrules.filter_urls(table(spark, sf_dir, "pages"), urlrules.rule_table(spark))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -117,6 +123,7 @@ QUERIES: dict[str, Query] = {
         op8_substring_dedup,
         op9_chat_format,
         op10_near_duplicates,
+        op11_url_filter,
     )
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op11_url_filter": URL_FILTER_SQL}
