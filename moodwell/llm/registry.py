@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodwell.llm import bilinear, bytelang, chat, licenses, ordermin, pieces, postings, sentences, shards, urlrules, winnow
+from moodwell.llm import bilinear, bytelang, chat, licenses, ordermin, pieces, postings, sentences, shards, urlrules, winnow, wordruns
 from moodwell.llm.common import table
 from moodwell.llm.oracles import URL_FILTER_SQL
 
@@ -110,6 +110,22 @@ def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlrules.filter_urls(table(spark, sf_dir, "pages"), urlrules.rule_table(spark))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeated words in every document, a tenth of which get some planted."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = wordruns.find_runs(wordruns.with_planted_runs(docs, "doc_id", "text"))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = found.withColumn("best", wordruns.longest_run(F.col("runs")))
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[F.col(f"best.{name}").alias(name) for name in ("start", "length", "period")],
+        F.expr("1000 * best.length DIV best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -124,6 +140,7 @@ QUERIES: dict[str, Query] = {
         op9_chat_format,
         op10_near_duplicates,
         op11_url_filter,
+        op12_periodic_runs,
     )
 }
 ORACLES: dict[str, str] = {"op11_url_filter": URL_FILTER_SQL}
