@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodwell.llm import bilinear, bytelang, chat, licenses, ordermin, pieces, postings, sentences, shards, urlrules, winnow, wordruns
+from moodwell.llm import bilinear, bytelang, chat, licenses, ordermin, pieces, postings, sentences, shards, urlrules, variants, winnow, wordruns
 from moodwell.llm.common import table
 from moodwell.llm.oracles import URL_FILTER_SQL
 
@@ -126,6 +126,12 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words of all documents, some of them misspelt on purpose, with their common forms."""
+    docs = table(spark, sf_dir, "documents")
+    return variants.group_variants(variants.count_words(docs, slips=97))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -141,6 +147,7 @@ QUERIES: dict[str, Query] = {
         op10_near_duplicates,
         op11_url_filter,
         op12_periodic_runs,
+        op13_spelling_variants,
     )
 }
 ORACLES: dict[str, str] = {"op11_url_filter": URL_FILTER_SQL}
