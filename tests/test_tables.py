@@ -1,6 +1,6 @@
 """Stored tables, runs over them and the stream, in folders of their own."""
 
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 from types import SimpleNamespace
 
 import pytest
@@ -23,6 +23,7 @@ from moodwell.sources.tables import (
     overwrite_batches,
     read_posts,
 )
+from moodwell.streaming import incremental
 from moodwell.streaming.incremental import clean_and_score_stream, watch_raw_posts
 
 MOMENT = datetime(2024, 5, 1)
@@ -250,6 +251,75 @@ def test_stream_equals_batch_and_survives_replay(spark, small, tmp_path):
     assert state() == want
 
 
+def test_stream_reads_tables_for_old_posts_only(spark, tmp_path, monkeypatch):
+    raw, cleaned, enriched = (str(tmp_path / n) for n in ("raw", "cleaned", "enriched"))
+    monkeypatch.setattr(incremental, "CLOCKS", timedelta(0))
+    now = datetime.now(timezone.utc).replace(tzinfo=None)
+
+    def fresh(*ids):
+        rows = [(*post(i, "a", "a happy cat")[:7], now) for i in ids]
+        append_posts(frame(spark, rows), raw)
+
+    def start():
+        return clean_and_score_stream(
+            watch_raw_posts(spark, raw), cleaned, enriched, str(tmp_path / "c"), every="1 second"
+        )
+
+    def ids():
+        return sorted(r.id for r in read_posts(spark, enriched, ENRICHED_POSTS).select("id").collect())
+
+    fresh(1, 2)
+    stream = start()
+    try:
+        stream.processAllAvailable()
+        assert ids() == [1, 2]
+        # No reader gets past this file, and none has to.
+        broken = [tmp_path / n / "batch_id=a" / "part-broken.parquet" for n in ("cleaned", "enriched")]
+        for path in broken:
+            path.write_bytes(b"PAR1 no table PAR1")
+        fresh(3)
+        stream.processAllAvailable()
+        # Known from the state: these came before.
+        fresh(1, 3, 4)
+        stream.processAllAvailable()
+    finally:
+        stream.stop()
+    for path in broken:
+        path.write_bytes(b"")
+        path.unlink()
+    assert ids() == [1, 2, 3, 4]
+    # Fetched long ago: looked up, though the files are new.
+    stream = start()
+    try:
+        append_posts(frame(spark, [post(1, "b", "a happy cat"), post(5, "b", "a happy cat")]), raw)
+        stream.processAllAvailable()
+    finally:
+        stream.stop()
+    assert ids() == [1, 2, 3, 4, 5]
+    texts = read_posts(spark, cleaned, CLEANED_POSTS)
+    assert sorted(r.id for r in texts.collect()) == [1, 2, 3, 4, 5]
+
+
+def test_stream_takes_up_what_a_stopped_run_left(spark, tmp_path):
+    """A run that stopped between its two tables: the texts are there, the scores are not."""
+    raw, cleaned, enriched = (str(tmp_path / n) for n in ("raw", "cleaned", "enriched"))
+    append_posts(frame(spark, [post(i, "a", "a happy cat") for i in range(6)]), raw)
+
+    def failing(text):
+        return F.raise_error(F.lit("stopped")).cast("array<struct<label:string,score:double>>")
+
+    def run(scorer=None):
+        stream = watch_raw_posts(spark, raw)
+        clean_and_score_stream(stream, cleaned, enriched, str(tmp_path / "c"), scorer=scorer).awaitTermination()
+
+    with pytest.raises(Exception, match="stopped"):
+        run(failing)
+    assert read_posts(spark, cleaned, CLEANED_POSTS).count() == 6
+    run()
+    assert read_posts(spark, cleaned, CLEANED_POSTS).count() == 6
+    assert read_posts(spark, enriched, ENRICHED_POSTS).count() == 6
+
+
 def test_stream_goes_on(spark, tmp_path):
     raw, cleaned, enriched = (str(tmp_path / n) for n in ("raw", "cleaned", "enriched"))
     append_posts(frame(spark, [post(1, "a")]), raw)
