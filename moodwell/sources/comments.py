@@ -1,23 +1,23 @@
 """Sources of comments: CSV files and database tables."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from moodwell.schemas import COMMENTS
+from moodwell.sources.records import read_records
 
 
 def read_comments_csv(
     spark: SparkSession, path: str, schema: T.StructType = COMMENTS
 ) -> DataFrame:
-    """CSV with a header; quoted fields may hold commas, doubled quotes and line breaks."""
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("multiLine", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .csv(path)
-    )
+    """CSV with a header; quoted fields may hold commas, doubled quotes and line breaks.
+
+    A large file is read by many tasks; see ``records``.
+    """
+    options = {"quote": '"', "escape": '"', "multiLine": "true"}
+    read = F.from_csv("record", schema.simpleString(), options)
+    return read_records(spark, path).select(read.alias("row")).select("row.*")
 
 
 def read_comments_jdbc(
