@@ -23,10 +23,3 @@ def search_batch_id(keyword: Column, suffix: Column) -> Column:
     slug = F.when(slug == "", EMPTY_SLUG).otherwise(slug)
     return F.concat(F.lit(SEARCH_PREFIX), slug, F.lit("-"), suffix)
 
-
-def table_id(batch_id: Column, source_id: Column) -> Column:
-    """One id over the whole raw table, from the batch of ingestion and the id in the source.
-
-    A post keeps it when it moves to another batch. It is a hash of 63 bits, not negative.
-    """
-    return F.xxhash64(batch_id, source_id).bitwiseAND(F.lit(2**63 - 1))

@@ -5,7 +5,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from moodwell.functions.ids import ingest_batch_id, table_id
+from moodwell.functions.ids import ingest_batch_id
 from moodwell.functions.moments import moment
 from moodwell.operators.batches import assign_batch, newest, search_posts
 from moodwell.operators.cleaning import clean_stage, in_batch, uncleaned
@@ -14,6 +14,7 @@ from moodwell.operators.language import LanguageModel
 from moodwell.operators.scoring import Scorer, score_posts, to_enriched, unanalyzed
 from moodwell.schemas import CLEANED_POSTS, ENRICHED_POSTS, RAW_POSTS
 from moodwell.session import work_folder
+from moodwell.sources.keys import keyed_posts
 from moodwell.sources.tables import (
     append_posts,
     empty_batch,
@@ -38,9 +39,10 @@ def run_ingestion(
 ) -> dict:
     """Append the comments for a keyword as a new batch; the outcome as a plain record.
 
-    Ids that are unique in the source give ids that are unique in the table, also if
-    a source is read again for another batch.
+    Posts get keys that no other post of the table has, also if a source is read again for
+    another batch. A run that is repeated, after a failure or not, adds what is missing.
     """
+    # The names of the fields that a caller reads.
     outcome = {"status": "error", "batch_id": "", "keyword": keyword, "records_inserted": 0}
     if not keyword or not keyword.strip():
         return {**outcome, "message": "no keyword given"}
@@ -48,10 +50,11 @@ def run_ingestion(
     batch_id = spark.range(1).select(ingest_batch_id(F.lit(keyword), F.lit(suffix))).first()[0]
     comments = match_comments(source, keyword, mode=mode, limit=limit)
     posts = to_raw_posts(comments, batch_id, keyword, platform, moment(created_at))
-    posts = posts.withColumn("id", table_id(F.col("batch_id"), F.col("id")))
-    inserted = append_posts(posts, raw_path)
-    if not inserted:
+    ensure_table(spark, raw_path, RAW_POSTS)
+    missing, found = keyed_posts(posts, raw_path, batch_id)
+    if not found:
         return {**outcome, "message": f"nothing in the source for {keyword!r}"}
+    inserted = append_posts(missing, raw_path)
     return {
         "status": "success",
         "batch_id": batch_id,

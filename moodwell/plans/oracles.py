@@ -296,6 +296,12 @@ ORACLES: dict[str, str] = {
     "ingest_batch": f"""WITH {COMMENTS} SELECT comment_id AS id, 'de-0a1b2c3d' AS batch_id,
  'csv' AS platform, 'de' AS keyword, {strip('comment')} AS raw_text, {MOMENT} AS created_at,
  '{{}}' AS raw_json FROM comments WHERE lower(trim(device)) = 'de' AND comment <> ''""",
+    "ingest_keys": f"""WITH {COMMENTS},
+ kept AS (SELECT comment_id, {strip('comment')} AS raw_text, lower(trim(device)) AS lang
+  FROM comments WHERE lower(trim(device)) IN ('en', 'de') AND comment <> '')
+ SELECT row_number() OVER (ORDER BY lang DESC, comment_id, raw_text) AS id, lang || '-0a1b2c3d' AS batch_id,
+ 'csv' AS platform, CASE lang WHEN 'en' THEN 'en' ELSE 'De' END AS keyword, raw_text, {MOMENT} AS created_at
+ FROM kept""",
     "raw_json_payload": """SELECT doc_id AS id, 'reddit' AS platform,
  CASE WHEN doc_id % 2 = 0 THEN lang ELSE '' END AS keyword,
  '{"upvotes":' || CASE WHEN doc_id % 3 = 0 THEN n_chars ELSE 100 END || ',"emotion":"'

@@ -23,6 +23,7 @@ from moodwell.operators import (
     scoring,
 )
 from moodwell.operators.cleaning import clean_posts
+from moodwell.plans import flow
 from moodwell.plans.testviews import cleaned_posts, enriched_posts, raw_posts, read_table
 from moodwell.schemas import CLEANED_POSTS, COMMENTS, EMOTIONS, ENRICHED_POSTS, RAW_POSTS
 from moodwell.session import work_folder
@@ -121,6 +122,17 @@ def ingest_batch(spark, sf_dir):
     )
 
 
+@query
+def ingest_keys(spark, sf_dir):
+    """Two batches ingested into a table, the first of them twice: keys without gaps, given once."""
+    raw = f"{work_folder(spark, 'ingested')}/raw"
+    source = comments(spark, sf_dir)
+    for keyword in ("en", "De", "en"):
+        flow.run_ingestion(source, raw, keyword, "0a1b2c3d", MOMENT)
+    posts = read_posts(spark, raw, RAW_POSTS)
+    return posts.select("id", "batch_id", "platform", "keyword", "raw_text", stated("created_at"))
+
+
 @query
 def raw_json_payload(spark, sf_dir):
     posts = read_table(spark, sf_dir, "documents").select(

@@ -121,6 +121,38 @@ def test_runs(spark, tmp_path):
     assert (rest["total_processed"], rest["processed"]) == (2, 2)
 
 
+def test_keys_are_unique_and_the_same_in_every_run(spark, tmp_path):
+    raw = str(tmp_path / "raw")
+    append_posts(frame(spark, [post(40, "old")]), raw)
+    rows = [("k", i, f"a cat {i}") for i in range(500)] + [("k", 7, "a second cat 7")]
+    source = spark.createDataFrame(rows, COMMENTS)
+
+    def ingest(df, suffix):
+        return flow.run_ingestion(df, raw, "k", suffix, MOMENT)["records_inserted"]
+
+    def keys(batch):
+        posts = read_posts(spark, raw, RAW_POSTS).where(F.col("batch_id") == batch)
+        return {r.id: r.raw_text for r in posts.collect()}
+
+    assert ingest(source.repartition(7), "a") == 501
+    first = keys("k-a")
+    assert sorted(first) == list(range(41, 542))
+    assert first[48] == "a cat 7" and first[49] == "a second cat 7"
+    # Again, from other files; then with some of the rows lost, then moved to another batch.
+    assert ingest(source.repartition(3), "a") == 0
+    left = read_posts(spark, raw, RAW_POSTS).where("batch_id = 'k-a' AND id % 2 = 0")
+    overwrite_batches(spark.createDataFrame(left.select(*RAW_POSTS.names).collect(), RAW_POSTS), raw)
+    assert ingest(source, "a") == 251
+    assert keys("k-a") == first
+    assert flow.run_assignment(spark, raw, "second", "new") == 1
+    assert ingest(source, "a") == 0
+    # Another batch, and other posts for the same one, get ranges of their own.
+    assert ingest(source, "b") == 501
+    assert sorted(keys("k-b")) == list(range(542, 1043))
+    assert ingest(source.where("comment_id < 3"), "a") == 3
+    assert read_posts(spark, raw, RAW_POSTS).groupBy("id").count().where("count > 1").isEmpty()
+
+
 @pytest.mark.parametrize("few, named", [(1000, 1000), (0, 1000), (1000, 0), (0, 0)])
 def test_pick(spark, monkeypatch, few, named):
     monkeypatch.setattr(flow, "MAX_SENT_KEYS", few)
