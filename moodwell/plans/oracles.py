@@ -1,5 +1,6 @@
 """The registered queries in SQL, for a check on another engine (RE2 expressions)."""
 
+from moodwell.functions import emotion_words
 from moodwell.functions.emotions import default_lexicon
 from moodwell.functions.language import BUCKETS, MIXED_FROM
 from moodwell.functions.rules import ENTITIES, NOISE_TAGS, SHORT_WORDS
@@ -236,6 +237,29 @@ scored AS (SELECT {key}, {scores} FROM hit),
 {labelled('scored')}"""
 
 
+def emotion_costs() -> str:
+    """Relations ``weak`` (the texts with a leading emotion), its hashed words ``hashed``, and ``model``."""
+    leading = " + ".join(f"CAST({e} = confidence AS INT)" for e in EMOTIONS)
+    weights = ", ".join(map(str, emotion_words.powers()))
+    return f"""{lexicon_score('texts', 'origin, id, text', 'text')},
+weak AS (SELECT origin, id, emotion_label AS label, text FROM labelled
+ WHERE {leading} = 1 AND text IS NOT NULL),
+worded AS (SELECT origin, id, label,
+ unnest(string_split({gsub('lower(text)', r'[^\p{L}\p{N}_]+', ' ')}, ' ')) AS word FROM weak),
+hashed AS (SELECT origin, id, label, list_sum(list_transform(range(length(word)),
+ lambda i: unicode(substr(word, i + 1, 1)) * [{weights}][(i % {emotion_words.PLACES}) + 1]))
+ % {emotion_words.BUCKETS} AS bucket FROM worded WHERE word <> ''),
+learned AS (SELECT * FROM hashed WHERE id % 5 <> 4),
+taught AS (SELECT label, count(*) AS texts FROM weak WHERE id % 5 <> 4 GROUP BY label),
+sums AS (SELECT label, count(*) AS total FROM learned GROUP BY label),
+counts AS (SELECT label, bucket, count(*) AS n FROM learned GROUP BY ALL),
+model AS (SELECT label, CAST(round(-1000e0 * ln(texts / (SELECT sum(texts) FROM taught))) AS BIGINT) AS prior,
+ CAST(g.bucket AS BIGINT) AS bucket,
+ CAST(round(-1000e0 * ln((coalesce(n, 0) + 1) / (total + {emotion_words.BUCKETS}))) AS BIGINT) AS cost
+ FROM sums JOIN taught USING (label) CROSS JOIN (SELECT unnest(range({emotion_words.BUCKETS})) AS bucket) g
+ LEFT JOIN counts USING (label, bucket))"""
+
+
 def labelled(source: str) -> str:
     best = f"greatest({', '.join(EMOTIONS)})"
     picks = " ".join(f"WHEN {e} = {best} THEN '{e}'" for e in EMOTIONS)
@@ -401,6 +425,17 @@ ORACLES: dict[str, str] = {
     # Emotions
     "score_lexicon": f"""WITH {TEXTS}, {lexicon_score('texts', 'origin, id', 'text')}
  SELECT origin, id, emotion_label, confidence, {SEVEN} FROM labelled""",
+    "emotion_profile": f"""WITH {TEXTS}, {emotion_costs()} SELECT label, prior, bucket, cost FROM model""",
+    "emotion_agreement": f"""WITH {TEXTS}, {emotion_costs()},
+ judged AS (SELECT origin, id, h.label, m.label AS told, sum(cost) + any_value(prior) AS cost
+  FROM hashed h JOIN model m USING (bucket) WHERE id % 5 = 4 GROUP BY ALL),
+ wordless AS (SELECT origin, id, label, told, prior AS cost FROM weak CROSS JOIN
+  (SELECT DISTINCT label AS told, prior FROM model)
+  WHERE id % 5 = 4 AND (origin, id) NOT IN (SELECT (origin, id) FROM hashed)),
+ placed AS (SELECT *, row_number() OVER (PARTITION BY origin, id
+  ORDER BY cost, list_position([{listed(EMOTIONS)}], told)) AS place
+  FROM (SELECT * FROM judged UNION ALL SELECT * FROM wordless))
+ SELECT label, told, count(*) AS texts FROM placed WHERE place = 1 GROUP BY ALL""",
     "score_fallback": f"""WITH {RAW}, flaky AS (SELECT id,
  coalesce(regexp_matches(raw_text, '{SOLID}'), false) AS filled, coalesce(length(raw_text) % 2, 0) = 0 AS fine
  FROM raw_posts), each AS (SELECT id, filled AND NOT fine AS scoring_failed, filled AND fine AS ok FROM flaky)

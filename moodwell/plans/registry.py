@@ -15,6 +15,7 @@ from moodwell.functions.symbols import compose, name_symbols
 from moodwell.operators import (
     batches,
     cleaning,
+    emotion_training,
     explorer,
     ingest,
     language,
@@ -458,6 +459,34 @@ def score_lexicon(spark, sf_dir):
     )
 
 
+LEARNED, LEFT_OUT = "id % 5 <> 4", "id % 5 = 4"
+
+
+@query
+def emotion_profile(spark, sf_dir):
+    """What seed words teach of all words: a cost per emotion and bucket, from four fifths of the texts."""
+    labelled = emotion_training.weak_labels(texts(spark, sf_dir).where(LEARNED), "text")
+    profile = emotion_training.emotion_profile(labelled)
+    return profile.select(
+        "label", F.col("prior").cast("bigint").alias("prior"), F.posexplode("costs").alias("bucket", "cost")
+    ).select(
+        "label", "prior", F.col("bucket").cast("bigint").alias("bucket"), F.col("cost").cast("bigint").alias("cost")
+    )
+
+
+@query
+def emotion_agreement(spark, sf_dir):
+    """How the trained model labels the fifth of the texts that it did not learn from."""
+    rows = texts(spark, sf_dir)
+    labelled = emotion_training.weak_labels(rows.where(LEARNED), "text")
+    model = emotion_training.load_emotions(emotion_training.emotion_profile(labelled))
+    judged = emotion_training.with_costs(
+        emotion_training.weak_labels(rows.where(LEFT_OUT), "text"), model, "words", "costs"
+    )
+    told = judged.withColumn("told", emotion_training.cheapest(F.col("costs"), model.labels))
+    return told.groupBy("label", "told").agg(F.count("*").alias("texts"))
+
+
 @query
 def score_fallback(spark, sf_dir):
     """Scores with a scorer that fails on half of the posts."""
