@@ -29,6 +29,14 @@ MIXED_FROM = 0.2
 
 MAX_LANGUAGES = 1000
 
+#: Pairs of letters in a part of a text, the last of which takes what is left over, and by how
+#: much a part has to prefer another language than the text's, to count for that.
+PART_PAIRS = 128
+PART_MARGIN = 10_000
+
+# Fixed value: the label of text in no known language.
+UNKNOWN = "und"
+
 
 def letters_only(text: Column) -> Column:
     """Lower-cased text with each run of non-letters as one space."""
@@ -121,6 +129,42 @@ def pair_scorer(costs: list[list[int]]) -> Callable[[Column], Column]:
     return F.pandas_udf(score, T.ArrayType(T.LongType()))
 
 
+PARTED = "struct<costs: array<long>, pairs: long, other: double>"
+
+
+def part_scorer(costs: list[list[int]]) -> Callable[[Column], Column]:
+    """Column function from letters to the costs, how many pairs there are, and the share of them in
+    parts that clearly prefer one other language; null without a pair."""
+    buckets, read, size, margin = BUCKETS, _pair_reader(), PART_PAIRS, PART_MARGIN
+    table = np.array(costs, dtype=np.int64).reshape(len(costs), buckets)
+    table = np.hstack([table, np.zeros((len(costs), 1), dtype=np.int64)])
+
+    def score(letters: pd.Series) -> pd.DataFrame:
+        out = pd.DataFrame({"costs": [None] * len(letters), "pairs": 0, "other": 0.0}, dtype=object)
+        known = np.flatnonzero(letters.notna().to_numpy())
+        texts = letters.iloc[known].tolist()
+        for first, last, pairs, starts in read(texts):
+            held = np.add.reduceat((pairs < buckets).astype(np.int64), starts)
+            parts = np.maximum(1, held // size)
+            opens = np.cumsum(parts) - parts
+            owner = np.repeat(np.arange(len(parts)), parts)
+            place = np.arange(len(owner)) - opens[owner]
+            sums = np.stack([np.add.reduceat(row[pairs], starts[owner] + place * size) for row in table], axis=1)
+            whole = np.add.reduceat(sums, opens, axis=0)
+            best, wins = whole.argmin(axis=1), sums.argmin(axis=1)
+            each = np.arange(len(owner))
+            clear = sums[each, best[owner]] - sums[each, wins] > margin
+            inside = np.where(place == parts[owner] - 1, held[owner] - place * size, size)
+            others = np.zeros(whole.shape, dtype=np.int64)
+            np.add.at(others, (owner[clear], wins[clear]), inside[clear])
+            for at, n, row, most in zip(known[first:last], held, whole, others.max(axis=1)):
+                if n:
+                    out.iat[at, 0], out.iat[at, 1], out.iat[at, 2] = row.tolist(), int(n), float(most / n)
+        return out
+
+    return F.pandas_udf(score, PARTED)
+
+
 def language_costs(costs: Column, langs: list[str]) -> Column:
     """``struct(cost, lang)`` per language, the most likely first."""
     names = F.array(*[F.lit(lang) for lang in langs])

@@ -1,8 +1,8 @@
 """Training and use of language profiles."""
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from moodwell.functions.language import (
@@ -11,11 +11,13 @@ from moodwell.functions.language import (
     MAX_LANGUAGES,
     MIXED_FROM,
     PAIR_COUNTS,
+    UNKNOWN,
     bucket_cost,
     language_costs,
     letters_only,
     pair_counter,
     pair_scorer,
+    part_scorer,
     second_share,
 )
 from moodwell.operators.once import compute_once
@@ -23,10 +25,14 @@ from moodwell.operators.once import compute_once
 
 @dataclass(frozen=True)
 class LanguageModel:
-    """Languages and their bucket costs: at most 3 MB for all two-letter codes."""
+    """Languages and their bucket costs: at most 3 MB for all two-letter codes.
+
+    Text whose pairs cost more than ``limit`` on average is in no known language.
+    """
 
     langs: list[str]
     costs: list[list[int]]
+    limit: int | None = None
 
 
 def pair_counts(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -83,6 +89,34 @@ def with_language_costs(
     return compute_once(df.withColumn(out, language_costs(costs, model.langs)), out)
 
 
+def _with_parts(df: DataFrame, model: LanguageModel, text_col: str) -> DataFrame:
+    """Add ``_ranked`` (the costs, most likely first), ``_pairs`` and ``_other``."""
+    found = compute_once(
+        df.withColumn("_parts", part_scorer(model.costs)(letters_only(F.col(text_col)))), "_parts"
+    )
+    ranked = language_costs(F.col("_parts.costs"), model.langs)
+    added = {"_ranked": ranked, "_pairs": F.col("_parts.pairs"), "_other": F.col("_parts.other")}
+    return found.withColumns(added).drop("_parts")
+
+
+def _best() -> Column:
+    return F.get("_ranked", F.lit(0))
+
+
+def with_limit(
+    model: LanguageModel, texts: DataFrame, text_col: str = "text", kept: float = 0.995
+) -> LanguageModel:
+    """The model with the least limit that accepts this share of some texts in its languages, which
+    should not be those that it learned from. An action."""
+    costs = _with_parts(texts.select(text_col), model, text_col).where("_pairs > 0")
+    each = costs.groupBy(F.floor(_best()["cost"] / F.col("_pairs")).alias("cost")).agg(F.count("*").alias("n"))
+    # One row for each cost of a pair, some ten thousand at most, whatever the number of texts.
+    up_to = F.sum("n").over(Window.orderBy("cost").rowsBetween(Window.unboundedPreceding, 0))
+    every = F.sum("n").over(Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    enough = each.withColumns({"up_to": up_to, "every": every}).where(F.col("up_to") >= kept * F.col("every"))
+    return replace(model, limit=enough.agg(F.min("cost")).first()[0])
+
+
 def detect_language(
     df: DataFrame,
     model: LanguageModel,
@@ -90,23 +124,21 @@ def detect_language(
     language_col: str = "language",
     mixed_col: str = "mixed_language",
 ) -> DataFrame:
-    """Most likely language and whether a second one is likely too.
+    """Most likely language, and whether a second one is likely too: for the text as a whole, or
+    for parts of it that make up as much of it.
 
-    Text without a pair of letters counts as the default language, not mixed.
+    Text without a pair of letters counts as the default language, not mixed; text beyond
+    the model's limit, if it has one, is in an unknown language.
     """
+    language = F.coalesce(_best()["lang"], F.lit(DEFAULT_LANGUAGE))
+    if model.limit is not None:
+        foreign = F.floor(_best()["cost"] / F.col("_pairs")) > model.limit
+        language = F.when(foreign, F.lit(UNKNOWN)).otherwise(language)
+    mixed = (second_share(F.col("_ranked")) > MIXED_FROM) | (F.col("_other") > MIXED_FROM)
     return (
-        with_language_costs(df, model, text_col, "_costs")
-        .withColumns(
-            {
-                language_col: F.coalesce(
-                    F.get("_costs", F.lit(0))["lang"], F.lit(DEFAULT_LANGUAGE)
-                ),
-                mixed_col: F.coalesce(
-                    second_share(F.col("_costs")) > MIXED_FROM, F.lit(False)
-                ),
-            }
-        )
-        .drop("_costs")
+        _with_parts(df, model, text_col)
+        .withColumns({language_col: language, mixed_col: F.coalesce(mixed, F.lit(False))})
+        .drop("_ranked", "_pairs", "_other")
     )
 
 

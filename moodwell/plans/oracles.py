@@ -2,7 +2,7 @@
 
 from moodwell.functions import emotion_words
 from moodwell.functions.emotions import default_lexicon
-from moodwell.functions.language import BUCKETS, MIXED_FROM
+from moodwell.functions.language import BUCKETS, MIXED_FROM, PART_MARGIN, PART_PAIRS
 from moodwell.functions.rules import ENTITIES, NOISE_TAGS, SHORT_WORDS
 from moodwell.functions.symbols import EMOJI_NAMES
 from moodwell.operators.ingest import SIMPLE_EMOJI
@@ -136,14 +136,16 @@ def pairs(name: str, source: str, key: str, text: str) -> str:
     """Relation of ``key`` and the bucket of each pair of neighbouring letters."""
     chars = f"string_split({gsub(f'lower({text})', '[^\\p{L}]+', ' ')}, '')"
     return f"""{name}_chars AS (SELECT {key}, {chars} AS ch FROM {source}),
-{name} AS (SELECT {key}, (unicode(z[1]) * 257 + unicode(z[2])) % {BUCKETS} AS bucket
- FROM (SELECT {key}, unnest(list_zip(ch[1:len(ch) - 1], ch[2:len(ch)])) AS z
+{name} AS (SELECT {key}, (unicode(z[1]) * 257 + unicode(z[2])) % {BUCKETS} AS bucket, z[3] AS place
+ FROM (SELECT {key}, unnest(list_zip(ch[1:len(ch) - 1], ch[2:len(ch)], range(len(ch) - 1))) AS z
   FROM {name}_chars WHERE len(ch) >= 2))"""
 
 
 COST = f"CAST(round(-1000 * ln((n + 1) / (total + {BUCKETS}))) AS BIGINT)"
 
-PROFILE = f"""{pairs('train', 'documents', 'lang', 'text')},
+def profile(source: str) -> str:
+    """Relation ``profile``: what the rows of ``source`` with their ``lang`` teach."""
+    return f"""{pairs('train', source, 'lang', 'text')},
 seen AS (SELECT lang, bucket, count(*) AS n FROM train GROUP BY ALL),
 totals AS (SELECT lang, sum(n) AS total FROM seen GROUP BY ALL),
 profile AS (SELECT lang, b.bucket, {COST} AS cost
@@ -152,16 +154,29 @@ profile AS (SELECT lang, b.bucket, {COST} AS cost
   LEFT JOIN seen USING (lang, bucket)) b)"""
 
 
+PROFILE = profile("documents")
+
+
 def ranked(source: str, key: str, text: str) -> str:
-    """Costs per key and language, then language and the mixed flag per key."""
+    """Costs per key and language, then language, cost of a pair and the mixed flag per key."""
     return f"""{pairs('found', source, key, text)},
-costs AS (SELECT {key}, lang, CAST(sum(cost) AS BIGINT) AS cost
- FROM found JOIN profile USING (bucket) GROUP BY ALL),
+sized AS (SELECT {key}, count(*) AS held FROM found GROUP BY ALL),
+part_costs AS (SELECT {key}, lang, least(place // {PART_PAIRS}, greatest(1, held // {PART_PAIRS}) - 1) AS part,
+ CAST(sum(cost) AS BIGINT) AS cost, count(*) AS inside
+ FROM found JOIN sized USING ({key}) JOIN profile USING (bucket) GROUP BY ALL),
+costs AS (SELECT {key}, lang, CAST(sum(cost) AS BIGINT) AS cost FROM part_costs GROUP BY ALL),
 places AS (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY cost, lang) AS place,
  min(cost) OVER (PARTITION BY {key}) AS best FROM costs),
+wins AS (SELECT *, row_number() OVER (PARTITION BY {key}, part ORDER BY cost, lang) AS part_place FROM part_costs),
+others AS (SELECT {key}, w.lang, sum(w.inside) AS inside FROM wins w JOIN places p USING ({key})
+ JOIN part_costs c USING ({key}, part) WHERE part_place = 1 AND p.place = 1 AND c.lang = p.lang
+ AND c.cost - w.cost > {PART_MARGIN} GROUP BY ALL),
+most AS (SELECT {key}, max(inside) AS other FROM others GROUP BY ALL),
 detected AS (SELECT {key}, max(CASE WHEN place = 1 THEN lang END) AS language,
+ any_value(best // held) AS pair_cost,
  sum(CASE WHEN place = 2 THEN exp((best - cost) / 1000e0) END) / sum(exp((best - cost) / 1000e0))
- > {MIXED_FROM}e0 AS mixed_language FROM places GROUP BY ALL)"""
+ > {MIXED_FROM}e0 OR coalesce(any_value(other) / any_value(held), 0) > {MIXED_FROM}e0 AS mixed_language
+ FROM places JOIN sized USING ({key}) LEFT JOIN most USING ({key}) GROUP BY {key})"""
 
 
 def cleaning(source: str, text: str, detect: str = "") -> str:
@@ -419,9 +434,24 @@ ORACLES: dict[str, str] = {
     "langid_mixed": f"""WITH {TEXTS}, {PROFILE}, keyed AS (SELECT origin || id AS k, * FROM texts),
  {ranked('keyed', 'k', 'text')} SELECT origin, id, coalesce(language, 'en') AS language,
  coalesce(mixed_language, false) AS mixed_language FROM keyed LEFT JOIN detected USING (k)""",
-    "langid_confusion": f"""WITH {PROFILE}, {ranked('documents', 'doc_id', 'text')}
+    "langid_confusion": f"""WITH learned AS (SELECT * FROM documents WHERE doc_id % 5 <> 4),
+ judged AS (SELECT * FROM documents WHERE doc_id % 5 = 4), {profile('learned')},
+ {ranked('judged', 'doc_id', 'text')}
  SELECT lang, coalesce(language, 'en') AS language, count(*) AS posts
- FROM documents LEFT JOIN detected USING (doc_id) GROUP BY ALL""",
+ FROM judged LEFT JOIN detected USING (doc_id) GROUP BY ALL""",
+    "langid_joined": f"""WITH {PROFILE}, both_texts AS (SELECT a.doc_id, a.lang <> b.lang AS differ,
+  a.text || ' ' || b.text AS text FROM documents a JOIN documents b ON b.doc_id = a.doc_id + 1),
+ {ranked('both_texts', 'doc_id', 'text')}
+ SELECT doc_id, differ, coalesce(language, 'en') AS language, coalesce(mixed_language, false) AS mixed_language
+ FROM both_texts LEFT JOIN detected USING (doc_id)""",
+    "langid_unknown": f"""WITH learned AS (SELECT * FROM documents WHERE doc_id % 5 <> 4 AND lang IN ('en', 'fr')),
+ {profile('learned')}, {ranked('documents', 'doc_id', 'text')},
+ each AS (SELECT pair_cost, count(*) AS n FROM detected JOIN documents USING (doc_id)
+  WHERE doc_id % 5 = 4 AND lang IN ('en', 'fr') GROUP BY ALL),
+ bound AS (SELECT min(pair_cost) AS most FROM (SELECT pair_cost, sum(n) OVER () AS every,
+  sum(n) OVER (ORDER BY pair_cost) AS up_to FROM each) WHERE up_to >= 0.995e0 * every)
+ SELECT doc_id, lang, CASE WHEN pair_cost > most THEN 'und' ELSE coalesce(language, 'en') END AS language
+ FROM documents LEFT JOIN detected USING (doc_id) CROSS JOIN bound""",
     # Emotions
     "score_lexicon": f"""WITH {TEXTS}, {lexicon_score('texts', 'origin, id', 'text')}
  SELECT origin, id, emotion_label, confidence, {SEVEN} FROM labelled""",

@@ -438,10 +438,34 @@ def langid_mixed(spark, sf_dir):
     return found.select("origin", "id", "language", "mixed_language")
 
 
+@query
+def langid_joined(spark, sf_dir):
+    """Every document with the next one behind it, half of which are in two languages."""
+    documents = read_table(spark, sf_dir, "documents")
+    after = documents.select((F.col("doc_id") - 1).alias("doc_id"), F.col("lang").alias("second"), F.col("text").alias("more"))
+    both = documents.join(after, "doc_id").select(
+        "doc_id", (F.col("lang") != F.col("second")).alias("differ"), F.concat("text", F.lit(" "), "more").alias("text")
+    )
+    found = language.detect_language(both, trained(spark, sf_dir))
+    return found.select("doc_id", "differ", "language", "mixed_language")
+
+
+@query
+def langid_unknown(spark, sf_dir):
+    """A model of two languages on documents in four: the others are in no known language."""
+    documents = read_table(spark, sf_dir, "documents")
+    known = documents.where("lang IN ('en', 'fr')")
+    model = language.load_model(language.train_profile(known.where("doc_id % 5 <> 4")))
+    model = language.with_limit(model, known.where("doc_id % 5 = 4"))
+    return language.detect_language(documents, model).select("doc_id", "lang", "language")
+
+
 @query
 def langid_confusion(spark, sf_dir):
+    """Given and detected languages of the fifth of the documents that the model did not learn from."""
     documents = read_table(spark, sf_dir, "documents")
-    found = language.detect_language(documents, trained(spark, sf_dir))
+    model = language.load_model(language.train_profile(documents.where("doc_id % 5 <> 4")))
+    found = language.detect_language(documents.where("doc_id % 5 = 4"), model)
     return language.language_confusion(found)
 
 
