@@ -18,6 +18,7 @@ from moodwell.sources.keys import keyed_posts
 from moodwell.sources.tables import (
     append_posts,
     empty_batch,
+    empty_table,
     ensure_table,
     overwrite_batches,
     read_posts,
@@ -93,6 +94,15 @@ def run_assignment(
     return moved
 
 
+def batches_of(posts: DataFrame, keys: DataFrame) -> DataFrame:
+    """The posts of the batches that ``keys`` name; only their folders are read, unless there are many."""
+    names = keys.select("batch_id").distinct()
+    few = names.limit(MAX_NAMED_BATCHES + 1).collect()
+    if len(few) <= MAX_NAMED_BATCHES:
+        return posts.where(F.col("batch_id").isin([r.batch_id for r in few]))
+    return posts.join(names, "batch_id", "left_semi")
+
+
 def pick(posts: DataFrame, wanted: DataFrame, name: str) -> DataFrame:
     """The posts whose ``id`` and ``batch_id`` are wanted, without a shuffle if these are few.
 
@@ -105,9 +115,7 @@ def pick(posts: DataFrame, wanted: DataFrame, name: str) -> DataFrame:
     wanted.select("id", "batch_id").write.parquet(path)
     keys = spark.read.schema("id bigint, batch_id string").parquet(path)
     few = keys.limit(MAX_SENT_KEYS + 1).count() <= MAX_SENT_KEYS
-    batches = keys.select("batch_id").distinct().limit(MAX_NAMED_BATCHES + 1).collect()
-    if len(batches) <= MAX_NAMED_BATCHES:
-        posts = posts.where(F.col("batch_id").isin([r.batch_id for r in batches]))
+    posts = batches_of(posts, keys)
     return posts.join(F.broadcast(keys) if few else keys, ["id", "batch_id"], "left_semi")
 
 
@@ -136,11 +144,9 @@ def run_cleaning(
 def drop_scores(spark: SparkSession, enriched_path: str, batch_id: str | None) -> int:
     """Remove the scores of a batch, or of all, whose posts are cleaned anew; returns how many."""
     ensure_table(spark, enriched_path, ENRICHED_POSTS)
-    scores = in_batch(read_posts(spark, enriched_path, ENRICHED_POSTS), batch_id)
-    names = [batch_id] if batch_id is not None else [
-        r.batch_id for r in scores.select("batch_id").distinct().collect()
-    ]
-    return sum(empty_batch(spark, enriched_path, ENRICHED_POSTS, name) for name in names)
+    if batch_id is not None:
+        return empty_batch(spark, enriched_path, ENRICHED_POSTS, batch_id)
+    return empty_table(spark, enriched_path, ENRICHED_POSTS)
 
 
 def run_analysis(
@@ -180,9 +186,12 @@ def run_all(
     scorer: Scorer | None = None,
     reclean: bool = False,
 ) -> dict:
-    """Clean, then score a batch or, without one, whatever is left to do; all anew with ``reclean``."""
-    cleaned = run_cleaning(spark, raw_path, cleaned_path, batch_id, at, model, reclean)
+    """Clean, then score a batch or, without one, whatever is left to do; all anew with ``reclean``.
+
+    Old scores go first: if the run stops, posts without scores are left, which a later run sees.
+    """
     if reclean:
         drop_scores(spark, enriched_path, batch_id)
+    cleaned = run_cleaning(spark, raw_path, cleaned_path, batch_id, at, model, reclean)
     scored = run_analysis(spark, cleaned_path, enriched_path, batch_id, at, scorer)
     return {**cleaned, **scored}

@@ -594,3 +594,5 @@ ORACLES["score_model_stub"] = f"""WITH vowels AS (SELECT conv_id, turn, {VOWELS}
   round(i / total, 4) AS fear, 0e0 AS disgust, round(o / total, 4) AS sadness, 0e0 AS surprise,
   round(u / total, 4) AS neutral FROM sums),
  {labelled('scored')} SELECT conv_id, turn, emotion_label, confidence, {SEVEN} FROM labelled"""
+
+ORACLES["delete_stored_batch"] = ORACLES["delete_batch_cascade"]

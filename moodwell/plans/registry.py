@@ -24,7 +24,7 @@ from moodwell.operators import (
     scoring,
 )
 from moodwell.operators.cleaning import clean_posts
-from moodwell.plans import flow
+from moodwell.plans import deletion, flow
 from moodwell.plans.testviews import cleaned_posts, enriched_posts, raw_posts, read_table
 from moodwell.schemas import CLEANED_POSTS, COMMENTS, EMOTIONS, ENRICHED_POSTS, RAW_POSTS
 from moodwell.session import work_folder
@@ -189,12 +189,31 @@ def delete_batch_cascade(spark, sf_dir):
     left = batches.drop_batch(
         raw_posts(spark, sf_dir), cleaned_posts(spark, sf_dir), enriched_posts(spark, sf_dir), "src3"
     )
+    return remaining(left[:3], left[3])
+
+
+@query
+def delete_stored_batch(spark, sf_dir):
+    """The same, from stored tables."""
+    folder = work_folder(spark, "deletion")
+    views = [raw_posts(spark, sf_dir), cleaned_posts(spark, sf_dir), enriched_posts(spark, sf_dir)]
+    paths = [f"{folder}/{name}" for name in ("raw", "cleaned", "enriched")]
+    for view, path in zip(views, paths):
+        append_posts(view, path)
+    gone = deletion.run_deletion(spark, *paths, "src3")
+    schemas = [RAW_POSTS, CLEANED_POSTS, ENRICHED_POSTS]
+    left = [read_posts(spark, path, schema) for path, schema in zip(paths, schemas)]
+    return remaining(left, spark.createDataFrame([gone], "raw_deleted long, cleaned_deleted long"))
+
+
+def remaining(left, counts):
+    """What is left of the three tables by batch, and how many rows of the batch went."""
     names = ["raw_posts", "cleaned_posts", "enriched_posts"]
     kept = [
         reports.posts_per_batch(df).select(F.lit(name).alias("item"), "batch_id", "posts")
         for name, df in zip(names, left)
     ]
-    gone = left[3].select(
+    gone = counts.select(
         F.inline(
             F.array(
                 F.struct(F.lit("raw_deleted").alias("item"), F.lit("src3").alias("batch_id"),

@@ -61,6 +61,19 @@ def empty_batch(spark: SparkSession, path: str, schema: T.StructType, batch_id:
     return sum(row.rows for row in folders)
 
 
+def empty_table(spark: SparkSession, path: str, schema: T.StructType) -> int:
+    """Remove all rows of a table, whatever its batches; returns how many. An action."""
+    gone = read_posts(spark, path, schema).count()
+    (
+        spark.createDataFrame([], schema)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy("batch_id")
+        .parquet(path)
+    )
+    return gone
+
+
 def export_csv(df: DataFrame, path: str) -> None:
     """Write a table as CSV with a header; nested columns as JSON. An action."""
     flat = [
