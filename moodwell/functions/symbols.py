@@ -15,6 +15,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from moodwell.functions.chars import char_ranges
+
 # Emoji with a name of their own. The other symbols take their
 # Unicode name. Each name is written with an underscore on either side and a
 # space after it.
@@ -168,6 +170,19 @@ def symbol_class() -> str:
     return "[{}]".format("".join(f"{chr(a)}-{chr(b)}" for a, b in spans))
 
 
+@lru_cache(maxsize=1)
+def unlisted_symbols() -> dict[str, str]:
+    """The symbols that are not in the list, with the names that they get from Unicode."""
+    names = {c: unicodedata.name(c, "") for c in map(chr, range(0xA0, sys.maxunicode + 1)) if is_symbol(c)}
+    return {c: name.lower().replace(" ", "_") for c, name in names.items() if name and c not in EMOJI_NAMES}
+
+
+def find_unlisted(text: Column) -> Column:
+    """Every symbol of a text that is not in the list, one by one."""
+    members = char_ranges(sorted(map(ord, unlisted_symbols())))
+    return F.regexp_extract_all(compose(text), F.lit(f"[{members}]"), F.lit(0))
+
+
 # The UDFs are closures: they travel with the plan, and executors need no copy
 # of this package.
 @lru_cache(maxsize=1)

@@ -4,7 +4,7 @@ from moodwell.functions import emotion_words
 from moodwell.functions.emotions import default_lexicon
 from moodwell.functions.language import BUCKETS, MIXED_FROM, PART_MARGIN, PART_PAIRS
 from moodwell.functions.rules import ENTITIES, NOISE_TAGS, SHORT_WORDS
-from moodwell.functions.symbols import EMOJI_NAMES
+from moodwell.functions.symbols import EMOJI_NAMES, unlisted_symbols
 from moodwell.operators.ingest import SIMPLE_EMOJI
 from moodwell.plans.testviews import CLEANED_SQL, ENRICHED_SQL, RAW_SQL
 from moodwell.schemas import EMOTIONS
@@ -398,8 +398,8 @@ ORACLES: dict[str, str] = {
     "emoji_known": f"""WITH {TEXTS}, named AS (SELECT *, {name_symbols('text')} AS out FROM texts)
  SELECT origin, id, out, coalesce(out <> nfc_normalize(text), false) AS hit FROM named""",
     "emoji_unknown": f"""WITH {TEXTS}, names AS (SELECT * FROM (VALUES
- {', '.join(f"('{s}', '{n}')" for s, n in OTHER_SYMBOLS.items())}) v(symbol, name)),
- uses AS (SELECT unnest(regexp_extract_all(text, '[{''.join(OTHER_SYMBOLS)}]')) AS symbol FROM texts)
+ {', '.join(f"('{s}', '_{n}_')" for s, n in unlisted_symbols().items())}) v(symbol, name)),
+ uses AS (SELECT unnest(string_split(nfc_normalize(text), '')) AS symbol FROM texts)
  SELECT name AS symbol, count(*) AS uses FROM uses JOIN names USING (symbol) GROUP BY ALL""",
     "flag_all_caps": f"""WITH {TEXTS} SELECT origin, id, {letters('text')} AS letters,
  {capitals('text')} AS capitals, {all_caps('text')} AS all_caps FROM texts WHERE text IS NOT NULL

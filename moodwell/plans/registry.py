@@ -11,7 +11,7 @@ from moodwell.functions.chars import is_blank, strip
 from moodwell.functions.emotions import model_scorer
 from moodwell.functions.ids import ingest_batch_id, search_batch_id
 from moodwell.functions.moments import moment
-from moodwell.functions.symbols import compose, name_symbols
+from moodwell.functions.symbols import compose, find_unlisted, name_symbols
 from moodwell.operators import (
     batches,
     cleaning,
@@ -318,13 +318,10 @@ def emoji_known(spark, sf_dir):
 @query
 def emoji_unknown(spark, sf_dir):
     """The symbols without a name of their own, by the name they get."""
-    named = texts(spark, sf_dir).withColumn("s", name_symbols(F.col("text")))
-    found = F.regexp_extract_all(
-        F.col("s.text"), F.lit("_(automobile|copyright_sign|degree_sign)_ "), F.lit(1)
-    )
-    return named.select(F.explode(found).alias("symbol")).groupBy("symbol").agg(
-        F.count("*").alias("uses")
-    )
+    found = texts(spark, sf_dir).select(F.explode(find_unlisted(F.col("text"))).alias("symbol"))
+    uses = found.groupBy("symbol").agg(F.count("*").alias("uses"))
+    named = uses.withColumn("s", name_symbols(F.col("symbol")))
+    return named.select(F.rtrim(F.col("s.text")).alias("symbol"), "uses")
 
 
 @query

@@ -8,8 +8,10 @@ from moodwell.functions.symbols import (
     EMOJI_NAMES,
     SETTLED,
     compose,
+    find_unlisted,
     is_symbol,
     name_symbols,
+    unlisted_symbols,
 )
 
 
@@ -81,3 +83,17 @@ def test_unsettled_is_the_rest(spark):
     df = spark.createDataFrame([(chr(c), c not in settled) for c in codes], "t string, rest boolean")
     found = F.col("t").rlike(NOT_LATIN) & F.col("t").rlike(UNSETTLED)
     assert df.where(found != F.col("rest")).count() == 0
+
+
+def test_every_symbol_without_a_listed_name(spark):
+    members = list(unlisted_symbols())
+    assert len(members) > 5000 and "©" in members and not set(members) & set(EMOJI_NAMES)
+    texts = ["".join(members), "© ©x° 😊❤️\U0001fffe", "é", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    found = [r[0] for r in rows.select(find_unlisted(F.col("text"))).collect()]
+    # Some symbols are written otherwise under NFC.
+    whole = [c for c in unicodedata.normalize("NFC", texts[0]) if c in unlisted_symbols()]
+    assert found == [whole, ["©", "©", "°"], [], None]
+    named = rows.limit(0).sparkSession.createDataFrame([(c,) for c in set(whole)], "c string")
+    told = {r.c: r.s.text for r in named.select("c", name_symbols(F.col("c")).alias("s")).collect()}
+    assert told == {c: f"_{unlisted_symbols()[c]}_ " for c in set(whole)}
