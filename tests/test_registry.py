@@ -1,5 +1,9 @@
 """Every registered query against its SQL on another engine."""
 
+import subprocess
+import sys
+from pathlib import Path
+
 import duckdb
 import pytest
 
@@ -38,3 +42,15 @@ def test_query(spark, other, small, name):
 
 def test_entry(spark):
     assert entry_points.entry(spark).count() == 200
+
+
+def test_other_queries_do_without_the_libraries_of_the_training_operators():
+    code = """
+import sys
+sys.modules["sentencepiece"] = None
+import __spark_entry__ as e
+from moodwell.plans.registry import QUERIES
+assert set(e.queries()) == set(QUERIES), set(e.queries()) ^ set(QUERIES)
+"""
+    root = Path(entry_points.__file__).parent
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True)
