@@ -494,3 +494,12 @@ def test_pipeline(spark, small, texts):
     library = sentencepiece.SentencePieceProcessor(model_file=registry.PIECES)
     for r in out.itertuples():
         assert list(r.ids) == library.encode(r.text, add_eos=True)
+
+
+@pytest.mark.parametrize("known, words", [(5, 0), (11, 10), (12, 12), (13, 12), (100, 62)])
+def test_no_more_words_than_known_are_sent(spark, known, words):
+    """Counts with gaps: a frequent count that does not fit ends the dictionary."""
+    counted = [(f"a{i}", 5) for i in range(10)] + [("b0", 4), ("b1", 4)] + [(f"c{i}", 2) for i in range(50)]
+    counts = spark.createDataFrame([(t.encode(), c) for t, c in counted], "token binary, c long")
+    made = bilinear.make_dictionary(counts, known)
+    assert len(made.words) == words + 1 and made.words[0] == bilinear.END
