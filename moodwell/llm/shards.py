@@ -4,7 +4,7 @@ Records are in order of a hash of their text, then of their id. A size-weighted
 of the hashes gives quantile boundaries of many small ranges; ranges that
 turn out overfull, since one text has many copies, are subdivided by the id's hash. The exact
 size before each range and before each record in it then say which shard a record goes
-to: shard sizes differ by one record at most.
+to: no shard is off the mean by more than one record at either end.
 
 Defined results: a null text has size 1 and counts as empty in its checksum; equal and
 repeated rows are kept, each with a slot of its own; null ids are ordinary ids; an empty

@@ -486,6 +486,21 @@ def test_pipeline_fills_languages(spark, small):
     assert got.where(~hidden).select("doc_id", "lang").exceptAll(docs.select("doc_id", "lang")).isEmpty()
 
 
+def test_pipeline_keeps_columns_with_names_of_results(spark, small):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    names = ["lang_pred", "score", "n_sentences", "n_removed", "_cut_", "class_id"]
+    marked = docs.select("*", *[F.concat(F.lit(f"{n} of "), F.col("doc_id").cast("string")).alias(n) for n in names])
+    for stage in (corpus_pipeline.identify_language, corpus_pipeline.drop_repeats):
+        out = stage(spark, marked, small)
+        assert out.columns == marked.columns
+        got = out.select("doc_id", *names)
+        assert got.exceptAll(marked.select("doc_id", *names)).isEmpty() and not got.isEmpty()
+        plain = stage(spark, docs, small)
+        assert out.select(*docs.columns).exceptAll(plain).isEmpty() and out.count() == plain.count()
+
+
 def test_pipeline(spark, small, texts):
     import corpus_pipeline
 
