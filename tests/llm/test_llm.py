@@ -518,3 +518,51 @@ def test_no_more_words_than_known_are_sent(spark, known, words):
     counts = spark.createDataFrame([(t.encode(), c) for t, c in counted], "token binary, c long")
     made = bilinear.make_dictionary(counts, known)
     assert len(made.words) == words + 1 and made.words[0] == bilinear.END
+
+
+def _plain_repeats(rows):
+    """Runs by their words themselves, looked up in one dictionary; what is left of every text."""
+    seen, left = {}, {}
+    held = {}
+    for row in sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0, _spark_hash[r[1]])):
+        text = row[1] or ""
+        cut = sentences.cut_sentences(text)
+        spans = {(place, parts) for place, parts, _, _ in sentences.run_hashes(text)}
+        for place, parts in sorted(spans):
+            run = tuple(text[cut[place][0] : cut[place + parts - 1][1]].lower().split())
+            if run in seen and seen[run] != (row, place):
+                held.setdefault(row, set()).update(range(place, place + parts))
+            seen.setdefault(run, (row, place))
+    for row in set(rows):
+        cut = sentences.cut_sentences(row[1] or "")
+        gone = held.get(row, set())
+        left[row] = "".join((row[1] or "")[a:b] for i, (a, b, _) in enumerate(cut) if i not in gone), len(gone)
+    return left
+
+
+_spark_hash = {}
+
+
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_all_repeats_go_as_in_a_plain_search(spark, partitions):
+    """Copies, passages within and across texts, a text of one repeated passage, null and equal ids."""
+    rng = np.random.default_rng(11)
+
+    def prose(n, length=9):
+        return " ".join(" ".join("".join(rng.choice(list("abcdefgh"), 5)) for _ in range(length)).capitalize() + "." for _ in range(n))
+
+    shared = [prose(5), prose(3, 30), prose(2, 60).replace(".", "").lower(), prose(1, 200)]
+    rows = [(i, " ".join([prose(int(rng.integers(1, 5))), shared[i % 4], prose(2)])) for i in range(60)]
+    rows += [(100 + i, rows[i][1]) for i in range(12)] + [(200, " ".join([shared[0]] * 4)), (201, None), (202, "")]
+    rows += [(None, prose(4) + shared[1]), (None, prose(3) + shared[1]), (7, rows[7][1]), (8, "x " + rows[7][1])]
+    rows += [(300, f"{shared[0]}\n{shared[0].upper()}")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(partitions)
+    hashes = df.select("text", sentences._text_hash("text").alias("h")).distinct().collect()
+    _spark_hash.update({r.text: r.h or 0 for r in hashes})
+    plain = _plain_repeats(rows)
+    got = sentences.remove_repeats(df).withColumn("was", F.lit(1)).collect()
+    assert len(got) == len(rows)
+    # Rows with one id are told apart by what is left.
+    want = sorted((str(r[0]), plain[r][0], plain[r][1]) for r in rows)
+    assert sorted((str(r.doc_id), r.text or "", r.n_removed) for r in got) == want
+    assert sum(r.n_removed > 0 for r in got) > 50
