@@ -170,7 +170,7 @@ def repeated_runs(df: DataFrame, id_column: str = "doc_id", text_column: str = "
             later = order[(rank[order] != rank[leader]) | (place[order] != place[leader])]
             known = _stretches(docs[later], place[later], parts[later])
             own = batch.column(2).to_numpy()[known[0]]
-            first = order[~same]
+            first = np.sort(order[~same])  # in order of documents, which compresses better
             at = [docs[first], place[first], parts[first]]
             at, place, parts = (np.concatenate(both) for both in zip(at, known, strict=True))
             yield pa.RecordBatch.from_arrays(
