@@ -596,3 +596,5 @@ ORACLES["score_model_stub"] = f"""WITH vowels AS (SELECT conv_id, turn, {VOWELS}
  {labelled('scored')} SELECT conv_id, turn, emotion_label, confidence, {SEVEN} FROM labelled"""
 
 ORACLES["delete_stored_batch"] = ORACLES["delete_batch_cascade"]
+ORACLES["joined_in_place"] = ORACLES["joined_posts"]
+ORACLES["unanalyzed_in_place"] = ORACLES["unanalyzed_posts"]

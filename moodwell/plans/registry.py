@@ -1,5 +1,6 @@
 """One query per operator over the test tables, each on whole tables and texts."""
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 
@@ -28,6 +29,7 @@ from moodwell.plans import deletion, flow
 from moodwell.plans.testviews import cleaned_posts, enriched_posts, raw_posts, read_table
 from moodwell.schemas import CLEANED_POSTS, COMMENTS, EMOTIONS, ENRICHED_POSTS, RAW_POSTS
 from moodwell.session import work_folder
+from moodwell.sources import buckets
 from moodwell.sources.comments import read_comments_csv
 from moodwell.sources.tables import append_posts, export_csv, read_posts
 from moodwell.streaming.incremental import clean_and_score_stream, watch_raw_posts
@@ -650,6 +652,28 @@ def joined_posts(spark, sf_dir):
     )
 
 
+def bucketed(spark: SparkSession, sf_dir: str) -> str:
+    """The three tables in buckets; returns the prefix of their names."""
+    prefix, folder = f"posts_{uuid.uuid4().hex}", work_folder(spark, "buckets")
+    for stage, view in zip(buckets.KEYS, (raw_posts, cleaned_posts, enriched_posts), strict=True):
+        buckets.append_bucketed(view(spark, sf_dir), prefix, stage, 8, folder)
+    return prefix
+
+
+@query
+def joined_in_place(spark, sf_dir):
+    return buckets.joined_in_place(spark, bucketed(spark, sf_dir)).select(
+        "raw_post_id", "batch_id", "raw_text", "keyword", "cleaned_text", "language",
+        "emotion_label", as_number("confidence"), stated("analyzed_at"),
+    )
+
+
+@query
+def unanalyzed_in_place(spark, sf_dir):
+    left = buckets.unanalyzed_in_place(spark, bucketed(spark, sf_dir))
+    return left.select("id", "batch_id", "language", "cleaned_text")
+
+
 @query
 def unanalyzed_by_batch(spark, sf_dir):
     return progress.unanalyzed_by_batch(cleaned_posts(spark, sf_dir), enriched_posts(spark, sf_dir))
