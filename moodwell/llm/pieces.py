@@ -21,7 +21,9 @@ import re
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +35,7 @@ MARK = "▁"
 #: Chunks kept per worker and generation, and the longest chunk worth keeping.
 KEPT_CHUNKS = 300_000
 KEPT_LENGTH = 64
+TEXTS = 200  # texts that are encoded and decoded at a time
 
 
 class Kept(dict):
@@ -253,6 +256,38 @@ def decode_ids(df: DataFrame, model: bytes, column: str = "ids") -> DataFrame:
     return df.withColumn("decoded", text_of(F.col(column)))
 
 
+def encode_and_decode(
+    df: DataFrame, model: bytes, column: str = "text", check: bool = True
+) -> DataFrame:
+    """``df`` with ``ids`` and ``decoded``, as of ``encode_texts`` and ``decode_ids``, in one step.
+
+    Texts are taken TEXTS at a time, and ids are held as an Arrow array, so that a task needs room for
+    those of a few texts only. Columns named like a result are replaced; ``column`` is none of these.
+    """
+    kept = df.drop("ids", "decoded")
+    at = kept.columns.index(column)
+    added = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())]
+    names = [*kept.columns, "ids", "decoded"]
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = codec_of(model, check)
+        for batch in batches:
+            for start in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(start, TEXTS)
+                ids, decoded = [], []
+                for text in part.column(at).to_pylist():
+                    row = [*codec.encode(text or ""), codec.end]
+                    ids.append(np.array(row, dtype=np.int32))
+                    decoded.append(codec.decode(row))
+                codec.compare()
+                offsets = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+                lists = pa.ListArray.from_arrays(offsets, np.concatenate(ids))
+                columns = [*part.columns, lists, pa.array(decoded, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    return kept.mapInArrow(coded, T.StructType([*kept.schema.fields, *added]))
+
+
 def piece_digests(df: DataFrame, model: bytes, column: str = "text", check: bool = True) -> DataFrame:
     """``df`` with ``n_tokens``, ``ids_sha256`` and ``decoded_sha256`` of encoding and decoding.
 

@@ -59,7 +59,12 @@ def test_pieces_equal_the_library(spark, texts, odd):
     path = public_tokenizers.path("piece_bpe_32k.model")
     library = sentencepiece.SentencePieceProcessor(model_file=path)
     model = pieces.read_model(path)
-    rows = pieces.decode_ids(pieces.encode_texts(odd, model), model).collect()
+    apart = pieces.decode_ids(pieces.encode_texts(odd, model), model)
+    rows = apart.collect()
+    both = pieces.encode_and_decode(odd.withColumn("ids", F.lit("x")).repartition(2), model)
+    assert both.columns == apart.columns and both.schema.simpleString() == apart.schema.simpleString()
+    assert sorted(map(str, both.collect())) == sorted(map(str, rows))
+    assert pieces.encode_and_decode(odd.limit(0), model).count() == 0
     for r in rows:
         want = library.encode(r.text or "", add_eos=True)
         assert list(r.ids) == want and r.decoded == library.decode(want)
