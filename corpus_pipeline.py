@@ -56,8 +56,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every text that is left, as ids, and read back from them as ``decoded``."""
     model = pieces.read_model(public_tokenizers.path("piece_bpe_32k.model"))
-    encoded = pieces.encode_texts(docs.select("doc_id", "lang", "source", "text"), model)
-    return pieces.decode_ids(encoded, model)
+    kept = docs.select("doc_id", "lang", "source", "text")
+    return pieces.encode_and_decode(kept, model)
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
