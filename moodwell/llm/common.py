@@ -17,6 +17,10 @@ from moodwell.session import work_folder
 SEPARATORS = "[%s]+" % "".join(f"\\x{c:02x}" for c in range(128) if not chr(c).isalnum())
 #: A side with at most so many rows of fixed width may be sent to every task.
 SENT_ROWS = 200_000
+#: Bits per key of a table that tells which rows may have one, and most bits that are sent (64 MB).
+BITS_PER_KEY = 16
+MOST_BITS = 1 << 29
+PART_BITS = 1 << 15  # what one row of that table holds
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +39,22 @@ def sent_if_small(side: DataFrame, rows: int = SENT_ROWS) -> DataFrame:
     return F.broadcast(side) if side.limit(rows + 1).count() <= rows else side
 
 
+def likely_among(df: DataFrame, keys: DataFrame, column: str) -> DataFrame:
+    """All rows of ``df`` whose ``column`` is among ``keys``, a written table of distinct ones, and
+    a few others: about one in 16, more if there are so many keys that the table of bits is full.
+    No row of ``df`` is moved; what is sent to tasks has a set greatest size."""
+    bits = min(MOST_BITS, max(PART_BITS, BITS_PER_KEY * keys.count()))
+    place = F.pmod(F.xxhash64(column), F.lit(bits))
+    part, bit = F.floor(place / PART_BITS).alias("_part"), F.pmod(place, F.lit(PART_BITS)).alias("_bit")
+    # Dealt first, so that a part is put together in one task, not a share of it in each.
+    dealt = keys.select(part, bit).repartition("_part")
+    parts = dealt.groupBy("_part").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
+    asked = df.withColumn("_part", part).withColumn("_bit", bit.cast("int"))
+    byte = F.conv(F.hex(F.substring("_bits", F.expr("_bit DIV 8 + 1"), F.lit(1))), 16, 10).cast("int")
+    found = asked.join(F.broadcast(parts), "_part").where(F.getbit(byte, F.expr("_bit % 8")) == 1)
+    return found.select(df.columns)
+
+
 def lower_ascii(text: Column) -> Column:
     """A to Z in lower case, all else as it is; ``lower`` does so where all is ASCII, and faster."""
     other = text

@@ -18,6 +18,7 @@ are not read. Copies are put together first, so that no task holds a group of th
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,12 +27,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from moodwell.llm.common import once_per_process, text_key, written
+from moodwell.llm.common import likely_among, once_per_process, text_key, written
 
 SHINGLE = 5
 SKETCHES = 24
 LEAST = 5
 SIMILAR = 0.8
+MATCHES = 8  # per place of two texts, up to which matches are listed
 BLOCK = 250  # members of a bucket that are compared at a time
 
 _TABLE = bytes(
@@ -100,8 +102,36 @@ def sketches(text: str) -> tuple[int, list[int]] | None:
     return len(labelled), total.view(np.int64).tolist()
 
 
+def _matches(a: np.ndarray, b: np.ndarray) -> np.ndarray | None:
+    """Places of b that equal a's, by place of a and then from last to first; None if values repeat
+    so much that there are more than some per place."""
+    values, at = np.unique(b, return_inverse=True)
+    counts = np.bincount(at, minlength=len(values))
+    found = np.minimum(np.searchsorted(values, a), len(values) - 1)
+    each = np.where(values[found] == a, counts[found], 0)
+    if each.sum() > MATCHES * (len(a) + len(b)):
+        return None
+    places = np.lexsort((-np.arange(len(b)), at))  # by value, the last place first
+    starts = np.r_[0, np.cumsum(counts)[:-1]][found]
+    within = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+    return places[np.repeat(starts, each) + within]
+
+
+def _longest_rise(places: np.ndarray) -> int:
+    """The length of the longest strictly rising subsequence."""
+    ends: list[int] = []
+    for place in places.tolist():
+        at = bisect_left(ends, place)
+        if at == len(ends):
+            ends.append(place)
+        else:
+            ends[at] = place
+    return len(ends)
+
+
 def common_length(a: np.ndarray, b: np.ndarray, band: int) -> int:
-    """The longest common subsequence, on diagonals at most ``band`` off the main one."""
+    """The longest common subsequence: as a rising sequence of matches if few values repeat (in time
+    about proportional to the length), else on diagonals at most ``band`` off the main one."""
     n = min(len(a), len(b))
     differ = np.flatnonzero(a[:n] != b[:n])
     head = int(differ[0]) if len(differ) else n
@@ -112,6 +142,9 @@ def common_length(a: np.ndarray, b: np.ndarray, band: int) -> int:
     a, b = a[: len(a) - tail], b[: len(b) - tail]
     if not len(a) or not len(b):
         return head + tail
+    paired = _matches(a, b)
+    if paired is not None:
+        return head + tail + _longest_rise(paired)
     width = 2 * band + 1
     # Column o of row i stands for place i + o - band of b; what is outside of b matches nothing.
     inside = np.zeros(len(a) + width, dtype=bool)
@@ -163,9 +196,11 @@ def sketch_texts(texts: DataFrame) -> DataFrame:
 
 
 def texts_of(keys: DataFrame, texts: DataFrame, name: str) -> DataFrame:
-    """One text for each of the keys, written."""
-    needed = texts.join(keys.distinct(), "key", "left_semi")
-    return written(needed.groupBy("key").agg(F.first("text").alias("text")), name)
+    """One text for each of the keys, written. Other texts, but for a few, are not moved, and of
+    copies each task sends one."""
+    wanted = written(keys.distinct(), f"{name}-keys")
+    single = likely_among(texts, wanted, "key").groupBy("key").agg(F.first("text").alias("text"))
+    return written(single.join(wanted, "key", "left_semi"), name)
 
 
 def verify(pairs: DataFrame, stored: DataFrame) -> DataFrame:

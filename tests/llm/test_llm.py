@@ -26,6 +26,7 @@ from moodwell.llm import (
     shards,
     winnow,
 )
+from moodwell.llm.common import likely_among
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 FIELDS = "doc_id long, text string, lang string, source string, n_chars long, id long, key string, size long, words string"
@@ -571,3 +572,33 @@ def test_all_repeats_go_as_in_a_plain_search(spark, partitions):
     want = sorted((str(r[0]), plain[r][0], plain[r][1]) for r in rows)
     assert sorted((str(r.doc_id), r.text or "", r.n_removed) for r in got) == want
     assert sum(r.n_removed > 0 for r in got) > 50
+
+
+def test_likely_among_loses_no_row(spark, tmp_path):
+    keys = spark.range(0, 40_000, 7).select(F.unhex(F.md5(F.col("id").cast("string"))).alias("key"))
+    keys.write.parquet(f"{tmp_path}/keys")
+    keys = spark.read.parquet(f"{tmp_path}/keys")
+    rows = spark.range(40_000).select("id", F.unhex(F.md5(F.col("id").cast("string"))).alias("key"))
+    got = {r.id for r in likely_among(rows, keys, "key").collect()}
+    wanted = set(range(0, 40_000, 7))
+    assert wanted <= got and len(got - wanted) < 40_000 // 10
+    assert likely_among(rows, keys.limit(0), "key").count() == 0
+
+
+def test_common_length_of_long_texts_is_exact():
+    rng = np.random.default_rng(3)
+    for size, values in ((300, 10_000), (300, 40), (80, 3)):
+        a = rng.integers(0, values, size).astype(np.uint64)
+        b = np.delete(a, rng.integers(0, size, size // 20))
+        b[rng.integers(0, len(b), size // 20)] = 99_999
+        row = [0] * (len(b) + 1)
+        for x in a:
+            row = _next_row(row, x, b)
+        assert ordermin.common_length(a, b, size) == row[-1]
+
+
+def _next_row(row, x, b):
+    new = [0]
+    for j, y in enumerate(b):
+        new.append(row[j] + 1 if x == y else max(row[j + 1], new[j]))
+    return new
