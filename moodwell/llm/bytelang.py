@@ -26,6 +26,7 @@ PAD = 256
 HIDDEN = 8  # in each direction
 PER_LANGUAGE = 400  # sampled documents
 LANGUAGES = 100
+SLICES = 64  # of a language's texts, while the sample is drawn
 WINDOWS_EACH = 8  # of a sampled document
 STEPS, BATCH, RATE = 120, 128, 0.02
 UNKNOWN = "und"
@@ -141,8 +142,9 @@ def train_tagger(
     per_language: int = PER_LANGUAGE,
     languages: int = LANGUAGES,
 ) -> ByteTagger:
-    """A network from a sample of labelled rows; at most ``languages * per_language`` short
-    windows' texts reach the driver."""
+    """A network from a sample of labelled rows: of the ``languages`` labels with most rows (ties:
+    the first by name) ``per_language`` texts each, those of the least hashes; only short windows of
+    these reach the driver. Further labels are not learned, and never predicted."""
     text = F.col(text_column)
     n = F.char_length(text)
     spread = F.transform(
@@ -158,13 +160,16 @@ def train_tagger(
         F.xxhash64(text).alias("h"),
         F.array_distinct(spread).alias("windows"),
     )
-    names = sorted(r.lang for r in rows.groupBy("lang").count().orderBy("lang").limit(languages + 1).collect())
-    if len(names) > languages:
-        raise ValueError(f"more than {languages} languages")
-    # Copies count once, and only hashes travel for that.
-    least = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    drawn = rows.select("lang", "h").distinct().withColumn("place", least)
-    drawn = drawn.where(F.col("place") <= per_language).select("lang", "h")
+    often = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages)
+    names = sorted(r.lang for r in often.collect())
+    rows = rows.where(F.col("lang").isin(names))
+    # Copies count once, and only hashes travel for that. The least of each language are among the
+    # least of its slices, so that no task gets more than what those leave.
+    drawn = rows.select("lang", "h", F.pmod("h", F.lit(SLICES)).alias("slice")).distinct()
+    for by in (["lang", "slice"], ["lang"]):
+        place = F.row_number().over(Window.partitionBy(*by).orderBy("h"))
+        drawn = drawn.withColumn("place", place).where(F.col("place") <= per_language).drop("place")
+    drawn = drawn.select("lang", "h")
     sample = rows.join(F.broadcast(drawn), ["lang", "h"], "left_semi").distinct()
     tagger = ByteTagger(names)
     picked = sorted(sample.select("lang", "h", "windows").collect())

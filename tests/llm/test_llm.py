@@ -602,3 +602,13 @@ def _next_row(row, x, b):
     for j, y in enumerate(b):
         new.append(row[j] + 1 if x == y else max(row[j + 1], new[j]))
     return new
+
+
+def test_more_labels_than_are_learned(spark):
+    rows = [(i, f"abc {i} def" if i % 3 else f"xyz {i} uvw", f"l{i % 3}") for i in range(60)]
+    rows += [(100 + i, f"rare {i}", f"r{i:03}") for i in range(150)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    tagger = bytelang.train_tagger(df, per_language=7, languages=4)
+    assert tagger.languages == ["l0", "l1", "l2", "r000"]
+    seen = {r.lang_pred for r in bytelang.identify(df, tagger).collect()}
+    assert seen <= {"l0", "l1", "l2", "r000"}
