@@ -33,7 +33,7 @@ from moodwell.llm.common import once_per_process
 
 MARK = "▁"
 #: Chunks kept per worker and generation, and the longest chunk worth keeping.
-KEPT_CHUNKS = 300_000
+KEPT_CHUNKS = 100_000
 KEPT_LENGTH = 64
 TEXTS = 200  # texts that are encoded and decoded at a time
 
