@@ -203,7 +203,8 @@ def identify(df: DataFrame, tagger: ByteTagger, text_column: str = "text") -> Da
             yield pd.DataFrame({"lang_pred": pred, "score": score})
 
     lettered = F.when(F.col(text_column).rlike(r"\p{L}"), F.col(text_column))
-    out = df.withColumn("_tagged", tagged(lettered))
+    # So declared, it is run once, not once more in each filter on its results.
+    out = df.withColumn("_tagged", tagged.asNondeterministic()(lettered))
     for name in ("lang_pred", "score"):
         out = out.withColumn(name, F.col(f"_tagged.{name}"))
     return out.drop("_tagged")

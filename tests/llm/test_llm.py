@@ -612,3 +612,10 @@ def test_more_labels_than_are_learned(spark):
     assert tagger.languages == ["l0", "l1", "l2", "r000"]
     seen = {r.lang_pred for r in bytelang.identify(df, tagger).collect()}
     assert seen <= {"l0", "l1", "l2", "r000"}
+
+
+def test_a_filter_on_languages_runs_the_network_once(spark, texts):
+    df = spark.createDataFrame(texts[["doc_id", "text", "lang"]].head(50))
+    found = bytelang.identify(df, bytelang.train_tagger(df)).where(F.col("lang_pred") != bytelang.UNKNOWN)
+    plan = found.select("doc_id", "lang_pred")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
