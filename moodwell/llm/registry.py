@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from moodwell.llm import bilinear, bytelang, chat, licenses, ordermin, pieces, postings, sentences, shards, urlrules, variants, winnow, wordruns
 from moodwell.llm.common import table
-from moodwell.llm.oracles import URL_FILTER_SQL
+from moodwell.llm.oracles import DECONTAMINATE_SQL, URL_FILTER_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -150,4 +150,7 @@ QUERIES: dict[str, Query] = {
         op13_spelling_variants,
     )
 }
-ORACLES: dict[str, str] = {"op11_url_filter": URL_FILTER_SQL}
+ORACLES: dict[str, str] = {
+    "op6_decontaminate": DECONTAMINATE_SQL,
+    "op11_url_filter": URL_FILTER_SQL,
+}

@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pyarrow.parquet as pq
@@ -619,3 +620,16 @@ def test_a_filter_on_languages_runs_the_network_once(spark, texts):
     found = bytelang.identify(df, bytelang.train_tagger(df)).where(F.col("lang_pred") != bytelang.UNKNOWN)
     plan = found.select("doc_id", "lang_pred")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
+
+
+def test_contamination_equals_its_sql(spark, small):
+    engine = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        engine.execute(f"CREATE VIEW {name} AS SELECT * FROM '{small}/{name}.parquet'")
+    said = engine.execute(registry.ORACLES["op6_decontaminate"])
+    names = [d[0] for d in said.description]
+    wanted = sorted(said.fetchall())
+    got = run(spark, "op6_decontaminate", small)
+    assert sorted(got.columns) == sorted(names)
+    assert sorted(got[names].itertuples(index=False, name=None)) == wanted
+    assert any(row[names.index("contaminated")] for row in wanted)
