@@ -26,7 +26,7 @@ PAD = 256
 HIDDEN = 8  # in each direction
 PER_LANGUAGE = 400  # sampled documents
 LANGUAGES = 100
-SLICES = 64  # of a language's texts, while the sample is drawn
+SLICES = (64, 8, 1)  # of a language's texts, in the steps in which the sample is drawn
 WINDOWS_EACH = 8  # of a sampled document
 STEPS, BATCH, RATE = 120, 128, 0.02
 UNKNOWN = "und"
@@ -165,11 +165,10 @@ def train_tagger(
     rows = rows.where(F.col("lang").isin(names))
     # Copies count once, and only hashes travel for that. The least of each language are among the
     # least of its slices, so that no task gets more than what those leave.
-    drawn = rows.select("lang", "h", F.pmod("h", F.lit(SLICES)).alias("slice")).distinct()
-    for by in (["lang", "slice"], ["lang"]):
-        place = F.row_number().over(Window.partitionBy(*by).orderBy("h"))
+    drawn = rows.select("lang", "h").distinct()
+    for slices in SLICES:
+        place = F.row_number().over(Window.partitionBy("lang", F.pmod("h", F.lit(slices))).orderBy("h"))
         drawn = drawn.withColumn("place", place).where(F.col("place") <= per_language).drop("place")
-    drawn = drawn.select("lang", "h")
     sample = rows.join(F.broadcast(drawn), ["lang", "h"], "left_semi").distinct()
     tagger = ByteTagger(names)
     picked = sorted(sample.select("lang", "h", "windows").collect())
