@@ -7,9 +7,12 @@ a table. A run that is repeated with the same posts finds its range again and gi
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from moodwell.session import work_folder
 
+#: Characters of a text by which ranges are told apart.
+HEAD = 16
 RANGES = "batch_id string, checksum long, first long, posts long"
 
 
@@ -26,7 +29,11 @@ def numbered(df: DataFrame, *order: str, name: str = "number") -> DataFrame:
     Each task sorts a range of the rows and counts it; the counts of the ranges before, a number
     for each task, are what its own numbers begin with. Rows that tie may take each other's number.
     """
-    ranged = df.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order)
+    # Spark finds the ranges from rows that it sends to the driver, hundreds for each task. Of a
+    # text its beginning is enough: texts are in the order of their beginnings, or tie there.
+    texts = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
+    bounds = [F.left(F.col(c), F.lit(HEAD)) if c in texts else F.col(c) for c in order]
+    ranged = df.repartitionByRange(*bounds).sortWithinPartitions(*order)
     # Holds the task in the upper bits and the row below; written, it stays.
     placed = stored(ranged.withColumn("_at", F.monotonically_increasing_id()), "numbered")
     part = F.shiftright("_at", 33).alias("_part")

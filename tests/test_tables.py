@@ -1,5 +1,6 @@
 """Stored tables, runs over them and the stream, in folders of their own."""
 
+import re
 from datetime import datetime, timedelta, timezone
 from types import SimpleNamespace
 
@@ -14,6 +15,7 @@ from moodwell.plans import flow
 from moodwell.plans.testviews import raw_posts
 from moodwell.schemas import CLEANED_POSTS, COMMENTS, ENRICHED_POSTS, RAW_POSTS
 from moodwell.session import work_folder
+from moodwell.sources import keys
 from moodwell.sources.comments import read_comments_csv
 from moodwell.sources.tables import (
     append_posts,
@@ -365,3 +367,27 @@ def test_stream_goes_on(spark, tmp_path):
     finally:
         stream.stop()
     assert sorted(r.id for r in read_posts(spark, enriched, ENRICHED_POSTS).collect()) == [1, 2, 3]
+
+
+def test_numbers_follow_whole_texts_while_ranges_come_from_their_beginnings(spark, monkeypatch):
+    """What Spark sends to the driver to find ranges holds no whole text."""
+    kind = type(spark.range(0))
+    ranged, plans = kind.repartitionByRange, []
+
+    def noted(self, *args):
+        out = ranged(self, *args)
+        plans.append(out._jdf.queryExecution().optimizedPlan().toString())
+        return out
+
+    monkeypatch.setattr(kind, "repartitionByRange", noted)
+    rows = [(i, t) for i in (3, None, 1) for t in ("same beginning of a text " * 40 + x for x in "cab")]
+    rows += [(1, None), (1, "same"), (1, "é" * 30), (None, None)]
+    df = spark.createDataFrame(rows, "id long, raw_text string").repartition(5)
+    found = keys.numbered(df, "id", "raw_text")
+    got = [(r.id, r.raw_text) for r in found.orderBy("number").collect()]
+    ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, (r[1] or "").encode()))
+    assert got == ordered
+    assert sorted(r.number for r in found.collect()) == list(range(len(rows)))
+    order = re.search(r"RepartitionByExpression \[(.*?)\]", plans[0]).group(1)
+    assert re.search(r"left\(raw_text#\d+, 16\)|substring\(raw_text", order), order
+    assert not re.search(r"(?<!\()raw_text#\d+ ASC", order)
