@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +35,8 @@ SKETCHES = 24
 LEAST = 5
 SIMILAR = 0.8
 MATCHES = 8  # per place of two texts, up to which matches are listed
+KNOWN_WORDS = 150_000  # whose hashes a worker keeps
+TEXTS = 200  # rows that are read from Arrow at a time
 BLOCK = 250  # members of a bucket that are compared at a time
 
 _TABLE = bytes(
@@ -55,8 +58,8 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def shingle_hashes(words: list[bytes]) -> np.ndarray:
     """A hash per run of five words, or one of all if there are fewer."""
-    known = once_per_process("word-hashes", dict)
-    if len(known) > 500_000:
+    known = once_per_process(("word-hashes",), dict)
+    if len(known) > KNOWN_WORDS:
         known.clear()
     hashes = []
     for word in words:
@@ -186,13 +189,22 @@ def aligned_share(x: np.ndarray, y: np.ndarray) -> float:
 def sketch_texts(texts: DataFrame) -> DataFrame:
     """key and its sketches, of each row with words."""
 
-    def sketched(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            seen = [(key, sketches(text)) for key, text in zip(frame["key"], frame["text"], strict=True)]
-            rows = [(key, *found) for key, found in seen if found is not None]
-            yield pd.DataFrame(rows, columns=["key", "size", "sketches"])
+    def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _in_parts(batches):
+            found = [sketches(text) for text in part.column("text").to_pylist()]
+            at = [i for i, x in enumerate(found) if x is not None]
+            columns = [part.column("key").take(pa.array(at, pa.int64())), pa.array([found[i][0] for i in at], pa.int64())]
+            columns.append(pa.array([found[i][1] for i in at], pa.list_(pa.int64())))
+            yield pa.RecordBatch.from_arrays(columns, ["key", "size", "sketches"])
 
-    return texts.mapInPandas(sketched, "key binary, size long, sketches array<long>")
+    return texts.select("key", "text").mapInArrow(sketched, "key binary, size long, sketches array<long>")
+
+
+def _in_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A few rows at a time, so that few texts stand in memory as Python holds them."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, TEXTS):
+            yield batch.slice(start, TEXTS)
 
 
 def texts_of(keys: DataFrame, texts: DataFrame, name: str) -> DataFrame:
@@ -206,17 +218,16 @@ def texts_of(keys: DataFrame, texts: DataFrame, name: str) -> DataFrame:
 def verify(pairs: DataFrame, stored: DataFrame) -> DataFrame:
     """The pairs (a, b) with ``alike``, from their texts."""
 
-    def aligned(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            alike = [
-                similarity(x, y) >= SIMILAR
-                for x, y in zip(frame["text_a"], frame["text_b"], strict=True)
-            ]
-            yield frame[["a", "b"]].assign(alike=alike)
+    def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _in_parts(batches):
+            left, right = (part.column(c).to_pylist() for c in ("text_a", "text_b"))
+            alike = [similarity(x, y) >= SIMILAR for x, y in zip(left, right, strict=True)]
+            columns = [part.column("a"), part.column("b"), pa.array(alike, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(columns, ["a", "b", "alike"])
 
     left = stored.select(F.col("key").alias("a"), F.col("text").alias("text_a"))
     right = stored.select(F.col("key").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(left, "a").join(right, "b").mapInPandas(
+    return pairs.join(left, "a").join(right, "b").mapInArrow(
         aligned, "a binary, b binary, alike boolean"
     )
 

@@ -2,9 +2,12 @@
 
 import hashlib
 import math
+import random
 import re
+import sys
 import zlib
 from collections import Counter
+from types import ModuleType
 
 import duckdb
 import numpy as np
@@ -27,7 +30,7 @@ from moodwell.llm import (
     shards,
     winnow,
 )
-from moodwell.llm.common import likely_among
+from moodwell.llm.common import likely_among, once_per_process
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 FIELDS = "doc_id long, text string, lang string, source string, n_chars long, id long, key string, size long, words string"
@@ -633,3 +636,13 @@ def test_contamination_equals_its_sql(spark, small):
     assert sorted(got.columns) == sorted(names)
     assert sorted(got[names].itertuples(index=False, name=None)) == wanted
     assert any(row[names.index("contaminated")] for row in wanted)
+
+
+def test_a_worker_keeps_things_of_one_kind(monkeypatch):
+    monkeypatch.setitem(sys.modules, "_moodwell_held", ModuleType("_moodwell_held"))
+    first = once_per_process(("pieces", 1), list)
+    assert once_per_process(("pieces", 2), list) is not first
+    assert once_per_process(("pieces", 1), list) is first
+    once_per_process(("word-hashes",), dict)
+    held = [k for k in vars(sys.modules["_moodwell_held"]) if isinstance(k, tuple)]
+    assert held == [("word-hashes",)]
