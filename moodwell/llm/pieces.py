@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 
@@ -36,6 +37,7 @@ MARK = "▁"
 KEPT_CHUNKS = 100_000
 KEPT_LENGTH = 64
 TEXTS = 200  # texts that are encoded and decoded at a time
+SHORT = 40  # symbols of a chunk up to which its agenda is a plain list
 
 
 class Kept(dict):
@@ -85,18 +87,21 @@ class PieceCodec:
         self.unchecked: list[tuple[str, tuple[int, ...]]] = []
 
     def _index_merges(self) -> None:
-        """For each piece, the pieces that it makes with those behind it; ranks by score."""
+        """For each piece, the pieces that it makes with those behind it, under their ranks by score."""
         order = sorted({-score for score in self.scores.values()})
         rank_of = {score: rank for rank, score in enumerate(order)}
-        self.rank = [0] * len(self.spelled)
+        self.bits = len(self.spelled).bit_length()
         # One more row, for characters that are no piece.
         self.joined: list[dict[int, int]] = [{} for _ in range(len(self.spelled) + 1)]
         for piece, i in self.ids.items():
-            self.rank[i] = rank_of[-self.scores[piece]]
+            ranked = rank_of[-self.scores[piece]] << self.bits | i
             for cut in range(1, len(piece)):
                 left, right = self.ids.get(piece[:cut]), self.ids.get(piece[cut:])
                 if left is not None and right is not None:
-                    self.joined[left][right] = i
+                    self.joined[left][right] = ranked
+        made = {ranked for row in self.joined for ranked in row.values()}
+        often = Counter(ranked >> self.bits for ranked in made)
+        self.tied = {ranked for ranked in made if often[ranked >> self.bits] > 1}
 
     def _chunk_pattern(self) -> str:
         """Cuts a text where no piece reaches over: at marks, line feeds and signs after letters."""
@@ -112,9 +117,39 @@ class PieceCodec:
         return "|".join([*cuts, f"{MARK}*[^{MARK}{line}]+", f"{MARK}+"])
 
     def merge(self, chunk: str) -> tuple[int, ...]:
-        """The ids of a chunk, by the agenda; an entry is a rank and the left symbol's place."""
-        joined, rank, unknown = self.joined, self.rank, len(self.spelled)
+        """The ids of a chunk, by the agenda."""
+        unknown = len(self.spelled)
         symbols = [self.ids.get(c, unknown) for c in chunk]
+        if len(symbols) <= SHORT and unknown not in symbols:
+            return self._merge_short(symbols)
+        return self._merge_long(chunk, symbols)
+
+    def _merge_short(self, symbols: list[int]) -> tuple[int, ...]:
+        """The agenda as a list by place: what each symbol makes with the next one, under its rank."""
+        joined, tied, piece_of = self.joined, self.tied, (1 << self.bits) - 1
+        none = len(self.spelled) << self.bits
+        agenda = [joined[a].get(b, none) for a, b in zip(symbols, symbols[1:], strict=False)]
+        while agenda:
+            best = min(agenda)
+            if best == none:
+                break
+            i = agenda.index(best)  # the leftmost of equals
+            if best in tied:
+                rank = best >> self.bits
+                i = next(k for k, ranked in enumerate(agenda) if ranked >> self.bits == rank)
+                best = agenda[i]
+            piece = symbols[i] = best & piece_of
+            del symbols[i + 1], agenda[i]
+            if i < len(agenda):
+                agenda[i] = joined[piece].get(symbols[i + 1], none)
+            if i:
+                agenda[i - 1] = joined[symbols[i - 1]].get(piece, none)
+        return tuple(symbols)
+
+    def _merge_long(self, chunk: str, symbols: list[int | None]) -> tuple[int, ...]:
+        """The agenda as a heap; an entry is a rank and the left symbol's place."""
+        joined, bits, unknown = self.joined, self.bits, len(self.spelled)
+        piece_of = (1 << bits) - 1
         n = len(symbols)
         shift = n.bit_length()
         places = (1 << shift) - 1
@@ -122,9 +157,9 @@ class PieceCodec:
         agenda = []
         i, left = 0, symbols[0]
         for right in symbols[1:]:
-            piece = joined[left].get(right)
-            if piece is not None:
-                agenda.append(rank[piece] << shift | i)
+            ranked = joined[left].get(right)
+            if ranked is not None:
+                agenda.append(ranked >> bits << shift | i)
             i, left = i + 1, right
         heapify(agenda)
         while agenda:
@@ -133,21 +168,22 @@ class PieceCodec:
             j = after[i]
             if j == n or symbols[i] is None:
                 continue
-            piece = joined[symbols[i]].get(symbols[j])
-            if piece is None or rank[piece] != entry >> shift:
+            ranked = joined[symbols[i]].get(symbols[j])
+            if ranked is None or ranked >> bits != entry >> shift:
                 continue  # either symbol has been joined to another meanwhile
+            piece = ranked & piece_of
             symbols[i], symbols[j] = piece, None
             j = after[i] = after[j]
             if j < n:
                 before[j] = i
                 longer = joined[piece].get(symbols[j])
                 if longer is not None:
-                    heappush(agenda, rank[longer] << shift | i)
+                    heappush(agenda, longer >> bits << shift | i)
             j = before[i]
             if j >= 0:
                 longer = joined[symbols[j]].get(piece)
                 if longer is not None:
-                    heappush(agenda, rank[longer] << shift | j)
+                    heappush(agenda, longer >> bits << shift | j)
         if unknown not in symbols:
             return tuple([s for s in symbols if s is not None])
         out: list[int] = []

@@ -638,6 +638,19 @@ def test_contamination_equals_its_sql(spark, small):
     assert any(row[names.index("contaminated")] for row in wanted)
 
 
+def test_short_chunks_join_as_long_ones_do():
+    """The agenda as a list gives what the heap gives, also where pieces have one score."""
+    codec = pieces.PieceCodec(pieces.read_model(public_tokenizers.path("piece_bpe_32k.model")))
+    assert codec.tied
+    rng = random.Random(5)
+    tied = sorted({codec.library.id_to_piece(v & ((1 << codec.bits) - 1)) for v in codec.tied})
+    plain = list(codec.ids)
+    for _ in range(3000):
+        chunk = "".join(rng.choice(tied if rng.random() < 0.3 else plain) for _ in range(rng.randint(1, 5)))
+        symbols = [codec.ids[c] for c in chunk]
+        assert codec._merge_short(list(symbols)) == codec._merge_long(chunk, list(symbols))
+
+
 def test_a_worker_keeps_things_of_one_kind(monkeypatch):
     monkeypatch.setitem(sys.modules, "_moodwell_held", ModuleType("_moodwell_held"))
     first = once_per_process(("pieces", 1), list)
