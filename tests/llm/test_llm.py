@@ -239,6 +239,32 @@ def test_language_scores(spark, small, odd):
     assert both[0] == both[1]
 
 
+def test_rare_words_count_as_contexts_and_have_exact_shares(spark):
+    """Words without a target of their own, in the dictionary or not, differ as contexts; with all
+    others of their target, and one that was never seen, their shares add up to one."""
+    often = " ".join(f"c{i}" for i in range(bilinear.TARGETS + 50))
+    rare = [f"r{i}" for i in range(40)]
+    rows = [(i, often) for i in range(3)] + [(3, " ".join(rare)), (4, " ".join(rare[::2])), (5, " ".join(rare[::-2][::-1]))]
+    rows += [(6, " ".join(rare[:9])), (7, " ".join(rare[8::-1]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    for known in (5, 1000):
+        got = {r.doc_id: r for r in bilinear.score_texts(df, F.col("doc_id") > 5, known=known).collect()}
+        assert np.isclose(got[6].base_score, got[7].base_score) and got[6].n_known == got[7].n_known == 10
+        assert abs(got[6].score - got[7].score) > 1e-4
+    counts = bilinear.count_tokens(df.select("text")).cache()
+    made = bilinear.make_dictionary(counts, 1000)
+    place, targets = made.lookup()
+    assert len(made.log_shares) == bilinear.TARGETS and np.isclose(np.exp(made.log_shares).sum(), 1)
+    held = np.ones(bilinear.SHARED)
+    for r in counts.collect():
+        target = targets[place[bytes(r.token)]] - made.own
+        if target >= 0:
+            assert target == bilinear.shared_target(bytes(r.token))
+            held[target] += r.c + 1
+    assert np.allclose(np.log10(held), made.log_shared)
+    assert targets[place[b"never"]] == made.own + bilinear.shared_target(b"never")
+
+
 def test_model_is_normalised():
     model = bilinear.Model(np.log(np.full(7, 1 / 7)))
     before = np.random.default_rng(1).integers(0, 7, (1, bilinear.CONTEXT)).repeat(7, axis=0)
