@@ -34,10 +34,11 @@ from moodwell.llm.common import once_per_process
 
 MARK = "▁"
 #: Chunks kept per worker and generation, and the longest chunk worth keeping.
-KEPT_CHUNKS = 100_000
+KEPT_CHUNKS = 150_000
 KEPT_LENGTH = 64
 TEXTS = 200  # texts that are encoded and decoded at a time
 SHORT = 40  # symbols of a chunk up to which its agenda is a plain list
+CHECKED = 32  # chunks that the library is given together
 
 
 class Kept(dict):
@@ -69,6 +70,7 @@ class PieceCodec:
         self.ids = {lib.id_to_piece(i): i for i in sorted(plain)}
         if any(MARK in piece.lstrip(MARK) for piece in self.ids):
             raise ValueError("a piece goes on over a space")
+        self.symbols = {piece: i for piece, i in self.ids.items() if len(piece) == 1}
         self.scores = {piece: lib.get_score(i) for piece, i in self.ids.items()}
         self.end = lib.eos_id()
         self.spelled = [b""] * size
@@ -77,6 +79,8 @@ class PieceCodec:
         for byte, i in self.bytes.items():
             self.spelled[i] = bytes([byte])
         self.spelled[lib.unk_id()] = " ⁇ ".encode()
+        # One object per id, so that what is kept has no numbers of its own.
+        self.numbers = list(range(size))
         if any(x not in self.ids for piece in self.ids for x in piece):
             raise ValueError("a character of a piece is no piece itself")
         self._index_merges()
@@ -118,21 +122,18 @@ class PieceCodec:
 
     def merge(self, chunk: str) -> tuple[int, ...]:
         """The ids of a chunk, by the agenda."""
-        unknown = len(self.spelled)
-        symbols = [self.ids.get(c, unknown) for c in chunk]
-        if len(symbols) <= SHORT and unknown not in symbols:
+        symbols = list(map(self.symbols.get, chunk))
+        if len(symbols) <= SHORT and None not in symbols:
             return self._merge_short(symbols)
-        return self._merge_long(chunk, symbols)
+        unknown = len(self.spelled)
+        return self._merge_long(chunk, [unknown if s is None else s for s in symbols])
 
     def _merge_short(self, symbols: list[int]) -> tuple[int, ...]:
         """The agenda as a list by place: what each symbol makes with the next one, under its rank."""
         joined, tied, piece_of = self.joined, self.tied, (1 << self.bits) - 1
         none = len(self.spelled) << self.bits
         agenda = [joined[a].get(b, none) for a, b in zip(symbols, symbols[1:], strict=False)]
-        while agenda:
-            best = min(agenda)
-            if best == none:
-                break
+        while agenda and (best := min(agenda)) != none:
             i = agenda.index(best)  # the leftmost of equals
             if best in tied:
                 rank = best >> self.bits
@@ -194,21 +195,31 @@ class PieceCodec:
                 out.append(symbol)
         return tuple(out)
 
+    def _anew(self, chunk: str) -> tuple[int, ...]:
+        ids = tuple(map(self.numbers.__getitem__, self.merge(chunk)))
+        if self.check:
+            self.unchecked.append((chunk, ids))
+        return ids
+
     def _of_chunk(self, chunk: str) -> tuple[int, ...]:
-        """Ids of a chunk that holds no place to cut."""
-        ids = self.known.get(chunk) or self.known.older.get(chunk)
+        """Ids of a chunk that holds no place to cut; behind a mark it is a word, and kept as such."""
+        kept, key = (self.words, chunk[1:]) if chunk[0] == MARK else (self.known, chunk)
+        ids = kept.get(key)
         if ids is None:
-            ids = self.merge(chunk)
-            if self.check:
-                self.unchecked.append((chunk, ids))
-        self.known.keep(chunk, ids)
+            ids = kept.older.get(key) or self._anew(chunk)
+            kept.keep(key, ids)
         return ids
 
     def _of_word(self, word: str) -> tuple[int, ...]:
-        """Ids of a space and what follows up to the next space."""
+        """Ids of a space and what follows up to the next space, which this dictionary does not hold."""
         ids = self.words.older.get(word)
         if ids is None:
-            ids = tuple([i for chunk in self.chunks(MARK + word) for i in self._of_chunk(chunk)])
+            # Letters alone hold no place to cut.
+            chunks = [MARK + word] if word.isalpha() else self.chunks(MARK + word)
+            if len(chunks) == 1:
+                ids = self._anew(chunks[0])
+            else:
+                ids = tuple([i for chunk in chunks for i in self._of_chunk(chunk)])
         self.words.keep(word, ids)
         return ids
 
@@ -230,21 +241,35 @@ class PieceCodec:
         """Hold the chunks encoded since the last call against the library."""
         if not self.unchecked:
             return
-        lead = "\n" if self.line_alone else ""
-        plain = [c for c, _ in self.unchecked]
-        if not self.line_alone:  # the library itself puts a mark in front
-            plain = [c[1:] for c in plain]
-        got = self.library.encode([lead + c.replace(MARK, " ") for c in plain], num_threads=1)
-        skip = len(self.before)
-        for (chunk, ids), theirs in zip(self.unchecked, got, strict=True):
-            if tuple(theirs[skip:]) != ids:
-                raise ValueError(f"the library encodes {chunk!r} as {theirs[skip:]}, not {ids}")
+        if self.line_alone:
+            # Nothing reaches over a line feed, so that chunks on lines of their own are told apart.
+            line, parts = self.bytes[10], []
+            for start in range(0, len(self.unchecked), CHECKED):
+                some = self.unchecked[start : start + CHECKED]
+                wanted = self.before[:-1]
+                for _, ids in some:
+                    wanted.append(line)
+                    wanted += ids
+                parts.append(("\n" + "\n".join([c for c, _ in some]).replace(MARK, " "), wanted, some))
+            got = self.library.encode([text for text, _, _ in parts], num_threads=1)
+            doubtful = [x for theirs, (_, wanted, some) in zip(got, parts, strict=True) if theirs != wanted for x in some]
+        else:
+            doubtful = self.unchecked
+        lead, skip = "\n" if self.line_alone else "", len(self.before)
+        for chunk, ids in doubtful:
+            # Where lines do not stand alone the library itself puts a mark in front.
+            plain = chunk if self.line_alone else chunk[1:]
+            theirs = self.library.encode(lead + plain.replace(MARK, " "))[skip:]
+            if tuple(theirs) != ids:
+                raise ValueError(f"the library encodes {chunk!r} as {theirs}, not {ids}")
+        if doubtful and self.line_alone:
+            raise ValueError("the library encodes chunks otherwise where they follow each other")
         self.unchecked = []
 
     def decode(self, ids: list[int]) -> str:
         """The text of some ids: pieces and bytes joined, without the mark put in front."""
         spelled = self.spelled
-        raw = b"".join([spelled[i] for i in ids])
+        raw = b"".join(map(spelled.__getitem__, ids))
         first = next((i for i in ids if i != self.end), None)
         if raw[:1] == b" " and first not in (None, self.bytes[32]):
             raw = raw[1:]
@@ -345,7 +370,7 @@ def piece_digests(df: DataFrame, model: bytes, column: str = "text", check: bool
             rows = []
             for text in texts:
                 ids = [*codec.encode(text or ""), codec.end]
-                spelled = " ".join([names[i] for i in ids])
+                spelled = " ".join(map(names.__getitem__, ids))
                 rows.append(
                     (
                         len(ids),

@@ -685,3 +685,25 @@ def test_a_worker_keeps_things_of_one_kind(monkeypatch):
     once_per_process(("word-hashes",), dict)
     held = [k for k in vars(sys.modules["_moodwell_held"]) if isinstance(k, tuple)]
     assert held == [("word-hashes",)]
+
+
+def test_kept_chunks_share_their_numbers_and_words():
+    """A chunk behind a mark is kept once, as a word, and equal ids are one object."""
+    codec = pieces.PieceCodec(pieces.read_model(registry.PIECES))
+    first = codec.encode("Theningoux theningoux, theningoux. a\ntheningoux")
+    assert [c for c, _ in codec.unchecked].count("▁theningoux") == 1
+    assert "theningoux" in codec.words and not any(c[0] == pieces.MARK for c in codec.known)
+    codec.compare()
+    assert first == codec.library.encode("Theningoux theningoux, theningoux. a\ntheningoux")
+    held = [i for kept in (codec.words, codec.known) for ids in kept.values() for i in ids]
+    assert len({id(i) for i in held}) == len(set(held))
+
+
+def test_a_wrong_chunk_among_many_is_named():
+    codec = pieces.PieceCodec(pieces.read_model(registry.PIECES))
+    words = [f"w{i}ord {chr(228) * (i % 3)}x{i}." for i in range(100)]
+    codec.encode(" ".join(words) + "\n\nnext")
+    chunk, ids = codec.unchecked[70]
+    codec.unchecked[70] = (chunk, ids[::-1] + ids[:1])
+    with pytest.raises(ValueError, match=re.escape(repr(chunk))):
+        codec.compare()
