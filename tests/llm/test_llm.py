@@ -30,7 +30,7 @@ from moodwell.llm import (
     shards,
     winnow,
 )
-from moodwell.llm.common import likely_among, once_per_process
+from moodwell.llm.common import likely_among, once_per_process, written
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 FIELDS = "doc_id long, text string, lang string, source string, n_chars long, id long, key string, size long, words string"
@@ -707,3 +707,24 @@ def test_a_wrong_chunk_among_many_is_named():
     codec.unchecked[70] = (chunk, ids[::-1] + ids[:1])
     with pytest.raises(ValueError, match=re.escape(repr(chunk))):
         codec.compare()
+
+
+def test_identify_lets_go_of_what_earlier_steps_held(spark):
+    """A worker that encoded texts does not keep their chunks while it reads languages."""
+    def held(batches):
+        import sys
+
+        import pyarrow as pa
+
+        for batch in batches:
+            names = vars(sys.modules["_moodwell_held"]) if "_moodwell_held" in sys.modules else {}
+            kinds = [str(k[0]) for k in names if isinstance(k, tuple)]
+            yield pa.RecordBatch.from_arrays([pa.array([",".join(kinds)] * batch.num_rows)], ["kinds"])
+
+    df = spark.createDataFrame([(i, "some words here") for i in range(64)], FIELDS.split(", id")[0].split(", lang")[0]).repartition(64)
+    assert pieces.piece_digests(df, pieces.read_model(registry.PIECES)).agg(F.sum("n_tokens")).first()[0]
+    before = {r.kinds for r in df.select("doc_id").mapInArrow(held, "kinds string").collect()}
+    assert "pieces" in before
+    tagged = written(bytelang.identify(df, bytelang.ByteTagger(["a", "b"])), "tagged")
+    seen = {r.kinds for r in tagged.select("doc_id").repartition(64).mapInArrow(held, "kinds string").collect()}
+    assert "pieces" not in seen
