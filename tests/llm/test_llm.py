@@ -271,6 +271,53 @@ def test_model_is_normalised():
     assert np.isclose(np.exp(model.log_probabilities(before, np.arange(7))).sum(), 1)
 
 
+def test_model_scores_by_tables_of_fixed_size(monkeypatch):
+    """Powers of e are taken for words at places, not for every token and target; results are those of
+    plain sums, also where single precision has nothing left."""
+    n, rng, taken = 40, np.random.default_rng(4), []
+    exp = np.exp
+    for size in (0.5, 40):
+        model = bilinear.Model(np.log(rng.dirichlet(np.ones(n))))
+        for name, part in model.parts.items():
+            model.parts[name] = rng.normal(0, size if name == "words" else 1, part.shape).astype(np.float32)
+        before, wanted = rng.integers(0, n, (5000, bilinear.CONTEXT)), rng.integers(0, n, 5000)
+        p = {k: v.astype(float) for k, v in model.parts.items()}
+        made = sum(p["words"][before[:, i]] * p["places"][i] for i in range(bilinear.CONTEXT))
+        scores = made @ p["targets"].T + p["bias"]
+        top = scores.max(axis=1)
+        expected = scores[np.arange(5000), wanted] - top - np.log(exp(scores - top[:, None]).sum(axis=1))
+        taken.clear()
+        with monkeypatch.context() as patch:
+            patch.setattr(np, "exp", lambda x, *a, **k: (taken.append(np.size(x)), exp(x, *a, **k))[1])
+            got = model.log_probabilities(before, wanted)
+        assert np.allclose(got, expected, rtol=1e-5, atol=1e-4)
+        if size < 1:
+            assert sum(taken) == bilinear.CONTEXT * n * n
+
+
+def test_training_step_is_that_of_plain_sums():
+    """One step, each drawn word and each place of a token by itself."""
+    n, rng = 9, np.random.default_rng(5)
+    model, sums = bilinear.Model(np.log(rng.dirichlet(np.ones(n)))), {}
+    before, wanted = rng.integers(0, n, (20, bilinear.CONTEXT)), rng.integers(0, n, 20)
+    p = {k: v.astype(float) for k, v in model.parts.items()}
+    drawn = model.up_to.searchsorted(np.random.default_rng(6).random(bilinear.NOISE), side="right")
+    grads = {k: np.zeros_like(v) for k, v in p.items()}
+    for context, word in zip(before, wanted):
+        made = sum(p["words"][w] * p["places"][i] for i, w in enumerate(context))
+        for k, data in [(word, 1), *((d, 0) for d in drawn)]:
+            least = np.log(bilinear.NOISE) + model.log_shares[k]
+            wrong = 1 / (1 + np.exp(least - made @ p["targets"][k] - p["bias"][k])) - data
+            grads["targets"][k] += wrong * made
+            grads["bias"][k] += wrong
+            for i, w in enumerate(context):
+                grads["words"][w] += wrong * p["targets"][k] * p["places"][i]
+                grads["places"][i] += wrong * p["targets"][k] * p["words"][w]
+    model.train(before, wanted, np.random.default_rng(6), sums)
+    for name, g in grads.items():
+        assert np.allclose(sums[name], 1e-6 + (g / 20) ** 2, rtol=1e-3, atol=1e-9), name
+
+
 def test_gradients_of_the_byte_network():
     net = bytelang.ByteTagger(["a", "b", "c"])
     net.w = {k: v.astype(np.float64) for k, v in net.w.items()}
