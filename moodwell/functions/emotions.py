@@ -57,7 +57,10 @@ def lexicon_scorer(lexicon: dict[str, list[str]] | None = None) -> Callable[[Col
     """
     lexicon = lexicon or default_lexicon()
     known = sorted({word for words in lexicon.values() for word in words})
-    symbols = "|".join(re.escape(word) for word in known if word.startswith("_"))
+    # Their underscore stands apart, so that Java tries the names only where there is one.
+    symbols = "|".join(re.escape(word[1:]) for word in known if word.startswith("_"))
+    # Shorter tokens are no words of the lists.
+    shortest = max(1, min(map(len, known), default=1))
 
     def share(hits: Column, words: list[str]) -> Column:
         return F.array_size(F.filter(hits, lambda token: token.isin(words))) / F.array_size(hits)
@@ -76,9 +79,9 @@ def lexicon_scorer(lexicon: dict[str, list[str]] | None = None) -> Callable[[Col
         words = F.lower(text)
         if symbols:
             # A symbol written right after a word starts a token of its own.
-            parted = F.regexp_replace(words, f"({symbols})", " $1")
+            parted = F.regexp_replace(words, f"(_(?:{symbols}))", " $1")
             words = F.when(text.contains("_"), parted).otherwise(words)
-        tokens = F.regexp_extract_all(words, F.lit(f"{WORD}+"), F.lit(0))
+        tokens = F.regexp_extract_all(words, F.lit(f"{WORD}{{{shortest},}}"), F.lit(0))
         hits = F.filter(tokens, lambda token: token.isin(known))
         # One-element array: the hits are found once and read several times.
         return F.get(

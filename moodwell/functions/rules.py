@@ -146,7 +146,8 @@ def is_all_caps(text: Column, letters: Column) -> Column:
 def is_latin(text: Column, letters: Column) -> Column:
     """Whether Latin letters are the majority; true for text without letters."""
     # Below U+0250 every letter is Latin but for the ordinals and the micro sign.
-    mixed = text.rlike(r"[\xaa\xb5\xba\x{250}-\x{10ffff}]")
+    beyond_ascii = F.octet_length(text) != F.length(text)
+    mixed = beyond_ascii & text.rlike(r"[\xaa\xb5\xba\x{250}-\x{10ffff}]")
     latin = F.length(text) - F.length(without(text, f"{latin_letters()}+"))
     return F.when(mixed & (letters > 0), latin / letters > LATIN_SHARE).otherwise(True)
 
@@ -169,7 +170,8 @@ def single_spaced(text: Column) -> Column:
 
 def token_count(spaced: Column) -> Column:
     """Tokens of a ``single_spaced`` text."""
-    return F.when(spaced == "", 0).otherwise(F.array_size(F.split(spaced, " ")))
+    spaces = F.octet_length(spaced) - F.octet_length(F.replace(spaced, F.lit(" "), F.lit("")))
+    return F.when(spaced == "", 0).otherwise(spaces + 1)
 
 
 def noise_token_count(spaced: Column) -> Column:

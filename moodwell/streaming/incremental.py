@@ -89,11 +89,18 @@ def clean_and_score_stream(
             there = known(cleaned_path, CLEANED_POSTS).select("id")
             append_posts(cleaned.join(there, "id", "left_anti").select(*cleaned.columns), cleaned_path)
             scored = known(enriched_path, ENRICHED_POSTS)
-            append_posts(enrich_stage(cleaned, scored, moment(now), scorer), enriched_path)
+            rows = enrich_stage(cleaned, scored, moment(now), scorer)
+            # A task of the state holds posts of all batches. Scores are short, so that they are moved
+            # before a file is made of each batch in each task; a large batch takes as many tasks as
+            # there are cores.
+            spread = F.pmod(F.xxhash64("id"), F.lit(spark.sparkContext.defaultParallelism))
+            append_posts(rows.repartition("batch_id", spread), enriched_path)
             cleaned.unpersist()
         finally:
             posts.unpersist()
 
+    # What cleaning needs: all else would be moved to the state's tasks and held there for nothing.
+    raw_stream = raw_stream.select("id", "batch_id", "raw_text", "fetched_at", WRITTEN)
     # Times of arrival, since by their own times late posts would be dropped.
     seconds = int((remember + 2 * CLOCKS).total_seconds())
     arrived = raw_stream.withColumn("_arrived", F.current_timestamp()).withWatermark(

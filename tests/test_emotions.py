@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -60,6 +62,23 @@ def test_own_lexicon(spark):
     assert (row.emotion_label, row.sadness) == ("sadness", 0.6667)
 
 
+def test_lists_are_searched_where_there_may_be_one(spark):
+    """Names of symbols where there is an underscore, words as long as the lists' shortest; the scores
+    are those of all tokens taken apart."""
+    lexicon = {"joy": ["joy", "_a_", "_a_b"], "fear": ["_a", "scared", "ab_c"], "anger": ["été", "a.b"]}
+    texts = ["joyful joy JOY_a_", "x_a_b y_a scared_a_joy", "ab ab_c été_a_ÉTÉ a.b", "__a__ _ _a_a_b_", "jo y", "", "_a"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    known = {w for words in lexicon.values() for w in words}
+    symbols = "|".join(re.escape(w) for w in sorted(known) if w.startswith("_"))
+    for row in df.select("t", lexicon_scorer(lexicon)(F.col("t")).alias("s")).collect():
+        tokens = re.findall(r"\w+", re.sub(f"({symbols})", r" \1", row.t.lower()))
+        hits = [t for t in tokens if t in known]
+        want = [(e, sum(h in w for h in hits) / len(hits)) for e, w in lexicon.items()] if hits else [("neutral", 1.0)]
+        assert [(x.label, x.score) for x in row.s] == want, row.t
+    plan = df.select(lexicon_scorer()(F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "(_(?:" in plan and "_]{3,}" in plan
+
+
 def test_model_adapter(spark):
     def load():
         def model(texts):

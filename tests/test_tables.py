@@ -285,6 +285,25 @@ def test_stream_equals_batch_and_survives_replay(spark, small, tmp_path):
     assert state() == want
 
 
+def test_stream_moves_what_it_needs_and_writes_few_files(spark, tmp_path, capsys):
+    raw, cleaned, enriched = (str(tmp_path / n) for n in ("raw", "cleaned", "enriched"))
+    append_posts(frame(spark, [post(i, "a", f"a happy cat {i}") for i in range(400)]), raw)
+    tasks = spark.conf.get("spark.sql.shuffle.partitions")
+    cores = spark.sparkContext.defaultParallelism
+    spark.conf.set("spark.sql.shuffle.partitions", 3 * cores)
+    try:
+        stream = clean_and_score_stream(watch_raw_posts(spark, raw), cleaned, enriched, str(tmp_path / "c"))
+        stream.awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", tasks)
+    stream.explain()
+    plan = capsys.readouterr().out
+    assert "raw_text" in plan and "raw_json" not in plan and "keyword" not in plan
+    scores = read_posts(spark, enriched, ENRICHED_POSTS)
+    assert sorted(r.id for r in scores.collect()) == list(range(400))
+    assert len(list((tmp_path / "enriched").rglob("*.parquet"))) <= cores + cores  # with those of the empty table
+
+
 def test_stream_reads_tables_for_old_posts_only(spark, tmp_path, monkeypatch):
     raw, cleaned, enriched = (str(tmp_path / n) for n in ("raw", "cleaned", "enriched"))
     monkeypatch.setattr(incremental, "CLOCKS", timedelta(0))
