@@ -10,6 +10,10 @@ grows until these find enough of their nearest ones, to all lists if need be. Fo
 component that makes all of them equally long, which turns the largest product into the least
 distance.
 
+Lists of numbers that follow each other, which are near each other, make up a shelf. What is moved to be
+compared is a vector or a query once for each shelf, with its lists there as bits, not once for each list;
+shelves fall into blocks of a set size. Products below a score that a query is known to reach are left out.
+
 Defined results: vectors that are null, zero or hold a null or a number that is not finite take
 no part, nor do those of another length than most; copies of a vector are indexed once,
 with their least ids, of which no result needs more; repeated ids are listed once and
@@ -21,8 +25,10 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from moodwell.llm.common import written
 
@@ -36,7 +42,12 @@ WIDER = (1.1, 1.15, 1.2, 1.25, 1.3, 1.4, 1.6, 2.0, float("inf"))  # then, among
 DEGREE, HOPS = 24, 48  # of the graph of centroids, and steps along it
 PROBES = 200  # queries that recall is measured on
 FOUND = 0.92  # recall of these at least: some more than 0.9, as they are a sample
-BLOCK = 2000  # vectors or queries of a list that are compared at a time
+BLOCK = 2000  # vectors that the sampled queries are compared with at a time
+SHELF = 32  # lists, of numbers that follow each other, that are compared in one go
+NUMBERS = 1 << 20  # of the vectors, or queries, that a task holds of a shelf: larger ones fall into blocks
+CHUNK = 256  # queries of a block that are compared at a time
+LEAST = np.finfo(np.float64).min  # below any score
+_RESULT = pa.schema([("asked", pa.string()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
 
 def usable(vector: Column) -> Column:
@@ -128,9 +139,9 @@ class CentroidGraph:
         self, vectors: np.ndarray, reach: float, hops: int | None, held: np.ndarray, want: int
     ) -> np.ndarray:
         """Whether a query visits a list: those within reach, and further ones until ``want`` are held."""
-        gaps = self.search(vectors, hops)
         if np.isinf(reach):
-            return np.ones(gaps.shape, dtype=bool)
+            return np.ones((len(vectors), len(self.centroids)), dtype=bool)
+        gaps = self.search(vectors, hops)
         near = gaps <= gaps.min(axis=1, keepdims=True) * reach + 1e-6
         few = np.flatnonzero(near @ held < want)
         if len(few):
@@ -147,17 +158,30 @@ def _widened(vectors: np.ndarray, longest: float) -> np.ndarray:
     return np.concatenate([vectors, rest[:, None]], axis=1).astype(np.float32)
 
 
+def _by_shelf(rows: np.ndarray, lists: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Rows, shelves and the lists of each as bits, one of a row and shelf; and where each pair given is in that."""
+    shelves = int(lists.max(initial=0)) // SHELF + 1
+    keys, at = np.unique(rows * shelves + lists // SHELF, return_inverse=True)
+    bits = np.zeros(len(keys), dtype=np.int64)
+    np.bitwise_or.at(bits, at, np.int64(1) << (lists % SHELF))
+    return keys // shelves, keys % shelves, bits, at
+
+
 def assign_lists(df: DataFrame, graph: CentroidGraph, longest: float) -> DataFrame:
-    """A row per vector and list, ``first`` in the list of its nearest centroid."""
+    """A row per vector and shelf, with the vector's lists there; ``nearest`` is that of its nearest centroid,
+    in the row of its shelf, else -1."""
 
     def assign(frames):
         for frame in frames:
             vectors = np.array(frame["vector"].tolist(), dtype=np.float64)
             rows, lists, first = graph.lists(_widened(vectors, longest), NEAR, REPLICAS)
-            yield frame.iloc[rows].assign(list=lists, first=first)
+            rows, shelves, bits, at = _by_shelf(rows, lists)
+            nearest = np.full(len(rows), -1)
+            nearest[at[first]] = lists[first]
+            yield frame.iloc[rows].assign(shelf=shelves, lists=bits, nearest=nearest)
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields)
-    return df.mapInPandas(assign, f"{fields}, list int, first boolean")
+    return df.mapInPandas(assign, f"{fields}, shelf int, lists long, nearest int")
 
 
 def _as_query(vectors: np.ndarray, graph: CentroidGraph) -> np.ndarray:
@@ -168,20 +192,45 @@ def _as_query(vectors: np.ndarray, graph: CentroidGraph) -> np.ndarray:
 
 
 def visit_lists(
-    df: DataFrame, graph: CentroidGraph, reach: float, hops: int | None, held: np.ndarray, want: int
+    df: DataFrame,
+    graph: CentroidGraph,
+    reach: float,
+    hops: int | None,
+    held: np.ndarray,
+    want: int,
+    known: tuple[np.ndarray, np.ndarray] | None = None,
 ) -> DataFrame:
-    """A row per query and list that it visits."""
+    """A row per query: the shelves that it visits and its lists in each, not its vector again for each. Of
+    ``known`` vectors, no two of one id, and the lists that they are in, those in lists that it visits give a
+    score that ``want`` rows reach at least (null, if too few are met): none below it can be among these."""
+    sent = df.sparkSession.sparkContext.broadcast((graph, held, known))
 
     def visit(frames):
+        graph, held, known = sent.value
         for frame in frames:
             vectors = np.array(frame["vector"].tolist(), dtype=np.float64)
             for start in range(0, len(frame), 256):
-                part = _as_query(vectors[start : start + 256], graph)
-                rows, lists = np.nonzero(graph.visited(part, reach, hops, held, want))
-                yield frame.iloc[rows + start].assign(list=lists)
+                part = vectors[start : start + 256]
+                visits = graph.visited(_as_query(part, graph), reach, hops, held, want)
+                rows, shelves, bits, _ = _by_shelf(*np.nonzero(visits))
+                cuts = np.searchsorted(rows, np.arange(1, len(part)))
+                yield frame.iloc[start : start + 256].assign(
+                    shelf=np.split(shelves, cuts), lists=np.split(bits, cuts), floor=_floors(part, visits, want, known)
+                )
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields)
-    return df.mapInPandas(visit, f"{fields}, list int")
+    return df.mapInPandas(visit, f"{fields}, shelf array<int>, lists array<long>, floor double")
+
+
+def _floors(
+    vectors: np.ndarray, visits: np.ndarray, want: int, known: tuple[np.ndarray, np.ndarray] | None
+) -> np.ndarray:
+    """The ``want``-th best product of each query with known vectors in lists that it visits."""
+    if known is None or len(known[0]) < want:
+        return np.full(len(vectors), LEAST)
+    scores = vectors @ known[0].T
+    scores[~visits[:, known[1]]] = LEAST
+    return np.partition(scores, len(known[0]) - want, axis=1)[:, -want]
 
 
 def choose_reach(
@@ -194,39 +243,98 @@ def choose_reach(
     names, probes = [r["copy"] for r in drawn], np.array([r["vector"] for r in drawn])
 
     def best_of(frames):
+        best, held = np.empty((len(probes), 0)), np.empty((len(probes), 0), dtype=object)
         for frame in frames:
             for start in range(0, len(frame), BLOCK):
                 part = frame.iloc[start : start + BLOCK]
-                scores = probes @ np.array(part["vector"].tolist()).T
-                scores[np.array(names)[:, None] == part["copy"].to_numpy()[None, :]] = -np.inf
-                most = np.argpartition(-scores, min(k, len(part)) - 1, axis=1)[:, :k]
-                at = np.repeat(np.arange(len(probes)), most.shape[1])
-                yield pd.DataFrame(
-                    {"probe": at, "copy": part["copy"].to_numpy()[most.ravel()], "score": scores[at, most.ravel()]}
-                )
+                scores = probes @ np.array(part["vector"].tolist(), dtype=np.float64).T
+                copies = np.tile(part["copy"].to_numpy(), (len(probes), 1))
+                scores[np.array(names)[:, None] == copies] = -np.inf
+                best, held = np.concatenate([best, scores], axis=1), np.concatenate([held, copies], axis=1)
+                most = np.argpartition(-best, min(k, best.shape[1]) - 1, axis=1)[:, :k]
+                best, held = np.take_along_axis(best, most, axis=1), np.take_along_axis(held, most, axis=1)
+        at = np.repeat(np.arange(len(probes)), best.shape[1])
+        yield pd.DataFrame({"probe": at, "copy": held.ravel(), "score": best.ravel()})
 
     order = Window.partitionBy("probe").orderBy(F.desc("score"), "copy")
     near = distinct.select("copy", "vector").mapInPandas(best_of, "probe int, copy string, score double")
     near = near.where(F.col("score") > float("-inf")).withColumn("place", F.row_number().over(order))
     # At most PROBES times k rows, each with at most REPLICAS lists.
     wanted = F.broadcast(written(near.where(F.col("place") <= k).select("probe", "copy"), "nearest"))
-    met = index.select("copy", "list").join(wanted, "copy").groupBy("probe", "copy")
-    rows = met.agg(F.collect_set("list").alias("lists")).collect()
+    met = index.select("copy", "shelf", "lists").join(wanted, "copy").groupBy("probe", "copy")
+    # A vector has one row of a shelf, and no list of it is in another.
+    rows = met.agg(F.collect_list(F.struct("shelf", "lists")).alias("held")).collect()
+    found = [[s.shelf * SHELF + i for s in r.held for i in range(SHELF) if s.lists >> i & 1] for r in rows]
     given = _as_query(probes, graph)
     for reach, hops in [(REACH, HOPS), *((wide, None) for wide in WIDER)]:
         visits = graph.visited(given, reach, hops, held, k + 1)
-        if sum(bool(visits[r["probe"], r["lists"]].any()) for r in rows) >= FOUND * len(rows):
+        if sum(bool(visits[r["probe"], lists].any()) for r, lists in zip(rows, found)) >= FOUND * len(rows):
             break
     return reach, hops
 
 
-def _blocked(df: DataFrame, key: str) -> DataFrame:
-    """``df`` with a block of its list, of about BLOCK rows, and how many blocks there are."""
-    sizes = df.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    # At most a row per list.
-    return df.join(F.broadcast(sizes), "list").withColumn(
-        "block", F.pmod(F.xxhash64(key), "blocks").cast("int")
-    )
+def _blocks(df: DataFrame, most: int, name: str) -> DataFrame:
+    """How many blocks of about ``most`` rows each shelf has."""
+    return df.groupBy("shelf").agg(F.ceil(F.count("*") / most).cast("int").alias(name))
+
+
+def _vectors(column: pa.ChunkedArray) -> np.ndarray:
+    """Vectors of one length, a row each, without objects for each."""
+    return np.concatenate([c.flatten() for c in column.chunks]).astype(np.float64).reshape(len(column), -1)
+
+
+def compare(there: pa.Table, asked: pa.Table, k: int) -> pa.Table:
+    """The ``k`` best rows of a block of a shelf for each query of a block, by exact products with all vectors
+    in lists that the query visits."""
+    out: list[pa.Table] = [_RESULT.empty_table()]
+    if not len(there) or not len(asked):
+        return out[0]
+    x, q = _vectors(there["vector"]), _vectors(asked["vector"])
+    x_lists, q_lists = there["lists"].to_numpy(), asked["lists"].to_numpy()
+    ids, sizes = there["ids"].combine_chunks().flatten().to_numpy(), there["ids"].combine_chunks().value_lengths().to_numpy()
+    starts = np.cumsum(sizes) - sizes
+    # So many vectors have k ids among them, also where one id has several.
+    want = min(len(x), k * int(np.unique(ids, return_counts=True)[1].max()))
+    floors = asked["floor"].to_numpy()
+    longest = np.sqrt((x**2).sum(axis=1).max())
+    for start in range(0, len(q), CHUNK):
+        part, floor = q[start : start + CHUNK], floors[start : start + CHUNK]
+        products = part @ x.T
+        apart = (q_lists[start : start + CHUNK, None] & x_lists) == 0
+        if apart.any():
+            products[apart] = -np.inf
+        slack = np.nan_to_num(1e-12 * longest * np.sqrt((part**2).sum(axis=1)), posinf=0)
+        least = np.maximum(floor - slack, LEAST)
+        near = products >= least[:, None]
+        many = np.flatnonzero(near.sum(axis=1) > want)
+        if len(many):
+            last = np.partition(products[many], len(x) - want, axis=1)[:, len(x) - want]
+            near[many] = products[many] >= np.maximum(last - slack[many], least[many])[:, None]
+        row, at = np.nonzero(near)
+        # Summed in one order wherever the vector stands.
+        scores = [(x[at[s : s + BLOCK]] * part[row[s : s + BLOCK]]).sum(axis=1) for s in range(0, len(row), BLOCK)]
+        score = np.concatenate([np.empty(0), *scores])
+        # The best vectors of a query, and of these the best rows.
+        order = np.lexsort((ids[starts[at]], -score, row))
+        order = order[_place(row[order]) < want]
+        row, at, score = row[order], at[order], score[order]
+        n = sizes[at]
+        row, score = np.repeat(row, n), np.repeat(score, n)
+        found = ids[np.repeat(starts[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        order = np.lexsort((-score, found, row))
+        row, found, score = row[order], found[order], score[order]
+        once = np.r_[True, (row[1:] != row[:-1]) | (found[1:] != found[:-1])][: len(row)]
+        row, found, score = row[once], found[once], score[once]
+        order = np.lexsort((found, -score, row))
+        order = order[_place(row[order]) < k]
+        names = asked["asked"].take(pa.array(row[order] + start)).combine_chunks()
+        out.append(pa.Table.from_arrays([names, pa.array(found[order]), pa.array(score[order])], schema=_RESULT))
+    return pa.concat_tables(out)
+
+
+def _place(groups: np.ndarray) -> np.ndarray:
+    """Places within groups, from 0, of rows sorted by group."""
+    return np.arange(len(groups)) - np.searchsorted(groups, groups)
 
 
 def nearest(
@@ -238,15 +346,17 @@ def nearest(
 ) -> DataFrame:
     """query_id, rank, vec_id, score of the ``k`` rows with the largest products. Runs jobs at once."""
     raw = F.col(vector_column)
+    # Numbers of single precision travel as such and are computed with as doubles.
+    kind = "array<float>" if df.schema[vector_column].dataType == ArrayType(FloatType()) else "array<double>"
     rows = df.where(usable(raw) & F.col(id_column).isNotNull()).select(
-        F.col(id_column).cast("long").alias("id"), is_query.alias("asks"), raw.cast("array<double>").alias("vector")
+        F.col(id_column).cast("long").alias("id"), is_query.alias("asks"), raw.cast(kind).alias("vector")
     )
     size = F.size("vector")
     lengths = rows.groupBy(size.alias("size")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "size")
     usual = lengths.first()
     if usual is None:
         return df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    copy = F.md5(F.array_join(F.transform("vector", lambda x: x.cast("string")), ","))
+    copy = F.md5(F.array_join(F.transform("vector", lambda x: x.cast("double").cast("string")), ","))
     rows = rows.where(size == usual["size"]).withColumn("copy", copy)
     rows = written(rows.dropDuplicates(["id", "copy"]), "vectors")
 
@@ -257,7 +367,7 @@ def nearest(
         F.array_sort(F.collect_list("id")).alias("ids"), F.first("vector").alias("vector")
     )
     distinct = written(held, "distinct-vectors")
-    length = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x))
+    length = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
     whole = distinct.agg(F.count("*").alias("n"), F.max(length).alias("longest")).first()
 
     drawn = distinct.select(F.xxhash64("copy").alias("h"), "copy", "vector").orderBy("h", "copy").limit(SAMPLE)
@@ -265,45 +375,36 @@ def nearest(
     lists = min(LISTS, -(-whole.n // PER_LIST))
     graph = CentroidGraph(halve(_widened(sample, whole.longest), -(-len(sample) // lists)))
 
-    placed = written(assign_lists(distinct, graph, whole.longest), "index")
+    index = written(assign_lists(distinct, graph, whole.longest), "index")
     held = np.zeros(len(graph.centroids), dtype=np.int64)
-    for r in placed.where("first").groupBy("list").agg(F.count("*").alias("n")).collect():  # a row per list
-        held[r["list"]] = r["n"]
-    index = written(_blocked(placed, "copy").select("list", "block", "copy", "ids", "vector"), "index-blocks")
+    firsts = index.where(F.col("nearest") >= 0)
+    for r in firsts.groupBy("nearest").agg(F.count("*").alias("n")).collect():  # a row per list
+        held[r["nearest"]] = r["n"]
     asking = written(rows.where("asks").groupBy("copy").agg(F.first("vector").alias("vector")), "asking")
-    reach, hops = choose_reach(asking, distinct, placed, graph, held, k)
-    visits = visit_lists(asking, graph, reach, hops, held, k + 1)
-    visits = _blocked(written(visits, "visits"), "copy").select(
-        "list", F.col("block").alias("q_block"), F.col("blocks").alias("q_blocks"),
-        F.col("copy").alias("asked"), "vector",
+    reach, hops = choose_reach(asking, distinct, index, graph, held, k)
+    most = max(NUMBERS // usual["size"], 1)
+    sample = firsts.orderBy(F.xxhash64("copy"), "copy").limit(min(most, SAMPLE))
+    known = {r.ids[0]: (r.vector, r.nearest) for r in sample.select("ids", "vector", "nearest").collect()}
+    known = tuple(np.array(x) for x in zip(*known.values()))
+    visits = written(visit_lists(asking, graph, reach, hops, held, k + 1, known), "visits")
+
+    # A shelf's vectors are moved once for each block of its queries, and a query once for each block of a shelf.
+    blocks, q_blocks = _blocks(index, most, "blocks"), _blocks(visits.select(F.explode("shelf").alias("shelf")), most, "q_blocks")
+    sizes = F.broadcast(written(blocks.join(q_blocks, "shelf"), "blocks"))  # a row per shelf
+    each = F.arrays_zip("shelf", "lists")
+    visits = visits.select(F.col("copy").alias("asked"), "vector", "floor", F.inline(each)).join(sizes, "shelf")
+    part = lambda key, n: F.pmod(F.xxhash64(key), n).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = index.join(sizes, "shelf").select(
+        "shelf", part("copy", "blocks").alias("block"), every("q_blocks").alias("q_block"), "ids", "vector", "lists"
+    )
+    right = visits.select(
+        "shelf", every("blocks").alias("block"), part("asked", "q_blocks").alias("q_block"),
+        "asked", "vector", "lists", "floor",
     )
-    visits = written(visits, "visit-blocks")
-    blocks = index.select("list", "block").distinct()
-    q_blocks = visits.select("list", "q_block").distinct()
-    left = written(index.join(q_blocks, "list"), "left")
-    right = visits.join(blocks, "list").select("list", "block", "q_block", "asked", "vector")
-    right = written(right, "right")
-
-    def compare(there: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(there) and len(asked):
-            x = np.array(there["vector"].tolist())
-            q = np.array(asked["vector"].tolist())
-            ids = there["ids"].tolist()
-            products = q @ x.T
-            want = min(k + 1, len(x))
-            least = np.partition(products, len(x) - want, axis=1)[:, len(x) - want]
-            slack = 1e-9 * np.maximum(np.abs(least), 1e-300)
-            for row, name in enumerate(asked["asked"]):
-                near = np.flatnonzero(products[row] >= least[row] - slack[row])
-                # Summed in one order wherever the vector stands.
-                scores = (x[near] * q[row]).sum(axis=1)
-                out += [(name, i, s) for at, s in zip(near, scores, strict=True) for i in ids[at]]
-        return pd.DataFrame(out, columns=["asked", "vec_id", "score"])
-
-    by = ["list", "block", "q_block"]
-    met = left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(
-        compare, "asked string, vec_id long, score double"
+    by = ["shelf", "block", "q_block"]
+    met = left.groupBy(*by).cogroup(right.groupBy(*by)).applyInArrow(
+        lambda there, asked: compare(there, asked, k + 1), "asked string, vec_id long, score double"
     )
     best = Window.partitionBy("asked").orderBy(F.desc("score"), "vec_id")
     found = met.groupBy("asked", "vec_id").agg(F.max("score").alias("score"))

@@ -12,6 +12,7 @@ from types import ModuleType
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 import sentencepiece
@@ -411,6 +412,49 @@ def test_nearest_of_odd_vectors(spark):
     assert postings.nearest(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_a_query_is_not_copied_for_each_list(spark):
+    """A row per query, with its lists by shelf: rows per list were as many as all pairs where all lists are visited."""
+    rng = np.random.default_rng(2)
+    graph = postings.CentroidGraph(rng.normal(size=(100, 9)).astype(np.float32))
+    df = spark.createDataFrame([(str(i), rng.normal(size=8).tolist()) for i in range(300)], "copy string, vector array<double>")
+    for reach, want in ((float("inf"), 100), (1.1, 5)):
+        got = postings.visit_lists(df, graph, reach, None, np.ones(100, dtype=np.int64), 5).toPandas()
+        assert len(got) == 300 and (got.floor == postings.LEAST).all()
+        visits = graph.visited(postings._as_query(np.array(got.vector.tolist()), graph), reach, None, np.ones(100), 5)
+        for held, shelves, bits in zip(visits, got.shelf, got.lists):
+            lists = [s * postings.SHELF + i for s, b in zip(shelves, bits) for i in range(postings.SHELF) if b >> i & 1]
+            assert lists == np.flatnonzero(held).tolist() and len(lists) >= min(want, 5)
+
+
+def test_blocks_give_the_best_rows(spark):
+    """Equal products, copies, ids of several vectors and lists that a query does not visit, against brute force."""
+    rng = np.random.default_rng(3)
+    x, q = rng.integers(-2, 3, (400, 6)).astype(float), rng.integers(-2, 3, (300, 6)).astype(float)
+    ids = [sorted(rng.choice(350, rng.integers(1, 4), replace=False).tolist()) for _ in x]
+    x_lists, q_lists = rng.integers(1, 16, 400), rng.integers(0, 16, 300)
+    there = pa.table({"ids": ids, "vector": x.tolist(), "lists": x_lists})
+    for floor in (postings.LEAST, 3.0):
+        asked = pa.table({"asked": [f"q{i}" for i in range(300)], "vector": q.tolist(), "lists": q_lists, "floor": [floor] * 300})
+        got = postings.compare(there, asked, 5).to_pandas().groupby("asked")[["score", "vec_id"]].apply(lambda d: d.to_numpy().tolist())
+        for i in range(300):
+            best = {}
+            for held, v, lists in zip(ids, x, x_lists):
+                if lists & q_lists[i] and v @ q[i] >= floor:
+                    for k in held:
+                        best[k] = max(best.get(k, -99), v @ q[i])
+            want = sorted((-s, k) for k, s in best.items())[:5]
+            assert sorted((-s, k) for s, k in got.get(f"q{i}", [])) == want
+
+
+def test_nearest_is_the_same_in_small_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    df = spark.createDataFrame([(i, rng.normal(size=16).tolist()) for i in range(3000)], "vec_id long, embedding array<float>")
+    rows = postings.nearest(df, F.col("vec_id") % 20 == 0).toPandas().sort_values(["query_id", "rank"])
+    monkeypatch.setattr(postings, "NUMBERS", 16 * 40)
+    blocks = postings.nearest(df, F.col("vec_id") % 20 == 0).toPandas().sort_values(["query_id", "rank"])
+    assert len(rows) == 3000 and rows.to_numpy().tolist() == blocks.to_numpy().tolist()
+
+
 def test_passages_go(spark, odd):
     rng = np.random.default_rng(4)
 
