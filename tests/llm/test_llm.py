@@ -266,6 +266,58 @@ def test_rare_words_count_as_contexts_and_have_exact_shares(spark):
     assert targets[place[b"never"]] == made.own + bilinear.shared_target(b"never")
 
 
+def _small_dictionary(n, known):
+    words = [b" ", *(f"w{i}".encode() for i in range(n))]
+    counted = [50, *(1 + 3000 // (i + 1) for i in range(n))]
+    dealt = np.zeros((2, bilinear.GROUPS), dtype=np.int64)
+    for word, count in zip(words, counted):
+        dealt[:, bilinear.group_of(word)] += count, 1
+    made = bilinear.Dictionary(words[:known], counted[:known], sum(counted), len(words), dealt)
+    return words, counted, made
+
+
+@pytest.mark.parametrize("known", [20_001, 9000])
+def test_words_of_a_shared_target_have_vectors_and_add_up(known):
+    """Every word of the dictionary has a leaf of its own at one of two steps; chances of all words within a
+    shared target, those outside the dictionary by their counts, add up to one whatever the vectors."""
+    words, counted, made = _small_dictionary(20_000, known)
+    place, targets = made.lookup()
+    leaves = bilinear.Leaves(made.bounds, made.log_leaves)
+    rng = np.random.default_rng(5)
+    leaves.values[:] = rng.normal(0, 1, leaves.values.shape)
+    context = rng.normal(0, 0.5, bilinear.SIZE + 1).astype(np.float32)
+    places = bilinear.places_of(words, place)
+    tokens, at, met = made.leaves(places)
+    assert tokens.tolist() == np.flatnonzero(targets.take(places) >= made.own).tolist()
+    logs = np.bincount(tokens[at], leaves.log_probabilities(np.tile(context, (len(tokens), 1)), at, met), len(words))
+    logs[places < 0] += np.log(np.array(counted) + 1)[places < 0] - made.log_rest[~places[places < 0]] * np.log(10)
+    never = np.zeros(bilinear.SHARED)
+    for group in range(bilinear.GROUPS):
+        _, at, met = made.leaves(np.array([~group]))
+        step = leaves.log_probabilities(context[None], at, met).sum()
+        never[group % bilinear.SHARED] += np.exp(step - made.log_rest[group] * np.log(10))
+    total = np.bincount(targets.take(places)[tokens] - made.own, np.exp(logs[tokens]), bilinear.SHARED) + never
+    assert np.allclose(total, 1, rtol=1e-3)
+    own = [tuple(made.steps[:, p]) for p in range(made.own, known)]
+    assert len({max(s, key=lambda x: x if x >= 0 else -1) if s[1] < 0 else s[1] for s in own}) == known - made.own
+
+
+def test_leaves_start_as_counts_and_learn_rare_words(spark):
+    """Two rare words of one shared target, told apart by the words before: once, a count was all they had."""
+    words = [f"r{i}" for i in range(4000)]
+    pair = next((a, b) for a in words for b in words if a < b and bilinear.group_of(a.encode()) == bilinear.group_of(b.encode()))
+    often = [f"c{i}" for i in range(bilinear.TARGETS)]
+    rng, texts = np.random.default_rng(3), []
+    for i in range(600):
+        k = i % 2
+        texts.append(" ".join(rng.choice(often, 10)) + f" {('left', 'right')[k]}" * 4 + f" {pair[k]}")
+    texts += [" ".join(often)] * 40
+    probes = ["left left left left " + pair[0], "left left left left " + pair[1]]
+    df = spark.createDataFrame(list(enumerate(texts + probes)), "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: r.score for r in bilinear.score_texts(df, F.col("doc_id") >= len(texts)).collect()}
+    assert got[len(texts)] > got[len(texts) + 1] + 0.2
+
+
 def test_model_is_normalised():
     model = bilinear.Model(np.log(np.full(7, 1 / 7)))
     before = np.random.default_rng(1).integers(0, 7, (1, bilinear.CONTEXT)).repeat(7, axis=0)
